@@ -1,11 +1,16 @@
 """Row-to-row operators over ordered telemetry that stay parallel inside one key.
 
 A plain window partitioned by machine puts all rows of that machine into one task, and one
-chatty machine may hold a third of the data. The operators here cut every key into time
-slices, so the window runs over (key, slice), and pass what crosses a slice border through a
-summary with one row per slice. The results equal those of the plain window.
+chatty machine may hold a third of the data. The operators here cut time into slices, so the
+window runs over (key, slice), and pass what crosses a slice border through a summary with one
+row per key and slice. The results equal those of the plain window.
 
-Where one slice of a key is too dense it is cut further, from a count of rows per slice.
+Slices are days. A day in which some key has too many rows is cut further. A slice depends on
+the time alone, so a frame is sliced once (``TimeOrder.sliced``) and every later operator can
+use the slices, whatever its key.
+
+Each operator reads its input twice, for the rows and for the summary. Where one operator feeds
+the next, put ``session.staged`` between them once the rows have become few.
 """
 
 from __future__ import annotations
@@ -24,9 +29,6 @@ SLICE = "_slice"
 _CELL = "_cell"
 _PARTS = "_parts"
 
-# At most this many dense cells are listed, which bounds the broadcast list.
-MAX_DENSE_CELLS = 100_000
-
 
 @dataclass(frozen=True)
 class TimeOrder:
@@ -35,7 +37,7 @@ class TimeOrder:
     keys: Sequence[str]
     time: str = "time"
     tie: Sequence[str] = ("uuid",)
-    width_seconds: int = 86_400
+    slice_seconds: int = 86_400
     rows_per_slice: int | None = 2_000_000
 
     def sort(self, descending: bool = False) -> list[Column]:
@@ -43,8 +45,20 @@ class TimeOrder:
         return [c.desc_nulls_first() if descending else c.asc_nulls_last() for c in cols]
 
     def rank(self) -> Column:
+        """The order as one comparable value; a NULL tie-breaker ranks last."""
+        parts = [F.col(self.time)]
+        for c in self.tie:
+            parts += [F.col(c).isNull().alias(f"{c}_missing"), F.col(c)]
+        return F.struct(*parts)
+
+    def position(self) -> Column:
+        """Time and tie-breaker of a row."""
         return F.struct(*[F.col(c) for c in (self.time, *self.tie)])
 
+    def key(self) -> Column:
+        """The key as one value, so that rows with a NULL part stay together in joins too."""
+        return F.struct(*[F.col(k) for k in self.keys]) if self.keys else F.lit(0)
+
     def within(self, descending: bool = False) -> WindowSpec:
         return W.partitionBy(KEY, SLICE).orderBy(*self.sort(descending))
 
@@ -52,40 +66,35 @@ class TimeOrder:
         by = F.col(SLICE).desc() if descending else F.col(SLICE).asc()
         return W.partitionBy(KEY).orderBy(by)
 
-    def slices(self, df: DataFrame) -> DataFrame:
-        """Add the key and slice columns.
-
-        The key is a struct, so that rows with a NULL key part stay together in joins too.
-        """
-        key = F.struct(*[F.col(k) for k in self.keys]) if self.keys else F.lit(0)
-        width = self.width_seconds * 1_000_000
+    def sliced(self, df: DataFrame) -> DataFrame:
+        """Add the slice column, unless the frame has one already."""
+        if SLICE in df.columns:
+            return df
+        width = self.slice_seconds * 1_000_000
         at = micros(self.time)
-        keyed = df.withColumn(KEY, key)
         cell = at - F.pmod(at, F.lit(width))
         if self.rows_per_slice is None:
-            return keyed.withColumn(SLICE, cell)
-        keyed = keyed.withColumn(_CELL, cell)
-        dense = _dense_cells(keyed, self.rows_per_slice)
+            return df.withColumn(SLICE, cell)
+        celled = df.withColumn(_CELL, cell)
+        # At most one row per day, and only for days above the limit.
+        dense = (
+            celled.groupBy(self.key().alias(KEY), _CELL)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(_CELL)
+            .agg(F.max("_n").alias("_n"))
+            .where(F.col("_n") > self.rows_per_slice)
+            .select(_CELL, (4 * F.ceil(F.col("_n") / F.lit(self.rows_per_slice))).alias(_PARTS))
+        )
         step = F.greatest(F.lit(1), F.expr(f"{width} div coalesce({_PARTS}, 1)"))
         offset = at - F.col(_CELL)
         return (
-            keyed.join(F.broadcast(dense), [KEY, _CELL], "left")
+            celled.join(F.broadcast(dense), _CELL, "left")
             .withColumn(SLICE, F.col(_CELL) + offset - F.pmod(offset, step))
             .drop(_CELL, _PARTS)
         )
 
-
-def _dense_cells(keyed: DataFrame, rows_per_slice: int) -> DataFrame:
-    """Cells with too many rows, and into how many parts to cut each.
-
-    The limit rises with the table so that no more than MAX_DENSE_CELLS can exceed it.
-    """
-    cells = keyed.groupBy(KEY, _CELL).agg(F.count(F.lit(1)).alias("_n"))
-    total = keyed.agg(F.count(F.lit(1)).alias("_total"))
-    limit = F.greatest(F.lit(rows_per_slice), F.ceil(total.scalar() / MAX_DENSE_CELLS))
-    return cells.where(F.col("_n") > limit).select(
-        KEY, _CELL, (4 * F.ceil(F.col("_n") / F.lit(rows_per_slice))).alias(_PARTS)
-    )
+    def prepared(self, df: DataFrame) -> DataFrame:
+        return self.sliced(df).withColumn(KEY, self.key())
 
 
 def _payload(columns: dict[str, str]) -> Column:
@@ -100,7 +109,7 @@ def _unpack(df: DataFrame, keep: list[str], hit: Column, columns: dict, seen: st
 
 
 def _neighbour(df, order: TimeOrder, columns, seen, forward: bool) -> DataFrame:
-    base = order.slices(df)
+    base = order.prepared(df)
     payload = _payload(columns)
     step = F.lead if forward else F.lag
     pick = F.min_by if forward else F.max_by
@@ -130,7 +139,7 @@ def with_next(df: DataFrame, order: TimeOrder, seen: str | None = None, **column
 
 def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns: Sequence[str]) -> DataFrame:
     """Array of the next ``n`` rows of the key (fewer at the end), nearest first."""
-    base = order.slices(df)
+    base = order.prepared(df)
     row = F.struct(*columns)
     heads = (
         base.withColumn("_rn", F.row_number().over(order.within()))
@@ -150,7 +159,7 @@ def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns:
 
 def carry(df: DataFrame, order: TimeOrder, backward: bool = False, **columns: str) -> DataFrame:
     """Last non-NULL value up to and including each row (or the next one, ``backward``)."""
-    base = order.slices(df)
+    base = order.prepared(df)
     pick = F.min_by if backward else F.max_by
     within = order.within(backward).rowsBetween(W.unboundedPreceding, 0)
     before = order.across(backward).rowsBetween(W.unboundedPreceding, -1)
@@ -180,5 +189,5 @@ def islands(df: DataFrame, order: TimeOrder, value: Sequence[str], alias: str =
     same = F.col("_seen")
     for name, v in previous.items():
         same = same & F.col(name).eqNullSafe(F.col(v))
-    starts = seen.withColumn("_start", F.when(~same, order.rank())).drop(*previous, "_seen")
+    starts = seen.withColumn("_start", F.when(~same, order.position())).drop(*previous, "_seen")
     return carry(starts, order, **{alias: "_start"}).drop("_start")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     # Telemetry is stored in UTC; a different zone would shift every unzoned timestamp.
@@ -36,3 +36,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="plantpulse-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    This cuts the lineage, so what follows neither repeats the work nor depends on the
+    executors that did it.
+    """
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
