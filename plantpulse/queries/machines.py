@@ -49,7 +49,7 @@ s AS (SELECT uuid, program_state, lead(uuid) OVER w AS next_uuid FROM g
       WINDOW w AS (PARTITION BY line, serial, recipe, day_batch ORDER BY time, uuid)),
 c AS (SELECT g.* FROM g JOIN s ON s.next_uuid = g.uuid WHERE s.program_state <> g.program_state),
 e AS (SELECT *, lead(uuid) OVER (PARTITION BY line, serial, recipe, day_batch ORDER BY time, uuid) AS end_uuid FROM c),
-l AS (SELECT e.*, n.time AS end_time, epoch(n.time) - epoch(e.time) AS duration_seconds
+l AS (SELECT e.*, n.time AS end_time, ((epoch_us(n.time) - epoch_us(e.time)) / 1e6) AS duration_seconds
       FROM e JOIN c n ON n.uuid = e.end_uuid)"""
 # A state that follows from the position, so that it changes inside a batch of one recipe.
 _MIXED_SQL = """
@@ -104,9 +104,9 @@ def _(p):
 def _production_sql(source, condition=""):
     return f"""
   SELECT min(time) AS time, line, machine, serial, recipe, day_batch AS batch, min(time) AS batch_start,
-    max(time) AS batch_end, round((epoch(max(time)) - epoch(min(time))) / 3600, 6) AS duration_hours,
+    max(time) AS batch_end, round((((epoch_us(max(time)) - epoch_us(min(time))) / 1e6)) / 3600, 6) AS duration_hours,
     max(total_cases) - min(total_cases) + 1 AS boxes,
-    round((max(total_cases) - min(total_cases)) / nullif((epoch(max(time)) - epoch(min(time))) / 3600, 0), 4)
+    round((max(total_cases) - min(total_cases)) / nullif((((epoch_us(max(time)) - epoch_us(min(time))) / 1e6)) / 3600, 0), 4)
       AS boxes_per_hour, arg_min(uuid, time) AS first_uuid, arg_max(uuid, time) AS last_uuid
   FROM {source} WHERE line IS NOT NULL AND serial IS NOT NULL AND recipe IS NOT NULL {condition}
   GROUP BY line, machine, serial, recipe, day_batch"""
@@ -163,8 +163,8 @@ def _durations_sql(next_within):
 WITH b AS (SELECT serial, batch, program_state, uuid, time FROM general WHERE program_state IS NOT NULL),
 i AS (SELECT *, dense_rank() OVER (PARTITION BY serial, batch ORDER BY time, uuid)
         - dense_rank() OVER (PARTITION BY serial, batch, program_state ORDER BY time, uuid) AS island,
-        epoch(coalesce(lead(time) OVER (PARTITION BY {next_within} ORDER BY time, uuid),
-                       (SELECT max(time) FROM general))) - epoch(time) AS seconds FROM b),
+        ((epoch_us(coalesce(lead(time) OVER (PARTITION BY {next_within} ORDER BY time, uuid),
+                       (SELECT max(time) FROM general))) - epoch_us(time)) / 1e6) AS seconds FROM b),
 d AS (SELECT serial, batch, program_state, count(DISTINCT island) AS runs, sum(seconds) AS total_seconds
       FROM i GROUP BY serial, batch, program_state)"""
 
@@ -206,7 +206,7 @@ x AS (SELECT * FROM t WHERE entered IS NOT NULL AND st <> 600)"""
 
 
 @query("alarm_count_time", _stays_sql("batch") + """
-SELECT batch, count(*) AS stays, round(sum(epoch(time) - epoch(entered)), 6) AS stay_seconds FROM x GROUP BY batch""")
+SELECT batch, count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds FROM x GROUP BY batch""")
 def _(p):
     return _rounded(plan.stay_totals(p.general, ["batch"]), "stay_seconds")
 
@@ -217,7 +217,7 @@ WITH n AS (SELECT time, uuid, program_state FROM general WHERE program_state IS
 b AS (SELECT time, uuid, program_state AS st, lag(program_state) OVER (ORDER BY time, uuid) AS was FROM n),
 t AS (SELECT *, lag(time) OVER (ORDER BY time, uuid) AS entered FROM b
       WHERE st <> coalesce(was, st) AND (st = 600 OR was = 600))
-SELECT count(*) AS stays, round(sum(epoch(time) - epoch(entered)), 6) AS stay_seconds
+SELECT count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds
 FROM t WHERE entered IS NOT NULL AND st <> 600""")
 def _(p):
     newest = p.general.where(F.col("program_state").isNotNull()).orderBy(
@@ -246,11 +246,10 @@ WITH p AS (SELECT batch, start_time, coalesce(lead(start_time) OVER (ORDER BY st
              (SELECT max(time) FROM general)) AS end_time
            FROM (SELECT batch, min(time) AS start_time FROM general GROUP BY batch)),
 s AS (SELECT t.*, p.start_time, p.end_time,
-        epoch(coalesce(lead(t.time) OVER (PARTITION BY t.machine, t.batch ORDER BY t.time, t.uuid), p.end_time))
-        - epoch(t.time) AS seconds
+        ((epoch_us(coalesce(lead(t.time) OVER (PARTITION BY t.machine, t.batch ORDER BY t.time, t.uuid), p.end_time)) - epoch_us(t.time)) / 1e6) AS seconds
       FROM status t JOIN p ON p.batch = t.batch)
 SELECT machine, batch, flag, state, start_time, end_time, round(sum(seconds), 6) AS duration_seconds,
-  round(epoch(end_time) - epoch(start_time), 6) AS batch_seconds
+  round(((epoch_us(end_time) - epoch_us(start_time)) / 1e6), 6) AS batch_seconds
 FROM ({_FLAG_SQL}) GROUP BY machine, batch, flag, state, start_time, end_time""")
 def _(p):
     g = p.general
@@ -273,13 +272,13 @@ def _(p):
 
 
 @query("batch_overview", _stays_sql("batch") + """,
-a AS (SELECT batch, count(*) AS alarm_count, sum(epoch(time) - epoch(entered)) AS alarm_seconds FROM x GROUP BY batch),
+a AS (SELECT batch, count(*) AS alarm_count, sum(((epoch_us(time) - epoch_us(entered)) / 1e6)) AS alarm_seconds FROM x GROUP BY batch),
 r AS (SELECT batch, recipe FROM general GROUP BY batch, recipe
       QUALIFY row_number() OVER (PARTITION BY batch ORDER BY count(*) DESC, recipe) = 1),
 g AS (SELECT batch, min(time) AS t0, max(time) AS t1, sum(box_made)::BIGINT AS boxes FROM general GROUP BY batch)
 SELECT g.batch, r.recipe, epoch_us(t0) / 1000.0::DOUBLE AS start_ms, epoch_us(t1) / 1000.0::DOUBLE AS end_ms,
-  round(epoch(t1) - epoch(t0), 6) AS duration_seconds, boxes,
-  round(boxes * 60 / nullif(epoch(t1) - epoch(t0), 0), 6) AS boxes_per_minute,
+  round(((epoch_us(t1) - epoch_us(t0)) / 1e6), 6) AS duration_seconds, boxes,
+  round(boxes * 60 / nullif(((epoch_us(t1) - epoch_us(t0)) / 1e6), 0), 6) AS boxes_per_minute,
   coalesce(a.alarm_count, 0) AS alarm_count, round(coalesce(a.alarm_seconds, 0.0), 6) AS alarm_seconds
 FROM g LEFT JOIN r ON r.batch = g.batch LEFT JOIN a ON a.batch = g.batch""")
 def _(p):
