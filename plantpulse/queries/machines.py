@@ -92,13 +92,13 @@ def _(p):
 @query("batch_state_rollup", f"""{_MIXED_SQL} {_TIMELINE}
 SELECT line, machine, recipe, day_batch AS batch, mode_state, program_state, min(time) AS first_start,
   arg_max(time, end_time) AS last_end_start, max(end_time) AS last_end,
-  round(sum(duration_seconds), 6) AS total_seconds, round(sum(duration_seconds) / 60, 6) AS total_minutes,
-  round(sum(duration_seconds) / 3600, 6) AS total_hours, count(program_state) AS occurrences,
+  round(sum(duration_seconds), 6) AS total_seconds, round(sum(duration_seconds) / 60, 3) AS total_minutes,
+  round(sum(duration_seconds) / 3600, 3) AS total_hours, count(program_state) AS occurrences,
   arg_min(uuid, time) AS first_uuid, arg_max(uuid, time) AS last_uuid
 FROM l GROUP BY line, machine, recipe, day_batch, mode_state, program_state""")
 def _(p):
     rollup = plan.batch_state_rollup(plan.state_timeline(_mixed(p)))
-    return _rounded(rollup, "total_seconds", "total_minutes", "total_hours")
+    return _rounded(_rounded(rollup, "total_seconds"), "total_minutes", "total_hours", digits=3)
 
 
 def _production_sql(source, condition=""):
