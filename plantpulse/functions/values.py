@@ -56,7 +56,6 @@ def pretty_bytes(size: Column) -> Column:
     units = ["bytes", "kB", "MB", "GB", "TB"]
     text = F.concat(size.cast("string"), F.lit(" bytes"))
     for power, unit in enumerate(units[1:], start=1):
-        step = F.lit(1024**power)
-        scaled = F.floor(size / step + F.lit(0.5)).cast("bigint").cast("string")
-        text = F.when(size >= 10 * step, F.concat(scaled, F.lit(f" {unit}"))).otherwise(text)
+        scaled = F.floor(size / F.lit(1024**power) + F.lit(0.5)).cast("bigint").cast("string")
+        text = F.when(size >= F.lit(10 * 1024**power), F.concat(scaled, F.lit(f" {unit}"))).otherwise(text)
     return text
