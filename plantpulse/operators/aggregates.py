@@ -17,9 +17,8 @@ def most_frequent(df: DataFrame, keys: Sequence[str], column: str, alias: str) -
     Values are counted first, so what is shuffled is one row per key and value.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.groupBy(*keys).agg(F.max("_n").alias("_top"))
-    best = counts.join(top, list(keys)).where(F.col("_n") == F.col("_top"))
-    return best.groupBy(*keys).agg(F.min(column).alias(alias))
+    best = F.min(F.struct(-F.col("_n"), F.col(column).alias("_value")))
+    return counts.groupBy(*keys).agg(best["_value"].alias(alias))
 
 
 def transition_count(df: DataFrame, order: TimeOrder, state: str, target: float, alias: str) -> DataFrame:

@@ -8,35 +8,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.functions.time import bucket
-from plantpulse.operators.ordered import TimeOrder, carry
+from plantpulse.operators.ordered import TimeOrder, carry, with_next
+from plantpulse.session import staged
 
 
-def spine(df: DataFrame, keys: Sequence[str], seconds: int, time: str = "time") -> DataFrame:
-    """All buckets from the earliest to the latest of the table, for each key.
+def _sums(df: DataFrame, keys: Sequence[str], seconds: int, measures: dict[str, Column], time: str) -> DataFrame:
+    """Aggregates of the buckets that hold rows; stored, as several steps go on from them."""
+    sums = df.groupBy(*keys, bucket(time, seconds).alias("bucket")).agg(
+        *[e.alias(name) for name, e in measures.items()])
+    return staged(sums, "buckets")
 
-    Without keys each bucket appears once. The range is two values; the buckets are unfolded
-    per key row, after the keys are known.
-    """
-    low = bucket(df.agg(F.min(time)).scalar(), seconds)
-    high = bucket(df.agg(F.max(time)).scalar(), seconds)
-    steps = F.sequence(low, high, F.make_dt_interval(secs=F.lit(seconds)))
-    start = df.select(*keys).distinct() if keys else df.sparkSession.range(1)
-    return start.select(*keys, F.explode(steps).alias("bucket"))
+
+def _step(seconds: int) -> Column:
+    return F.make_dt_interval(secs=F.lit(seconds))
 
 
 def gapfill(
     df: DataFrame, keys: Sequence[str], seconds: int, measures: dict[str, Column], time: str = "time"
 ) -> DataFrame:
-    """Bucket aggregates with a row for every bucket; an empty bucket has NULL measures."""
-    sums = df.groupBy(*keys, bucket(time, seconds).alias("bucket")).agg(
-        *[e.alias(name) for name, e in measures.items()])
-    return spine(df, keys, seconds, time).join(sums, [*keys, "bucket"], "left")
+    """Bucket aggregates with a row for every bucket of the table's range.
+
+    An empty bucket has NULL measures. With keys, every key gets all buckets.
+    """
+    sums = _sums(df, keys, seconds, measures, time)
+    low, high = sums.agg(F.min("bucket")).scalar(), sums.agg(F.max("bucket")).scalar()
+    start = sums.select(*keys).distinct() if keys else df.sparkSession.range(1)
+    spine = start.select(*keys, F.explode(F.sequence(low, high, _step(seconds))).alias("bucket"))
+    return spine.join(sums, [*keys, "bucket"], "left")
 
 
 def gapfill_carried(
     df: DataFrame, keys: Sequence[str], seconds: int, measures: dict[str, Column], time: str = "time"
 ) -> DataFrame:
-    """Bucket aggregates where an empty bucket repeats the last value before it."""
-    filled = gapfill(df, keys, seconds, measures, time)
-    order = TimeOrder(keys=keys, time="bucket", tie=())
-    return carry(filled, order, **{name: name for name in measures})
+    """Bucket aggregates where an empty bucket repeats the last value before it.
+
+    Each bucket that holds rows is repeated up to the next one, so no join is needed. Buckets
+    before the first one of a key are NULL.
+    """
+    sums = _sums(df, keys, seconds, measures, time)
+    low, high = sums.agg(F.min("bucket")).scalar(), sums.agg(F.max("bucket")).scalar()
+    order, step = TimeOrder(keys=keys, time="bucket", tie=()), _step(seconds)
+    carried = carry(order.sliced(sums), order, **{name: name for name in measures})
+    ends = with_next(carried, order, _next="bucket").withColumn("_until", F.coalesce(F.col("_next") - step, high))
+    filled = ends.select(*keys, F.explode(F.sequence("bucket", "_until", step)).alias("bucket"), *measures)
+    first = sums.groupBy(*keys).agg(F.min("bucket").alias("_first")).where(F.col("_first") > low)
+    leading = first.select(*keys, F.explode(F.sequence(low, F.col("_first") - step, step)).alias("bucket"))
+    return filled.unionByName(leading, allowMissingColumns=True)

@@ -101,40 +101,40 @@ def _payload(columns: dict[str, str]) -> Column:
     return F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
 
 
-def _unpack(df: DataFrame, keep: list[str], hit: Column, columns: dict, seen: str | None) -> DataFrame:
-    extra = [hit[name].alias(name) for name in columns]
-    if seen:
-        extra.append(hit.isNotNull().alias(seen))
-    return df.select(*keep, *extra)
-
-
-def _neighbour(df, order: TimeOrder, columns, seen, forward: bool) -> DataFrame:
+def with_neighbours(
+    df: DataFrame, order: TimeOrder, previous: dict[str, str] | None = None,
+    following: dict[str, str] | None = None, seen: str | None = None, more: str | None = None,
+) -> DataFrame:
+    """Values of the previous and of the next row of the key, as ``{new_name: column}``.
+
+    ``seen`` names a flag that tells a missing previous row from one that holds NULL, ``more``
+    the same for the next row.
+    """
     base = order.prepared(df)
-    payload = _payload(columns)
-    step = F.lead if forward else F.lag
-    pick = F.min_by if forward else F.max_by
-    border = (
-        base.groupBy(KEY, SLICE)
-        .agg(pick(payload, order.rank()).alias("_edge"))
-        .select(KEY, SLICE, step("_edge").over(order.across()).alias("_far"))
-    )
-    joined = base.withColumn("_near", step(payload).over(order.within())).join(
-        border, [KEY, SLICE], "left"
-    )
-    return _unpack(joined, df.columns, F.coalesce("_near", "_far"), columns, seen)
+    edges, across, extra = [], [], []
+    sides = [("prev", previous, seen, F.lag, F.max_by), ("next", following, more, F.lead, F.min_by)]
+    for side, columns, flag, step, pick in sides:
+        if not columns:
+            continue
+        payload = _payload(columns)
+        edges.append(pick(payload, order.rank()).alias(f"_edge_{side}"))
+        across.append(step(f"_edge_{side}").over(order.across()).alias(f"_far_{side}"))
+        base = base.withColumn(f"_near_{side}", step(payload).over(order.within()))
+        hit = F.coalesce(f"_near_{side}", f"_far_{side}")
+        extra += [hit[name].alias(name) for name in columns]
+        extra += [hit.isNotNull().alias(flag)] if flag else []
+    border = order.prepared(df).groupBy(KEY, SLICE).agg(*edges).select(KEY, SLICE, *across)
+    return base.join(border, [KEY, SLICE], "left").select(*df.columns, *extra)
 
 
 def with_previous(df: DataFrame, order: TimeOrder, seen: str | None = None, **columns: str) -> DataFrame:
-    """Values of the previous row of the key, as ``new_name=column``.
-
-    ``seen`` names a flag that tells a missing row from a row holding NULL.
-    """
-    return _neighbour(df, order, columns, seen, forward=False)
+    """Values of the previous row of the key, as ``new_name=column``."""
+    return with_neighbours(df, order, previous=columns, seen=seen)
 
 
-def with_next(df: DataFrame, order: TimeOrder, seen: str | None = None, **columns: str) -> DataFrame:
+def with_next(df: DataFrame, order: TimeOrder, more: str | None = None, **columns: str) -> DataFrame:
     """Values of the next row of the key, as ``new_name=column``."""
-    return _neighbour(df, order, columns, seen, forward=True)
+    return with_neighbours(df, order, following=columns, more=more)
 
 
 def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns: Sequence[str]) -> DataFrame:

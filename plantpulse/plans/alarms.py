@@ -153,7 +153,7 @@ def modal_interval(alarms: DataFrame, by: str, zero_rows_only: bool = True) -> D
     rows = alarms
     if zero_rows_only:
         rows = rows.where((F.col("state") == 0) & F.col("skey").isNotNull())
-    inside = with_next(rows, BY_ALARM, seen="_has_next", _next_time="time")
+    inside = with_next(rows, BY_ALARM, more="_has_next", _next_time="time")
     # One row per machine and alarm, which is what has to be put in a single order per alarm.
     ends = rows.groupBy("idx", "serial").agg(F.min("time").alias("_first"), F.max(BY_ALARM.position()).alias("_last"))
     following = F.lead("_first").over(W.partitionBy("idx").orderBy(F.col("serial").asc_nulls_last()))

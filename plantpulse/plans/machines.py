@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from plantpulse.functions.time import bucket, epoch_ms, seconds_between
 from plantpulse.functions.values import ratio
 from plantpulse.operators.aggregates import most_frequent
 from plantpulse.operators.joins import asof
-from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_next, with_previous
+from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_neighbours, with_next, with_previous
 from plantpulse.session import staged
 from plantpulse.sources.sinks import backfill
 
@@ -20,16 +21,18 @@ ALARM_STATE = 600
 WAITING_STATES = (100, 200, 300, 400, 500)
 
 
-def carry_start(general: DataFrame, state: str, carried: str, machines: int = 10) -> Column:
+def carry_start(general: DataFrame, state: str, carried: str, machines: int = 10) -> datetime | None:
     """Time from which values have to be carried again.
 
     Before the first row without a carried value, each machine has a last known value; the
-    earliest of these times counts, over the machines seen most recently.
+    earliest of these times counts, over the machines seen most recently. The result is a plain
+    value, so that the scan that follows can skip older files.
     """
     first_open = general.where(F.col(carried).isNull()).agg(F.min("time")).scalar()
     known = general.where(F.col(state).isNotNull() & (F.col("time") <= first_open))
     recent = known.groupBy("serial").agg(F.max("time").alias("time"))
-    return recent.orderBy(F.col("time").desc(), "serial").limit(machines).agg(F.min("time")).scalar()
+    newest = recent.orderBy(F.col("time").desc(), "serial").limit(machines)
+    return newest.agg(F.min("time")).first()[0]
 
 
 def carry_forward(general: DataFrame, state: str, carried: str, machines: int = 10) -> DataFrame:
@@ -39,7 +42,10 @@ def carry_forward(general: DataFrame, state: str, carried: str, machines: int =
     has a known value before the first open row, nothing is filled.
     """
     start = carry_start(general, state, carried, machines)
-    open_rows = general.select("uuid", "time", "serial", state).where(F.col("time") >= start)
+    if start is None:
+        return general
+    since = F.lit(start.isoformat()).cast("timestamp_ntz")
+    open_rows = general.select("uuid", "time", "serial", state).where(F.col("time") >= since)
     values = carry(open_rows, BY_MACHINE, **{carried: state}).select("uuid", carried)
     return backfill(general, values, "uuid", carried)
 
@@ -56,7 +62,7 @@ def state_timeline(general: DataFrame, state: str = "program_state") -> DataFram
     rows = order.sliced(general.where(known & sampled).select(
         "uuid", "time", "line", "machine", "serial", "recipe", "batch", "mode_state", state))
     changed = with_previous(rows, order, _was=state).where(F.col("_was") != F.col(state)).drop("_was")
-    ended = with_next(changed, order, end_time="time").where(F.col("end_time").isNotNull())
+    ended = with_next(staged(changed, "state-changes"), order, end_time="time").where(F.col("end_time").isNotNull())
     return ended.withColumn("duration_seconds", seconds_between("time", "end_time")).drop(SLICE)
 
 
@@ -91,7 +97,7 @@ def runs(df: DataFrame, order: TimeOrder, value: str) -> DataFrame:
     rows = order.sliced(df.select(*dict.fromkeys([*order.keys, order.time, *order.tie, value])))
     seen = with_previous(rows.withColumn("_at", at), order, seen="_seen", _was=value, _before="_at")
     same = F.col("_seen") & F.col("_was").eqNullSafe(F.col(value))
-    starts = with_next(seen.where(~same), order, _until="_before")
+    starts = with_next(staged(seen.where(~same), "run-starts"), order, _until="_before")
     last = rows.groupBy(order.key().alias("_k")).agg(F.max(at).alias("_last"))
     ended = starts.withColumn("_k", order.key()).join(last, "_k", "left")
     end = F.coalesce("_until", "_last")
@@ -133,8 +139,12 @@ def state_durations(
     run_order = TimeOrder(keys=list(keys))
     rows = run_order.sliced(general.where(F.col(state).isNotNull()).select(
         *dict.fromkeys([*keys, *(next_within or []), "time", "uuid", state])))
-    seen = with_previous(rows, run_order, seen="_seen", _was=state)
-    timed = with_next(seen, TimeOrder(keys=list(next_within or keys)), _next_time="time")
+    before, after = {"_was": state}, {"_next_time": "time"}
+    if next_within is None:
+        timed = with_neighbours(rows, run_order, before, after, seen="_seen")
+    else:
+        seen = with_neighbours(rows, run_order, before, seen="_seen")
+        timed = with_neighbours(seen, TimeOrder(keys=list(next_within)), following=after)
     new_run = ~(F.col("_seen") & (F.col("_was") == F.col(state)))
     duration = seconds_between(F.col("time"), F.coalesce("_next_time", as_of))
     return timed.groupBy(*keys, state).agg(
@@ -162,7 +172,7 @@ def stays(general: DataFrame, keys: Sequence[str], target: float = ALARM_STATE,
     seen = with_previous(rows, order, _was=state)
     here, before = F.col(state) == target, F.col("_was") == target
     touching = seen.where((F.col(state) != F.col("_was")) & (here | before))
-    exits = with_previous(touching, order, entered="time").where(~here & F.col("entered").isNotNull())
+    exits = with_previous(staged(touching, "stay-borders"), order, entered="time").where(~here & F.col("entered").isNotNull())
     return exits.select(*keys, "entered", F.col("time").alias("left"))
 
 
@@ -197,7 +207,8 @@ def flag_durations(status: DataFrame, batches: DataFrame, as_of: Column, flags:
 def batch_periods(df: DataFrame, batch: str = "batch") -> DataFrame:
     """Start of each batch and start of the one after it."""
     starts = df.groupBy(F.col(batch).alias("batch")).agg(F.min("time").alias("start_time"))
-    return with_next(starts, TimeOrder(keys=[], time="start_time", tie=("batch",)), end_time="start_time")
+    order = TimeOrder(keys=[], time="start_time", tie=("batch",), rows_per_slice=None)
+    return with_next(staged(starts, "batch-starts"), order, end_time="start_time")
 
 
 def batch_moments(general: DataFrame, weights: DataFrame, keys: Sequence[str] = ("serial", "batch")) -> DataFrame:

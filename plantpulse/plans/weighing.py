@@ -12,6 +12,7 @@ from plantpulse.functions.time import bucket, seconds_between
 from plantpulse.functions.values import fixed, grams_per_unit, ratio, tolerance_grams
 from plantpulse.operators.aggregates import histogram, most_frequent
 from plantpulse.operators.ordered import TimeOrder
+from plantpulse.session import staged
 
 HOURLY_KEYS = ["logger", "machine", "serial", "recipe", "batch", "module_index", "result_code", "struct_version"]
 DAILY_KEYS = ["machine", "serial", "recipe", "batch", "logger", "unit_id", "result_code"]
@@ -186,7 +187,7 @@ def band_counts(weights: DataFrame, constants: DataFrame, grams: Column) -> Data
 
 def metrology(weights: DataFrame) -> DataFrame:
     """E-mark report of every batch: target, borders, counts per band and their percentages."""
-    constants = batch_constants(weights)
+    constants = staged(batch_constants(weights), "batch-constants")
     counts = band_counts(weights, constants, F.col("net") * F.col("unit_factor"))
     shares = {f"{c}_percent": ratio(F.col(c), F.col("boxes")) * 100 for c in BAND_COUNTS}
     return constants.join(counts, "batch").withColumns(shares)
@@ -216,12 +217,13 @@ def metrology_borders(weights: DataFrame) -> DataFrame:
 def weight_histogram(weights: DataFrame, buckets: int = 6, bar_length: int = 30) -> DataFrame:
     """Histogram of each batch's boxes, three tolerances around the target, with a text bar."""
     columns = ["batch", "unit_factor", "target_weight", "tu1"]
-    constants = batch_constants(weights).select(*columns)
+    constants = staged(batch_constants(weights).select(*columns), "batch-constants")
     low = F.col("target_weight") - F.col("tu1") * 3
     high = F.col("target_weight") + F.col("tu1") * 3
     placed = weights.select("batch", "net").join(constants, "batch").withColumns({"_low": low, "_high": high})
     bins = histogram(placed, ["batch", "_low", "tu1"], F.col("net") * F.col("unit_factor"),
                      F.col("_low"), F.col("_high"), buckets)
+    bins = staged(bins, "bins")
     top = bins.groupBy("batch").agg(F.max("frequency").alias("_top"))
     bar = F.round(F.col("frequency") / F.col("_top") * bar_length).cast("int")
     return bins.join(top, "batch").select(

@@ -11,6 +11,7 @@ from plantpulse.plans.machines import recipe_periods
 from plantpulse.plans.production import box_production
 from plantpulse.queries.alarms import _STEPS
 from plantpulse.queries.registry import query
+from plantpulse.session import staged
 from plantpulse.sources.sinks import only_new
 
 
@@ -45,7 +46,7 @@ f AS (SELECT z.uuid AS anchor, t.uuid, t.state,
       FROM t z JOIN t ON t.machine = z.machine AND t.idx = z.idx AND t.time >= z.time AND t.uuid <> z.uuid WHERE z.state = 0)
 SELECT anchor, uuid, state, pos FROM f WHERE pos <= 3""")
 def _(p):
-    changes = transitions(BY_ALARM.sliced(p.alarms))
+    changes = staged(transitions(BY_ALARM.sliced(p.alarms)), "alarm-changes")
     rows = with_next_rows(changes, TimeOrder(keys=["machine", "idx"]), 3, "after", ["uuid", "state"])
     anchors = rows.where(F.col("state") == 0).select(F.col("uuid").alias("anchor"), F.posexplode("after").alias("i", "r"))
     return anchors.select("anchor", "r.uuid", "r.state", (F.col("i") + 1).cast("bigint").alias("pos"))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantpulse.functions.time import bucket
+from plantpulse.operators.ordered import carry
 from plantpulse.plans import machines as plan
 from plantpulse.plans.production import box_production, merge_box_production
 from plantpulse.queries.registry import query
+from plantpulse.session import staged
 from plantpulse.sources import tables
 
 
@@ -83,9 +86,7 @@ WHERE true""".replace("g AS (SELECT * EXCLUDE", "g1 AS (SELECT * EXCLUDE").repla
     "program_state FROM g0),", "program_state FROM g0), g AS (SELECT * FROM g1 "
     "WHERE mode_state IS NOT NULL OR program_state IS NOT NULL),"))
 def _(p):
-    from plantpulse.operators.ordered import carry
-
-    filled = carry(_mixed(p), plan.BY_MACHINE, program_state="program_state")
+    filled = staged(carry(_mixed(p), plan.BY_MACHINE, program_state="program_state"), "carried")
     return _rounded(plan.state_timeline(filled), "duration_seconds")
 
 
@@ -299,8 +300,6 @@ def _(p):
 SELECT time_bucket(INTERVAL 60 SECOND, time) AS minute, recipe, arg_max(box_made, time) AS last_value
 FROM general WHERE recipe IS NOT NULL GROUP BY ALL""")
 def _(p):
-    from plantpulse.functions.time import bucket
-
     named = p.general.where(F.col("recipe").isNotNull())
     return named.groupBy(bucket("time", 60).alias("minute"), "recipe").agg(
         F.max_by("box_made", F.struct("time", "uuid")).alias("last_value"))

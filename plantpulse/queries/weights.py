@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.plans import weighing as plan
 from plantpulse.queries.registry import query
+from plantpulse.session import staged
 
 
 def rounded(df, digits=6, skip=()):
@@ -57,6 +58,11 @@ def _(p):
 _HOURLY_CTE = f"WITH h AS ({_rollup_sql(plan.HOURLY_KEYS, _HOUR)})"
 
 
+def _stored_hourly(p):
+    """The hourly rollup as a stored table, which is what the summaries read."""
+    return staged(plan.hourly(p.weights), "hourly")
+
+
 def _summary_sql(pattern, batch="batch"):
     return f"""
 {_HOURLY_CTE},
@@ -76,12 +82,12 @@ FROM g JOIN m ON m.batch = g.batch JOIN t ON t.batch = g.batch ORDER BY g.batch
 
 @query("weight_batch_summary", _summary_sql("%"))
 def _(p):
-    return rounded(plan.batch_summary(plan.hourly(p.weights)), skip=["avg_weight"])
+    return rounded(plan.batch_summary(_stored_hourly(p)), skip=["avg_weight"])
 
 
 @query("weight_batch_summary_pattern", _summary_sql("%j1%"))
 def _(p):
-    return rounded(plan.batch_summary(plan.hourly(p.weights), "%J1%"), skip=["avg_weight"])
+    return rounded(plan.batch_summary(_stored_hourly(p), "%J1%"), skip=["avg_weight"])
 
 
 @query("batch_throughput", f"""

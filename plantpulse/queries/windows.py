@@ -9,6 +9,7 @@ from plantpulse.operators.ordered import TimeOrder, carry, islands, with_next, w
 from plantpulse.plans.alarms import BY_ALARM, transitions
 from plantpulse.plans.machines import BY_MACHINE, runs
 from plantpulse.queries.registry import query
+from plantpulse.session import staged
 from plantpulse.sources.tables import newest
 
 
@@ -108,7 +109,7 @@ n AS (SELECT *, lead(time) OVER (PARTITION BY serial, idx ORDER BY time, uuid) A
 SELECT uuid, serial, state, CASE WHEN state IN (1, 10) THEN nxt END AS active_end,
   CASE WHEN state = 20 THEN nxt END AS waiting_end, CASE WHEN state = 0 THEN time END AS alarm_end FROM n""")
 def _(p):
-    n = with_next(transitions(BY_ALARM.sliced(p.alarms)), BY_ALARM, nxt="time")
+    n = with_next(staged(transitions(BY_ALARM.sliced(p.alarms)), "alarm-changes"), BY_ALARM, nxt="time")
     state = F.col("state")
     return n.select(
         "uuid", "serial", "state", F.when(state.isin(1, 10), F.col("nxt")).alias("active_end"),
