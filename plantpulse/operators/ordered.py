@@ -101,6 +101,15 @@ def _payload(columns: dict[str, str]) -> Column:
     return F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
 
 
+def _joined(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Attach the summary to its rows.
+
+    The window has left the rows distributed and sorted by key and slice, so a merge join only
+    moves the summary. The summary may be large and is never broadcast.
+    """
+    return rows.join(summary.hint("merge"), [KEY, SLICE], "left")
+
+
 def with_neighbours(
     df: DataFrame, order: TimeOrder, previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None, seen: str | None = None, more: str | None = None,
@@ -124,7 +133,7 @@ def with_neighbours(
         extra += [hit[name].alias(name) for name in columns]
         extra += [hit.isNotNull().alias(flag)] if flag else []
     border = order.prepared(df).groupBy(KEY, SLICE).agg(*edges).select(KEY, SLICE, *across)
-    return base.join(border, [KEY, SLICE], "left").select(*df.columns, *extra)
+    return _joined(base, border).select(*df.columns, *extra)
 
 
 def with_previous(df: DataFrame, order: TimeOrder, seen: str | None = None, **columns: str) -> DataFrame:
@@ -151,9 +160,7 @@ def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns:
     found = F.array(*[F.lead("_heads", i).over(order.across()) for i in range(1, n + 1)])
     later = heads.select(KEY, SLICE, F.flatten(F.filter(found, lambda a: a.isNotNull())).alias("_later"))
     near = F.array(*[F.lead(row, i).over(order.within()) for i in range(1, n + 1)])
-    joined = base.withColumn("_near", F.filter(near, lambda r: r.isNotNull())).join(
-        later, [KEY, SLICE], "left"
-    )
+    joined = _joined(base.withColumn("_near", F.filter(near, lambda r: r.isNotNull())), later)
     return joined.select(*df.columns, F.slice(F.concat("_near", "_later"), 1, n).alias(alias))
 
 
@@ -174,7 +181,7 @@ def carry(df: DataFrame, order: TimeOrder, backward: bool = False, **columns: st
     )
     for n, c in columns.items():
         base = base.withColumn(f"_near_{n}", F.last(c, True).over(within))
-    joined = base.join(far, [KEY, SLICE], "left")
+    joined = _joined(base, far)
     keep = [c for c in df.columns if c not in columns]
     return joined.select(*keep, *[F.coalesce(f"_near_{n}", f"_far_{n}").alias(n) for n in columns])
 
