@@ -22,8 +22,6 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plantpulse.functions.time import micros
-
 KEY = "_key"
 SLICE = "_slice"
 _CELL = "_cell"
@@ -71,27 +69,23 @@ class TimeOrder:
         if SLICE in df.columns:
             return df
         width = self.slice_seconds * 1_000_000
-        at = micros(self.time)
-        cell = at - F.pmod(at, F.lit(width))
+        at = f"unix_micros(cast({self.time} as timestamp))"
+        cell = F.expr(f"{at} - pmod({at}, {width})")
         if self.rows_per_slice is None:
             return df.withColumn(SLICE, cell)
         celled = df.withColumn(_CELL, cell)
         # At most one row per day, and only for days above the limit.
         dense = (
             celled.groupBy(self.key().alias(KEY), _CELL)
-            .agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.expr("count(1) AS _n"))
             .groupBy(_CELL)
-            .agg(F.max("_n").alias("_n"))
-            .where(F.col("_n") > self.rows_per_slice)
-            .select(_CELL, (4 * F.ceil(F.col("_n") / F.lit(self.rows_per_slice))).alias(_PARTS))
-        )
-        step = F.greatest(F.lit(1), F.expr(f"{width} div coalesce({_PARTS}, 1)"))
-        offset = at - F.col(_CELL)
-        return (
-            celled.join(F.broadcast(dense), _CELL, "left")
-            .withColumn(SLICE, F.col(_CELL) + offset - F.pmod(offset, step))
-            .drop(_CELL, _PARTS)
+            .agg(F.expr("max(_n) AS _n"))
+            .where(f"_n > {self.rows_per_slice}")
+            .selectExpr(_CELL, f"4 * ceil(_n / {self.rows_per_slice}) AS {_PARTS}")
         )
+        step = f"greatest(1, {width} div coalesce({_PARTS}, 1))"
+        part = F.expr(f"{at} - pmod({at} - {_CELL}, {step})")
+        return celled.join(F.broadcast(dense), _CELL, "left").withColumn(SLICE, part).drop(_CELL, _PARTS)
 
     def prepared(self, df: DataFrame) -> DataFrame:
         return self.sliced(df).withColumn(KEY, self.key())
@@ -119,7 +113,8 @@ def with_neighbours(
     ``seen`` names a flag that tells a missing previous row from one that holds NULL, ``more``
     the same for the next row.
     """
-    base = order.prepared(df)
+    keyed = order.prepared(df)
+    base = keyed
     edges, across, extra = [], [], []
     sides = [("prev", previous, seen, F.lag, F.max_by), ("next", following, more, F.lead, F.min_by)]
     for side, columns, flag, step, pick in sides:
@@ -132,7 +127,7 @@ def with_neighbours(
         hit = F.coalesce(f"_near_{side}", f"_far_{side}")
         extra += [hit[name].alias(name) for name in columns]
         extra += [hit.isNotNull().alias(flag)] if flag else []
-    border = order.prepared(df).groupBy(KEY, SLICE).agg(*edges).select(KEY, SLICE, *across)
+    border = keyed.groupBy(KEY, SLICE).agg(*edges).select(KEY, SLICE, *across)
     return _joined(base, border).select(*df.columns, *extra)
 
 

@@ -60,10 +60,23 @@ def unmarked(df: DataFrame, column: str = "mark", value: str = "out") -> DataFra
     return df.where(F.coalesce(F.col(column), F.lit("")) != value)
 
 
+def write_by(df: DataFrame, folder: str, column: str, replace: bool = False) -> None:
+    """Write one folder per value of a column.
+
+    Rows are first brought together by that column, so that not every task writes into every
+    folder. Spark splits the values that hold many rows. With ``replace`` only the folders that
+    occur in the rows are replaced.
+    """
+    writer = df.hint("rebalance", F.col(column)).write.partitionBy(column)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(folder)
+
+
 def write_chunks(df: DataFrame, folder: str, chunk_seconds: int, time: str = "time") -> None:
-    """Write a table split by time chunk."""
+    """Write a table split by time chunk; existing chunks of the same name are replaced."""
     chunk = F.date_format(bucket(time, chunk_seconds), "yyyy-MM-dd'T'HH-mm-ss")
-    df.withColumn("chunk", chunk).write.mode("overwrite").partitionBy("chunk").parquet(folder)
+    write_by(df.withColumn("chunk", chunk), folder, "chunk", replace=True)
 
 
 def read_chunks(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:

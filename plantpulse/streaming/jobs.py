@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from plantpulse.operators.ordered import TimeOrder, carry
 from plantpulse.plans.alarms import BY_ALARM, COLUMNS, alarm_lines_strict, transitions
 from plantpulse.session import staged
+from plantpulse.sources.sinks import write_by
 
 _BY_MACHINE = TimeOrder(keys=["serial"])
 
@@ -120,8 +121,7 @@ def late_repair(folder: str, state: str = "program_state") -> Callable[[DataFram
             kept = stored.where(F.col("day") >= start).select(*new.columns).join(new.select("uuid"), "uuid", "left_anti")
             rows = new.unionByName(kept).unionByName(seeds)
         filled = carry(rows, _BY_MACHINE, carried=state).withColumn("day", F.to_date("time"))
-        days = staged(filled.where(F.col("day") >= start), "late-days")
-        days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(folder)
+        write_by(staged(filled.where(F.col("day") >= start), "late-days"), folder, "day", replace=True)
 
     return step
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plantpulse.functions.time import bucket
 from plantpulse.plans.weighing import HOUR, HOURLY_KEYS, rollup, rollup_measures
 from plantpulse.session import staged
+from plantpulse.sources.sinks import write_by
 
 DAY = 86_400
 _TIMES = ["filling_first_time", "filling_last_time", "first_time", "last_time"]
@@ -38,7 +39,7 @@ def write_stream(df: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
 
 def stored_rollup(weights: DataFrame, folder: str, keys: Sequence[str] = HOURLY_KEYS) -> None:
     """Store the hourly rollup, one folder per day."""
-    _by_day(rollup(weights, keys, HOUR)).write.partitionBy("day").parquet(folder)
+    write_by(_by_day(rollup(weights, keys, HOUR)), folder, "day")
 
 
 def _by_day(rollups: DataFrame) -> DataFrame:
@@ -62,8 +63,8 @@ def refresh_window(
     days = F.col("day").between(F.to_date(start), F.to_date(end))
     kept = stored.where(days & ~inside(F.col("bucket")))
     fresh = _by_day(rollup(weights.where(inside(bucket("time", HOUR))), keys, HOUR))
-    days_anew = staged(kept.unionByName(fresh), "refresh")
-    days_anew.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(folder)
+    # The new days are complete elsewhere before the stored ones are replaced.
+    write_by(staged(kept.unionByName(fresh), "refresh"), folder, "day", replace=True)
 
 
 def realtime_union(

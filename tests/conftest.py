@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         # Compiling generated code costs more than it saves on a handful of rows.
         .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

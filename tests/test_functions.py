@@ -43,3 +43,11 @@ def test_translation(spark, language, text):
 
 def test_general_key(spark):
     assert one(spark, general_key(F.lit("_29_2_39_1"))) == "_29_1_39_1"
+
+
+def test_raw_names(spark):
+    from plantpulse.schemas import WEIGHTS, from_raw
+
+    raw = spark.createDataFrame([("1", 2.0, "x")], "machineserial string, recipientweight_fNetWeight double, other string")
+    assert from_raw(raw).columns == ["serial", "net", "other"]
+    assert "net" in WEIGHTS.fieldNames()
