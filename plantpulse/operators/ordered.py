@@ -5,8 +5,8 @@ chatty machine may hold a third of the data. The operators here cut time into sl
 window runs over (key, slice), and pass what crosses a slice border through a summary with one
 row per key and slice. The results equal those of the plain window.
 
-Slices are days. A day in which some key has too many rows is cut further. A slice depends on
-the time alone, so a frame is sliced once (``TimeOrder.sliced``) and every later operator can
+Slices are days. A day in which some key has too many rows is cut into minutes, and a minute
+that still has too many into equal parts. A slice depends on the time alone, so a frame is sliced once (``TimeOrder.sliced``) and every later operator can
 use the slices, whatever its key.
 
 Each operator reads its input twice, for the rows and for the summary. Where one operator feeds
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 KEY = "_key"
 SLICE = "_slice"
-_CELL = "_cell"
-_PARTS = "_parts"
+_DAY = "_day"
+_MINUTE = "_minute"
 
 
 @dataclass(frozen=True)
@@ -65,27 +65,43 @@ class TimeOrder:
         return W.partitionBy(KEY).orderBy(by)
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """Add the slice column, unless the frame has one already."""
+        """Add the slice column, unless the frame has one already.
+
+        A slice is a day, or a minute in a day that is too dense, or an equal part of a minute
+        that is still too dense. All of them start at a time, and later rows never get an
+        earlier slice.
+        """
         if SLICE in df.columns:
             return df
-        width = self.slice_seconds * 1_000_000
-        at = f"unix_micros(cast({self.time} as timestamp))"
-        cell = F.expr(f"{at} - pmod({at}, {width})")
         if self.rows_per_slice is None:
-            return df.withColumn(SLICE, cell)
-        celled = df.withColumn(_CELL, cell)
-        # At most one row per day, and only for days above the limit.
-        dense = (
-            celled.groupBy(self.key().alias(KEY), _CELL)
-            .agg(F.expr("count(1) AS _n"))
-            .groupBy(_CELL)
-            .agg(F.expr("max(_n) AS _n"))
-            .where(f"_n > {self.rows_per_slice}")
-            .selectExpr(_CELL, f"4 * ceil(_n / {self.rows_per_slice}) AS {_PARTS}")
+            return df.withColumn(SLICE, F.expr(self._start_of(self.slice_seconds)))
+        # One row per day that is too dense. Without such days the second count reads nothing.
+        days = self._dense(df, _DAY, self.slice_seconds).select(_DAY, F.lit(True).alias("_minutes"))
+        in_dense_days = df.withColumn(_DAY, F.expr(self._start_of(self.slice_seconds))).join(F.broadcast(days), _DAY)
+        # A minute counts more than the limit, so there are at most rows / limit of them.
+        parts = f"4 * ceil(_n / {self.rows_per_slice}) AS _parts"
+        minutes = self._dense(in_dense_days, _MINUTE, 60).selectExpr(_MINUTE, parts)
+        step = "greatest(1, 60000000 div _parts)"
+        placed = (
+            df.withColumns({_DAY: F.expr(self._start_of(self.slice_seconds)), _MINUTE: F.expr(self._start_of(60))})
+            .join(F.broadcast(days), _DAY, "left")
+            .join(F.broadcast(minutes), _MINUTE, "left")
         )
-        step = f"greatest(1, {width} div coalesce({_PARTS}, 1))"
-        part = F.expr(f"{at} - pmod({at} - {_CELL}, {step})")
-        return celled.join(F.broadcast(dense), _CELL, "left").withColumn(SLICE, part).drop(_CELL, _PARTS)
+        start = F.expr(
+            f"CASE WHEN _parts IS NOT NULL THEN {self._micros()} - pmod({self._micros()} - {_MINUTE}, {step}) "
+            f"WHEN _minutes THEN {_MINUTE} ELSE {_DAY} END")
+        return placed.withColumn(SLICE, start).drop(_DAY, _MINUTE, "_minutes", "_parts")
+
+    def _micros(self) -> str:
+        return f"unix_micros(cast({self.time} as timestamp))"
+
+    def _start_of(self, seconds: int) -> str:
+        return f"{self._micros()} - pmod({self._micros()}, {seconds * 1_000_000})"
+
+    def _dense(self, df: DataFrame, cell: str, seconds: int) -> DataFrame:
+        """Cells of time in which some key has more rows than a slice should hold."""
+        counts = df.groupBy(self.key().alias(KEY), F.expr(self._start_of(seconds)).alias(cell)).agg(F.expr("count(1) AS _n"))
+        return counts.groupBy(cell).agg(F.expr("max(_n) AS _n")).where(f"_n > {self.rows_per_slice}")
 
     def prepared(self, df: DataFrame) -> DataFrame:
         return self.sliced(df).withColumn(KEY, self.key())

@@ -108,12 +108,12 @@ def _(p):
 WITH s AS (SELECT unnest(generate_series(time_bucket(INTERVAL 900 SECOND, lo), time_bucket(INTERVAL 900 SECOND, hi),
              INTERVAL 900 SECOND)) AS bucket FROM (SELECT min(time) lo, max(time) hi FROM weights)),
 a AS (SELECT time_bucket(INTERVAL 900 SECOND, time) AS bucket, sum(net) AS total, count(net) AS boxes FROM weights GROUP BY 1)
-SELECT s.bucket, round(total, 6) AS total, boxes, round(total / nullif(boxes, 0), 6) AS per_box,
+SELECT s.bucket, round(total, 6) AS total, boxes, round(total / nullif(boxes, 0), 9) AS per_box,
   round(total * 4, 6) AS total_per_hour, boxes * 4 AS boxes_per_hour FROM s LEFT JOIN a ON a.bucket = s.bucket""")
 def _(p):
     filled = gapfill(p.weights, [], 900, {"total": F.sum("net"), "boxes": F.count("net")})
     return filled.select(
-        "bucket", F.round("total", 6).alias("total"), "boxes", F.round(ratio(F.col("total"), F.col("boxes")), 6).alias("per_box"),
+        "bucket", F.round("total", 6).alias("total"), "boxes", F.round(ratio(F.col("total"), F.col("boxes")), 9).alias("per_box"),
         F.round(F.col("total") * 4, 6).alias("total_per_hour"), (F.col("boxes") * 4).alias("boxes_per_hour"))
 
 

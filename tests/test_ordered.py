@@ -106,12 +106,18 @@ def test_slices_carry_over_to_another_key(spark, rows):
     assert got == {r[0]: (line[i - 1][0] if i else None) for i, r in enumerate(line)}
 
 
-def test_dense_days_are_cut(spark):
-    rows = [(i, at(i * 60), "hot", 1.0) for i in range(1000)] + [(1000 + i, at(i * 3600), "b", 1.0) for i in range(10)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    sliced = TimeOrder(keys=["key"], rows_per_slice=100).sliced(df)
-    largest = sliced.groupBy("key", SLICE).count().agg(F.max("count")).first()[0]
-    assert largest <= 100
+def test_dense_days_and_minutes_are_cut(spark):
+    even = [(i, at(i * 60), "hot", 1.0) for i in range(1000)]
+    burst = [(2000 + i, at(200_000 + i / 100), "hot", 1.0) for i in range(1000)]
+    sparse = [(4000 + i, at(400_000 + i * 3600), "b", 1.0) for i in range(10)]
+    df = spark.createDataFrame(even + burst + sparse, SCHEMA)
+    order = TimeOrder(keys=["key"], rows_per_slice=100)
+    sizes = order.sliced(df).groupBy("key", SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 150
+    assert sizes.where("key = 'b'").count() == 2
+    got = {r["uuid"]: r["p"] for r in with_previous(df, order, p="uuid").where("key = 'hot'").collect()}
+    line = [r[0] for r in even + burst]
+    assert got == {u: (line[i - 1] if i else None) for i, u in enumerate(line)}
 
 
 def test_empty_input(spark):
