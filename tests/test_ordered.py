@@ -133,3 +133,11 @@ def test_no_window_over_a_whole_key(spark, rows):
     assert "SinglePartition" not in plan
     windows = [x for x in plan.split("\n") if "Window [lag" in x and "_w0" in x]
     assert windows and all(SLICE in x for x in windows)
+
+
+def test_staged_rows_lie_in_the_shared_folder(spark, rows):
+    from plantpulse.session import staged
+
+    kept = staged(spark.createDataFrame(rows, SCHEMA), "kept")
+    assert kept.count() == len(rows)
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in kept.inputFiles())
