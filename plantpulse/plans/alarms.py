@@ -16,6 +16,7 @@ from plantpulse.session import staged
 from plantpulse.sources.sinks import only_new
 
 BY_ALARM = TimeOrder(keys=["serial", "idx"])
+# Alarm states.
 ACTIVE = (1, 10)
 WAITING = 20
 COLUMNS = ["uuid", "time", "machine", "serial", "recipe", "batch", "idx", "skey", "state"]
@@ -51,6 +52,12 @@ def redundant_zeros(alarms: DataFrame) -> DataFrame:
     return with_previous_state(alarms).where(both).select(*alarms.columns)
 
 
+def without_redundant_zeros(alarms: DataFrame) -> DataFrame:
+    """All rows but the redundant zeros; the alarm blocks stay the same."""
+    both = (F.col("state") == 0) & (F.col("previous_state") == 0)
+    return with_previous_state(alarms).where(~F.coalesce(both, F.lit(False))).select(*alarms.columns)
+
+
 def _first_per_state(rows: Column) -> Column:
     """Rows of a short array whose state did not occur earlier in it."""
 

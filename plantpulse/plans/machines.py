@@ -14,9 +14,9 @@ from plantpulse.operators.aggregates import most_frequent
 from plantpulse.operators.joins import asof
 from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_neighbours, with_next, with_previous
 from plantpulse.session import staged
-from plantpulse.sources.sinks import backfill
 
 BY_MACHINE = TimeOrder(keys=["serial"])
+# Program states that count as alarm and as waiting.
 ALARM_STATE = 600
 WAITING_STATES = (100, 200, 300, 400, 500)
 
@@ -44,10 +44,10 @@ def carry_forward(general: DataFrame, state: str, carried: str, machines: int =
     start = carry_start(general, state, carried, machines)
     if start is None:
         return general
-    since = F.lit(start.isoformat()).cast("timestamp_ntz")
-    open_rows = general.select("uuid", "time", "serial", state).where(F.col("time") >= since)
-    values = carry(open_rows, BY_MACHINE, **{carried: state}).select("uuid", carried)
-    return backfill(general, values, "uuid", carried)
+    from_start = F.coalesce(F.col("time") >= F.lit(start.isoformat()).cast("timestamp_ntz"), F.lit(False))
+    filled = carry(general.where(from_start), BY_MACHINE, _value=state)
+    filled = filled.withColumn(carried, F.coalesce("_value", carried)).drop("_value")
+    return general.where(~from_start).unionByName(filled)
 
 
 def state_timeline(general: DataFrame, state: str = "program_state") -> DataFrame:

@@ -131,7 +131,7 @@ def _(p):
     return result
 
 
-_RETENTION = [("events", '{"drop_after": "365 days", "hypertable_id": 31}'), ("lineitem", '{"drop_after": "10 years"}'),
+_RETENTION = [("events", '{"drop_after": "365 days", "table_id": 31}'), ("lineitem", '{"drop_after": "10 years"}'),
               ("part", '{"compress_after": "7 days"}')]
 
 

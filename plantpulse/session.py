@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a batch that holds many rows also where an aggregate by batch follows the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
