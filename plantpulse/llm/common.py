@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantpulse.session import shared_folder
+
 #: Seeds, folds and samples are all taken from these hashes, so reruns agree.
 FOLDS = 5
 
@@ -46,3 +48,21 @@ class Recent(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def text_key() -> Column:
+    """A key for the text of a row; NULL counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The frame as a table in the shared folder, and that table's folder."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`written` made."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plantpulse.llm.common import read
+from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
+from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
 from plantpulse.llm.vector_topk import quantised, top_k
 from plantpulse.session import prepare
@@ -61,3 +63,47 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantised(read(spark, sf_dir, "embeddings"))
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op10_simhash_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", fingerprint_text().alias("fingerprint"), "component_id")
+
+
+@query("op3_source_mix", r"""
+    WITH docs AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+        FROM documents
+    ), sizes AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
+    ), weighed AS (
+        SELECT source, source_size, 2.0::DOUBLE * source_size AS most, place,
+               CAST([5, 2, 1][CAST((place - 1) % 3 + 1 AS INTEGER)] AS DOUBLE) AS weight
+        FROM (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS place FROM sizes)
+    ), filled AS (
+        SELECT *, most / weight AS fill,
+               coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+               sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
+               CAST(sum(source_size) OVER () AS DOUBLE) AS everything
+        FROM weighed
+    ), level AS (
+        SELECT arg_min((1.5::DOUBLE * everything - used) / open_weight, (fill, place)) AS level
+        FROM filled WHERE (1.5::DOUBLE * everything - used) / open_weight <= fill
+    ), targets AS (
+        SELECT source, source_size, least(most, weight * level) AS target,
+               CAST(CAST('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS first_at
+        FROM filled, level
+    ), placed AS (
+        SELECT d.doc_id, d.size, t.source_size, t.target, t.first_at,
+               CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0 END AS rate,
+               CAST(row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS DOUBLE) AS nth
+        FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size, source_size, target,
+           size * CAST(floor(first_at + rate * nth) - floor(first_at + rate * (nth - 1)) AS BIGINT) AS taken
+    FROM placed
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = copies(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (rows["size"] * rows["copies"]).alias("taken"))
