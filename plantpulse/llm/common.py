@@ -43,11 +43,17 @@ class Recent(dict):
         value = self._old.get(key)
         if value is None:
             value = self._make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key: Any, value: Any) -> None:
         if len(self) >= self._size:
             self._old = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def held(self, key: Any) -> bool:
+        return key in self or key in self._old
 
 
 def text_key() -> Column:

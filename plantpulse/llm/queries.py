@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plantpulse.llm.common import read
+from plantpulse.llm.common import fold, read
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
 from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
+from plantpulse.llm.toxicity import learned, scored
 from plantpulse.llm.vector_topk import quantised, top_k
 from plantpulse.session import prepare
 
@@ -107,3 +109,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = copies(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (rows["size"] * rows["copies"]).alias("taken"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = learned(docs, read(spark, sf_dir, "labels"))
+    score = F.col("toxicity")
+    return scored(docs, machine).select(
+        "doc_id", (fold() == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
