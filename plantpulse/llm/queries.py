@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantpulse.llm.common import fold, read
+from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
 from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
@@ -118,3 +119,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.col("toxicity")
     return scored(docs, machine).select(
         "doc_id", (fold() == 0).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op1_personal_data")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), trained(examples(spark)))
+    return found.select(
+        "doc_id", "found.n_email", "found.n_ip", "found.n_card", "found.n_phone",
+        F.sha2(F.col("found.base_spans"), 256).alias("base_sha256"), "found.spans")
