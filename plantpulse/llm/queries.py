@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.common import fold, read
 from plantpulse.llm.personal_data import examples, trained, with_spans
+from plantpulse.llm.piece_sampling import segmentations
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
 from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
@@ -127,3 +128,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "found.n_email", "found.n_ip", "found.n_card", "found.n_phone",
         F.sha2(F.col("found.base_spans"), 256).alias("base_sha256"), "found.spans")
+
+
+@query("op5_piece_sampling")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    drawn = segmentations(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return drawn.select(
+        "doc_id", "sample", F.size("pieces").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "log_prob",
+        "noisy_value", "log_inclusion", "round_trip")
