@@ -11,6 +11,7 @@ from plantpulse.llm.common import fold, read
 from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.piece_sampling import segmentations
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
+from plantpulse.llm.sketches import edited_likeness
 from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
 from plantpulse.llm.toxicity import learned, scored
@@ -138,3 +139,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(
         "doc_id", "sample", F.size("pieces").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "log_prob",
         "noisy_value", "log_inclusion", "round_trip")
+
+
+@query("op2_sketches")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(read(spark, sf_dir, "documents"))
