@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantpulse.llm import class_lm
 from plantpulse.llm.common import fold, read
 from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.piece_sampling import segmentations
@@ -144,3 +145,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_sketches")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(read(spark, sf_dir, "documents"))
+
+
+@query("op8_class_lm")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = class_lm.trained(docs)
+    return class_lm.scored(docs, model, counts)
