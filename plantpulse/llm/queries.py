@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantpulse.llm import class_lm
+from plantpulse.llm import class_lm, main_text
 from plantpulse.llm.common import fold, read
 from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.piece_sampling import segmentations
@@ -152,3 +152,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model, counts = class_lm.trained(docs)
     return class_lm.scored(docs, model, counts)
+
+
+@query("op6_main_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = main_text.extracted(read(spark, sf_dir, "pages"), main_text.trained(main_text.examples(spark)))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
