@@ -42,7 +42,10 @@ _KIND = np.array([
     c - 97 if 97 <= c < 123 else c - 22 if 48 <= c < 58 else 36 + c % 25 for c in range(0x3000)], dtype=np.int64)
 SPAN = 7
 DECAY = 0.75
+#: Longest word that is read as one, and how longer ones are cut.
 WINDOW = 16
+PART = 12
+STEP = 4
 #: Words whose scores a Python worker remembers; bounds its memory only.
 REMEMBERED = 400_000
 #: Documents whose words are held at a time.
@@ -57,7 +60,7 @@ def windows(word: str) -> list[str]:
     plain = word if word.isalnum() else _MARKS.sub("", word)
     if len(plain) <= WINDOW:
         return [plain]
-    return [plain[i : i + WINDOW] for i in range(0, len(plain) - WINDOW // 2, WINDOW // 2)]
+    return [plain[i : i + PART] for i in range(0, len(plain) - PART + STEP, STEP)]
 
 
 def raw_words(text: str | None) -> list[str]:
