@@ -76,17 +76,24 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return i, j, k, DECAY ** (k - i + 1.0)
 
 
+def _alike(lengths: np.ndarray, most: int = 1500) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of equal length, so many at a time that their arrays stay small."""
+    for n in np.unique(lengths[lengths >= 3]):
+        where = np.flatnonzero(lengths == n)
+        for at in range(0, len(where), most):
+            yield int(n), where[at : at + most]
+
+
 def features(units: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For units of equal length: their places, triples (sorted in a row), and normalised weights.
 
     A triple that occurs more than once in a unit has its whole weight at the last occurrence.
     """
     lengths = np.array([len(u) for u in units])
-    for n in np.unique(lengths[lengths >= 3]):
-        where = np.flatnonzero(lengths == n)
+    for n, where in _alike(lengths):
         points = np.array([list(map(ord, units[w])) for w in where], dtype=np.int64)
         letters = np.where(points < len(_KIND), _KIND[np.minimum(points, len(_KIND) - 1)], 36 + points % 25)
-        i, j, k, weight = _triples(int(n))
+        i, j, k, weight = _triples(n)
         codes = (letters[:, i] * LETTERS + letters[:, j]) * LETTERS + letters[:, k]
         order = np.argsort(codes, axis=1, kind="stable")
         codes = np.take_along_axis(codes, order, axis=1)
@@ -123,8 +130,8 @@ def _kernel(units: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Kernel of each unit with each landmark; ``landmarks`` has a column of triple weights for each."""
     out = np.zeros((len(units), landmarks.shape[1]))
     for where, codes, weight in features(units):
-        for a in range(0, len(where), 500):
-            out[where[a : a + 500]] = np.einsum("rt,rtl->rl", weight[a : a + 500], landmarks[codes[a : a + 500]])
+        for a in range(0, len(where), 100):
+            out[where[a : a + 100]] = np.einsum("rt,rtl->rl", weight[a : a + 100], landmarks[codes[a : a + 100]])
     return out
 
 
