@@ -69,11 +69,12 @@ class TimeOrder:
 
         A slice is a day, or a minute in a day that is too dense, or an equal part of a minute
         that is still too dense. All of them start at a time, and later rows never get an
-        earlier slice.
+        earlier slice. The dense cells are counted as a part of the plan, from key and time alone; no
+        job runs while it is built. Without ``rows_per_slice`` all slices have the fixed width.
         """
         if SLICE in df.columns:
             return df
-        if self.rows_per_slice is None or self._peak(df) <= self.rows_per_slice:
+        if self.rows_per_slice is None:
             return df.withColumn(SLICE, F.expr(self._start_of(self.slice_seconds)))
         # One row per day that is too dense.
         days = self._dense(df, _DAY, self.slice_seconds).select(_DAY, F.lit(True).alias("_minutes"))
@@ -102,13 +103,6 @@ class TimeOrder:
         cells = F.expr(self._start_of(seconds)).alias(cell)
         return df.groupBy(self.key().alias(KEY), cells).agg(F.expr("count(1) AS _n"))
 
-    def _peak(self, df: DataFrame) -> int:
-        """Most rows any key has in one day: one number, from key and time alone.
-
-        Knowing it while the plan is built keeps the usual plan free of the cutting below.
-        """
-        return self._counts(df, _DAY, self.slice_seconds).agg(F.max("_n")).first()[0] or 0
-
     def _dense(self, df: DataFrame, cell: str, seconds: int) -> DataFrame:
         """Cells of time in which some key has more rows than a slice should hold."""
         counts = self._counts(df, cell, seconds)
@@ -168,8 +162,14 @@ def with_next(df: DataFrame, order: TimeOrder, more: str | None = None, **column
     return with_neighbours(df, order, following=columns, more=more)
 
 
-def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns: Sequence[str]) -> DataFrame:
-    """Array of the next ``n`` rows of the key (fewer at the end), nearest first."""
+def with_next_rows(
+    df: DataFrame, order: TimeOrder, n: int, alias: str, columns: Sequence[str], same_instant: bool = False
+) -> DataFrame:
+    """Array of the next ``n`` rows of the key (fewer at the end), nearest first.
+
+    With ``same_instant`` every other row of the row's own instant counts as next, so those that the
+    tie-breaker puts before it come first.
+    """
     base = order.prepared(df)
     row = F.struct(*columns)
     heads = (
@@ -182,6 +182,10 @@ def with_next_rows(df: DataFrame, order: TimeOrder, n: int, alias: str, columns:
     found = F.array(*[F.lead("_heads", i).over(order.across()) for i in range(1, n + 1)])
     later = heads.select(KEY, SLICE, F.flatten(F.filter(found, lambda a: a.isNotNull())).alias("_later"))
     near = F.array(*[F.lead(row, i).over(order.within()) for i in range(1, n + 1)])
+    if same_instant:
+        # Rows of one instant are in one slice.
+        earlier = W.partitionBy(KEY, SLICE, order.time).orderBy(*order.sort()).rowsBetween(W.unboundedPreceding, -1)
+        near = F.concat(F.array(*[F.nth_value(row, i).over(earlier) for i in range(1, n + 1)]), near)
     joined = _joined(base.withColumn("_near", F.filter(near, lambda r: r.isNotNull())), later)
     return joined.select(*df.columns, F.slice(F.concat("_near", "_later"), 1, n).alias(alias))
 

@@ -100,7 +100,7 @@ def block_rows(alarms: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """
     changes = staged(transitions(BY_ALARM.sliced(alarms.select(*COLUMNS))), "alarm-changes")
     by_machine = TimeOrder(keys=["machine", "idx"])
-    anchors = with_next_rows(changes, by_machine, 3, "_after", [*COLUMNS, SLICE]).where(F.col("state") == 0)
+    anchors = with_next_rows(changes, by_machine, 3, "_after", [*COLUMNS, SLICE], same_instant=True).where(F.col("state") == 0)
     closed = with_next(anchors, BY_ALARM, block_uuid="uuid").select("block_uuid", "_after")
     if stored is not None:
         closed = only_new(closed, stored, ["block_uuid"])
@@ -141,14 +141,11 @@ def alarm_lines_strict(alarms: DataFrame) -> DataFrame:
     return _lines(kept.withColumn("_next_time", F.lead("time").over(inside)))
 
 
-def range_report(lines: DataFrame, idx: str, batch: str, start: Column, end: Column, limit: int = 1000) -> DataFrame:
+def range_report(lines: DataFrame, idx: str, batch: str, start: Column, end: Column, limit: int | None = None) -> DataFrame:
     """First lines of one alarm and batch in a closed time range."""
     inside = F.col("time").between(start, end)
-    return (
-        lines.where((F.col("idx") == idx) & (F.col("batch") == batch) & inside)
-        .orderBy("time", "block_uuid")
-        .limit(limit)
-    )
+    found = lines.where((F.col("idx") == idx) & (F.col("batch") == batch) & inside).orderBy("time", "block_uuid")
+    return found if limit is None else found.limit(limit)
 
 
 def modal_interval(alarms: DataFrame, by: str, zero_rows_only: bool = True) -> DataFrame:

@@ -21,21 +21,21 @@ ALARM_STATE = 600
 WAITING_STATES = (100, 200, 300, 400, 500)
 
 
-def carry_start(general: DataFrame, state: str, carried: str, machines: int = 10) -> datetime | None:
+def carry_start(general: DataFrame, state: str, carried: str, machines: int | None = None) -> datetime | None:
     """Time from which values have to be carried again.
 
     Before the first row without a carried value, each machine has a last known value; the
-    earliest of these times counts, over the machines seen most recently. The result is a plain
-    value, so that the scan that follows can skip older files.
+    earliest of these times counts, over all machines or the ``machines`` seen most recently. The result
+    is a plain value, so that the scan that follows can skip older files.
     """
     first_open = general.where(F.col(carried).isNull()).agg(F.min("time")).scalar()
     known = general.where(F.col(state).isNotNull() & (F.col("time") <= first_open))
     recent = known.groupBy("serial").agg(F.max("time").alias("time"))
-    newest = recent.orderBy(F.col("time").desc(), "serial").limit(machines)
+    newest = recent if machines is None else recent.orderBy(F.col("time").desc(), "serial").limit(machines)
     return newest.agg(F.min("time")).first()[0]
 
 
-def carry_forward(general: DataFrame, state: str, carried: str, machines: int = 10) -> DataFrame:
+def carry_forward(general: DataFrame, state: str, carried: str, machines: int | None = None) -> DataFrame:
     """Fill ``carried`` with the last known state per machine, from the start computed above.
 
     Rows before the start keep their value, and no value is replaced by NULL. Where no machine
@@ -44,10 +44,10 @@ def carry_forward(general: DataFrame, state: str, carried: str, machines: int =
     start = carry_start(general, state, carried, machines)
     if start is None:
         return general
-    from_start = F.coalesce(F.col("time") >= F.lit(start.isoformat()).cast("timestamp_ntz"), F.lit(False))
-    filled = carry(general.where(from_start), BY_MACHINE, _value=state)
+    at = F.lit(start.isoformat()).cast("timestamp_ntz")
+    filled = carry(general.where(F.col("time") >= at), BY_MACHINE, _value=state)
     filled = filled.withColumn(carried, F.coalesce("_value", carried)).drop("_value")
-    return general.where(~from_start).unionByName(filled)
+    return general.where((F.col("time") < at) | F.col("time").isNull()).unionByName(filled)
 
 
 def state_timeline(general: DataFrame, state: str = "program_state") -> DataFrame:
@@ -137,7 +137,8 @@ def state_durations(
     among all rows of the batch, whatever the machine.
     """
     run_order = TimeOrder(keys=list(keys))
-    rows = run_order.sliced(general.where(F.col(state).isNotNull()).select(
+    # Slices are measured on the coarsest key that is used with them.
+    rows = TimeOrder(keys=list(next_within or keys)).sliced(general.where(F.col(state).isNotNull()).select(
         *dict.fromkeys([*keys, *(next_within or []), "time", "uuid", state])))
     before, after = {"_was": state}, {"_next_time": "time"}
     if next_within is None:
@@ -188,18 +189,19 @@ def state_backfill(general: DataFrame, batch: Column, state: str = "program_stat
 
 
 def flag_durations(status: DataFrame, batches: DataFrame, as_of: Column, flags: Sequence[str]) -> DataFrame:
-    """Time per value of each flag and batch, with the batch's start, end and total time.
+    """Time per value of each flag, machine with its index, and batch, with the batch's start, end and total time.
 
     ``batches`` gives ``batch``, ``start_time`` and ``end_time`` (NULL while running).
     """
     bounds = batches.withColumn("end_time", F.coalesce("end_time", as_of))
-    rows = status.select("machine", "batch", "time", "uuid", *flags)
-    timed = with_next(rows, TimeOrder(keys=["machine", "batch"]), _next_time="time")
+    key = ["machine", "machine_index", "batch"]
+    rows = status.select(*key, "time", "uuid", *flags)
+    timed = with_next(rows, TimeOrder(keys=key), _next_time="time")
     timed = timed.join(bounds, "batch").withColumn(
         "_seconds", seconds_between("time", F.coalesce("_next_time", "end_time")))
     long = timed.unpivot(
-        ["machine", "batch", "start_time", "end_time", "_seconds"], list(flags), "flag", "state")
-    totals = long.groupBy("machine", "batch", "flag", "state", "start_time", "end_time").agg(
+        [*key, "start_time", "end_time", "_seconds"], list(flags), "flag", "state")
+    totals = long.groupBy(*key, "flag", "state", "start_time", "end_time").agg(
         F.sum("_seconds").alias("duration_seconds"))
     return totals.withColumn("batch_seconds", seconds_between("start_time", "end_time"))
 
@@ -207,6 +209,7 @@ def flag_durations(status: DataFrame, batches: DataFrame, as_of: Column, flags:
 def batch_periods(df: DataFrame, batch: str = "batch") -> DataFrame:
     """Start of each batch and start of the one after it."""
     starts = df.groupBy(F.col(batch).alias("batch")).agg(F.min("time").alias("start_time"))
+    # One row for each batch: few enough for slices of a fixed width.
     order = TimeOrder(keys=[], time="start_time", tie=("batch",), rows_per_slice=None)
     return with_next(staged(starts, "batch-starts"), order, end_time="start_time")
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from plantpulse.operators.joins import interval_join
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count, "stddev": F.stddev_samp}
-WIDE_COLUMNS = 7
 
 
 @dataclass(frozen=True)
@@ -81,13 +80,14 @@ def unnest_arrays(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.inline(pairs)).toDF(*keys, "name", "value")
 
 
-def metric_columns(df: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str]) -> DataFrame:
-    """Per key the metrics as d1..d7; a column without a metric is 0, a NULL metric stays NULL."""
-    if len(specs) > WIDE_COLUMNS:
-        raise ValueError(f"at most {WIDE_COLUMNS} metrics")
+def metric_columns(df: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], columns: int = 0) -> DataFrame:
+    """Per key the metrics as d1, d2 and so on, ``columns`` of them or as many as there are metrics.
+
+    A column without a metric is 0, a NULL metric stays NULL.
+    """
     sums = df.groupBy(*keys).agg(*_named(specs))
     wide = [
-        (F.col(f"_m{i}") if i < len(specs) else F.lit(0.0)).alias(f"d{i + 1}") for i in range(WIDE_COLUMNS)]
+        (F.col(f"_m{i}") if i < len(specs) else F.lit(0.0)).alias(f"d{i + 1}") for i in range(max(columns, len(specs)))]
     return sums.select(*keys, *wide)
 
 
@@ -105,6 +105,6 @@ def metric_per_period(df: DataFrame, periods: DataFrame, specs: Sequence[MetricS
     return metric_arrays(in_periods(df, periods), specs, PERIOD_KEYS)
 
 
-def metric_per_period_wide(df: DataFrame, periods: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
-    """Metrics d1..d7 for each recipe period."""
-    return metric_columns(in_periods(df, periods), specs, PERIOD_KEYS)
+def metric_per_period_wide(df: DataFrame, periods: DataFrame, specs: Sequence[MetricSpec], columns: int = 0) -> DataFrame:
+    """Metrics as columns for each recipe period."""
+    return metric_columns(in_periods(df, periods), specs, PERIOD_KEYS, columns)

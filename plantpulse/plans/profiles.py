@@ -1,62 +1,53 @@
-"""Profiles of stored tables: chunks, sizes over time, and one overview of everything."""
+"""Profiles of stored tables: chunks, rows over time, files, and one overview of everything."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plantpulse.functions.time import bucket, seconds_between
-from plantpulse.functions.values import pretty_bytes, ratio
 
 DAY = 86_400
 
 
-def chunk_details(df: DataFrame, name: str, time: str, size: Column, chunk_seconds: int = DAY) -> DataFrame:
-    """Rows, bytes and time range of each chunk of a table."""
+def chunk_details(df: DataFrame, name: str, time: str, chunk_seconds: int = DAY) -> DataFrame:
+    """Rows and time range of each chunk of a table."""
     return df.groupBy(bucket(time, chunk_seconds).alias("chunk_start")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"),
-        F.min(time).alias("first_time"), F.max(time).alias("last_time"),
+        F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_time"), F.max(time).alias("last_time"),
     ).select(
         F.lit(name).alias("name"), "chunk_start",
         (F.col("chunk_start") + F.make_dt_interval(secs=F.lit(chunk_seconds))).alias("chunk_end"),
-        "rows", "bytes", "first_time", "last_time")
+        "rows", "first_time", "last_time")
 
 
 def chunk_summary(details: DataFrame) -> DataFrame:
-    """Number of chunks, rows, bytes, range and longest chunk of each table."""
+    """Number of chunks, rows, range and longest chunk of each table."""
     return details.groupBy("name").agg(
-        F.count(F.lit(1)).alias("chunks"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+        F.count(F.lit(1)).alias("chunks"), F.sum("rows").alias("rows"),
         F.min("chunk_start").alias("range_start"), F.max("chunk_end").alias("range_end"),
         F.max(seconds_between("chunk_start", "chunk_end")).alias("chunk_seconds"),
     ).withColumn("span_seconds", seconds_between("range_start", "range_end"))
 
 
-def size_snapshots(df: DataFrame, relation: str, time: str, size: Column) -> DataFrame:
-    """Rows and bytes each relation held at the end of every day.
+def row_growth(df: DataFrame, relation: str, time: str) -> DataFrame:
+    """Rows of each relation so far at the end of every day, and those of the day.
 
     The running totals go over one row per relation and day.
     """
-    daily = df.groupBy(F.col(relation).alias("relation"), bucket(time, DAY).alias("day")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_bytes"))
+    daily = df.groupBy(F.col(relation).alias("relation"), bucket(time, DAY).alias("day")).agg(F.count(F.lit(1)).alias("growth"))
     so_far = W.partitionBy("relation").orderBy("day").rowsBetween(W.unboundedPreceding, 0)
-    totals = daily.select(
-        "relation", (F.col("day") + F.make_dt_interval(days=F.lit(1))).alias("time"),
-        F.sum("_rows").over(so_far).alias("rows"), F.sum("_bytes").over(so_far).alias("bytes"),
-        F.col("_bytes").alias("growth"))
-    return totals.withColumns({
-        "bytes_per_row": ratio(F.col("bytes"), F.col("rows")),
-        "rows_per_mb": ratio(F.col("rows") * F.lit(1024.0 * 1024.0), F.col("bytes"))})
+    return daily.select(
+        "relation", (F.col("day") + F.make_dt_interval(days=F.lit(1))).alias("time"), F.sum("growth").over(so_far).alias("rows"), "growth")
 
 
-def latest_sizes(snapshots: DataFrame) -> DataFrame:
-    """The newest snapshot, with readable sizes and each relation's share."""
-    latest = snapshots.where(F.col("time") == snapshots.agg(F.max("time")).scalar())
-    total = latest.agg(F.sum("bytes")).scalar()
-    return latest.select("relation", "time", "rows", "bytes", pretty_bytes(F.col("bytes")).alias("size"),
-                         (F.col("bytes") / F.nullif(total, F.lit(0))).alias("share"))
+def latest_rows(growth: DataFrame) -> DataFrame:
+    """The newest day's rows and each relation's share of them."""
+    latest = growth.where(F.col("time") == growth.agg(F.max("time")).scalar())
+    total = latest.agg(F.sum("rows")).scalar()
+    return latest.select("relation", "time", "rows", (F.col("rows") / F.nullif(total, F.lit(0))).alias("share"))
 
 
 def file_sizes(df: DataFrame, name: str) -> DataFrame:
@@ -67,12 +58,9 @@ def file_sizes(df: DataFrame, name: str) -> DataFrame:
         F.sum("rows").alias("rows"))
 
 
-def relation_sizes(tables: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """Rows and bytes of each table."""
-    parts = [
-        df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"))
-        for name, (df, size) in tables.items()]
-    return _stacked(parts)
+def relation_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table."""
+    return _stacked([df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")) for name, df in tables.items()])
 
 
 def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
@@ -85,16 +73,15 @@ def _stacked(parts: Sequence[DataFrame]) -> DataFrame:
 def dataset_overview(
     base: DataFrame, summaries: DataFrame, chunks: DataFrame, retention: DataFrame
 ) -> DataFrame:
-    """Base tables and summaries in one list with size, chunks, period and retention.
+    """Base tables and summaries in one list with rows, chunks, period and retention.
 
-    ``base`` and ``summaries`` hold ``name, rows, bytes``; ``retention`` holds ``name, config``,
-    a JSON document. What a table lacks counts as 0.
+    ``base`` and ``summaries`` hold ``name, rows``; ``retention`` holds ``name, config``, a JSON document. What a
+    table lacks counts as 0.
     """
     labelled = base.withColumn("type", F.lit("Table")).unionByName(summaries.withColumn("type", F.lit("Summary")))
     found = chunks.select("name", "chunks", "range_start", "range_end", "span_seconds")
     kept = retention.select("name", F.get_json_object("config", "$.drop_after").alias("retention"))
     zero = F.lit(0)
     return labelled.join(found, "name", "left").join(kept, "name", "left").select(
-        "type", "name", F.coalesce("rows", zero).alias("rows"), F.coalesce("bytes", zero).alias("bytes"),
-        F.coalesce("chunks", zero).alias("chunks"), "range_start", "range_end",
-        F.coalesce("span_seconds", F.lit(0.0)).alias("span_seconds"), "retention")
+        "type", "name", F.coalesce("rows", zero).alias("rows"), F.coalesce("chunks", zero).alias("chunks"),
+        "range_start", "range_end", F.coalesce("span_seconds", F.lit(0.0)).alias("span_seconds"), "retention")

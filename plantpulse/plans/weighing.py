@@ -81,17 +81,17 @@ def quarter_hourly(weights: DataFrame, unit_id: str) -> DataFrame:
         last.alias("last_setpoint"))
 
 
-def batch_summary(rollups: DataFrame, pattern: str = "%", limit: int = 20) -> DataFrame:
+def batch_summary(rollups: DataFrame, pattern: str = "%", limit: int | None = None) -> DataFrame:
     """Per batch: recipe, times, target, tonnes, speed in tonnes per hour, boxes, average weight.
 
-    The newest batches count, by their id as text.
+    Newest first, by the id as text; with ``limit`` the newest ones only.
     """
     chosen = rollups.where(F.lower("recipe").like(pattern.lower()))
     sums = chosen.groupBy("batch").agg(
         F.min("filling_first_time").alias("batch_start"), F.max("filling_last_time").alias("batch_end"),
         F.sum("total_weight").alias("_kg"), F.sum("boxes").alias("boxes"))
     seconds = seconds_between("batch_start", "batch_end")
-    return (
+    newest = (
         sums.join(most_frequent(chosen, ["batch"], "recipe", "recipe"), "batch", "left")
         .join(most_frequent(chosen, ["batch"], "setpoint", "target_weight"), "batch", "left")
         .select(
@@ -100,9 +100,8 @@ def batch_summary(rollups: DataFrame, pattern: str = "%", limit: int = 20) -> Da
             ratio(F.col("_kg") * 3.6, seconds).alias("tonnes_per_hour"), "boxes",
             fixed(ratio(F.col("_kg"), F.col("boxes")), 2).alias("avg_weight"), "batch")
         .orderBy(F.col("batch").desc_nulls_first())
-        .limit(limit)
-        .drop("batch")
     )
+    return (newest if limit is None else newest.limit(limit)).drop("batch")
 
 
 def batch_throughput(rollups: DataFrame) -> DataFrame:

@@ -106,10 +106,10 @@ def _(p):
 
 
 @query("literal_columns", """
-SELECT uuid, 'recipe_15kg' AS recipe, 15.0::DOUBLE AS nominal, machine AS metric, net AS produced FROM weights""")
+SELECT uuid, 'fixed_target' AS recipe, 15.0::DOUBLE AS nominal, machine AS metric, net AS produced FROM weights""")
 def _(p):
     return p.weights.select(
-        "uuid", F.lit("recipe_15kg").alias("recipe"), F.lit(15.0).alias("nominal"),
+        "uuid", F.lit("fixed_target").alias("recipe"), F.lit(15.0).alias("nominal"),
         F.col("machine").alias("metric"), F.col("net").alias("produced"))
 
 

@@ -12,6 +12,7 @@ from plantpulse.plans.production import box_production
 from plantpulse.queries.alarms import _STEPS
 from plantpulse.queries.registry import query
 from plantpulse.session import staged
+from plantpulse.sources.series import numbered
 from plantpulse.sources.sinks import only_new
 
 
@@ -47,7 +48,7 @@ f AS (SELECT z.uuid AS anchor, t.uuid, t.state,
 SELECT anchor, uuid, state, pos FROM f WHERE pos <= 3""")
 def _(p):
     changes = staged(transitions(BY_ALARM.sliced(p.alarms)), "alarm-changes")
-    rows = with_next_rows(changes, TimeOrder(keys=["machine", "idx"]), 3, "after", ["uuid", "state"])
+    rows = with_next_rows(changes, TimeOrder(keys=["machine", "idx"]), 3, "after", ["uuid", "state"], same_instant=True)
     anchors = rows.where(F.col("state") == 0).select(F.col("uuid").alias("anchor"), F.posexplode("after").alias("i", "r"))
     return anchors.select("anchor", "r.uuid", "r.state", (F.col("i") + 1).cast("bigint").alias("pos"))
 
@@ -146,8 +147,8 @@ FROM s LEFT JOIN customer c ON floor(c.c_acctbal / 1000) = s.bin GROUP BY s.bin"
 def _(p):
     customers = p.table("customer")
     bin_ = F.floor(F.col("c_acctbal") / 1000)
-    spine = customers.where("c_acctbal < 9000").agg(F.min(bin_).alias("lo"), F.max(bin_).alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias("bin"))
+    spine = customers.where("c_acctbal < 9000").agg(F.min(bin_).alias("lo"), F.max(bin_).alias("hi"))
+    spine = numbered(spine, F.col("hi") - F.col("lo")).select((F.col("lo") + F.col("i")).alias("bin"))
     counts = customers.groupBy(bin_.alias("bin")).agg(
         F.count("*").alias("n"), F.count_if(F.col("c_mktsegment") == "BUILDING").alias("building"))
     return spine.join(counts, "bin", "left").na.fill(0, ["n", "building"])

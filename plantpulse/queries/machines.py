@@ -18,17 +18,18 @@ def _rounded(df, *columns, digits=6):
 
 
 def _carry_sql(state):
-    # Count partitions: rows up to the next known value share the count of known values.
+    # The newest known row up to each row, by a join of rows with known rows.
     return f"""
 WITH g AS (SELECT uuid, time, serial, {state} AS state,
              CASE WHEN time < TIMESTAMP '2024-01-16' THEN {state} END AS carried FROM general),
-f AS (SELECT min(time) AS t FROM g WHERE carried IS NULL),
-m AS (SELECT serial, max(time) AS t FROM g WHERE state IS NOT NULL AND time <= (SELECT t FROM f) GROUP BY serial
-      ORDER BY t DESC, serial LIMIT 10),
-c AS (SELECT uuid, serial, time, state, count(state) OVER (PARTITION BY serial ORDER BY time, uuid) AS part
-      FROM g WHERE time >= (SELECT min(t) FROM m)),
-v AS (SELECT uuid, first_value(state) OVER (PARTITION BY serial, part ORDER BY time, uuid) AS filled FROM c)
-SELECT g.uuid, g.serial, g.time, coalesce(v.filled, g.carried) AS carried FROM g LEFT JOIN v ON v.uuid = g.uuid"""
+opened AS (SELECT min(time) AS first_open FROM g WHERE carried IS NULL),
+seen AS (SELECT serial, max(time) AS last_known FROM g, opened WHERE state IS NOT NULL AND time <= first_open GROUP BY serial),
+since AS (SELECT min(last_known) AS since FROM seen),
+known AS (SELECT serial, time, uuid, state FROM g, since WHERE state IS NOT NULL AND time >= since)
+SELECT g.uuid, g.serial, g.time, coalesce(known.state, g.carried) AS carried
+FROM g CROSS JOIN since LEFT JOIN known
+  ON known.serial = g.serial AND (known.time, known.uuid) <= (g.time, g.uuid) AND g.time >= since
+QUALIFY row_number() OVER (PARTITION BY g.uuid ORDER BY known.time DESC NULLS LAST, known.uuid DESC) = 1"""
 
 
 def _carried(p, state):
@@ -196,30 +197,29 @@ def _(p):
     return _rounded(plan.state_group_report(durations), "total_seconds")
 
 
-def _stays_sql(keys):
+def _stays_sql(key, source="general"):
+    # A stay is a run of rows in the state: the difference of two numberings is the same all along a run. It is
+    # complete if a row stands before its first and after its last one.
     return f"""
-WITH b AS (SELECT {keys}, time, uuid, program_state AS st,
-    lag(program_state) OVER (PARTITION BY {keys} ORDER BY time, uuid) AS was
-  FROM general WHERE program_state IS NOT NULL),
-t AS (SELECT *, lag(time) OVER (PARTITION BY {keys} ORDER BY time, uuid) AS entered
-      FROM b WHERE st <> coalesce(was, st) AND (st = 600 OR was = 600)),
-x AS (SELECT * FROM t WHERE entered IS NOT NULL AND st <> 600)"""
+WITH numbered AS (
+  SELECT {key} AS k, time, program_state = 600 AS inside,
+    row_number() OVER (PARTITION BY {key} ORDER BY time, uuid) AS i,
+    row_number() OVER (PARTITION BY {key}, program_state = 600 ORDER BY time, uuid) AS j
+  FROM {source} WHERE program_state IS NOT NULL),
+spans AS (SELECT k, min(i) AS enters, max(i) + 1 AS leaves FROM numbered WHERE inside GROUP BY k, i - j),
+x AS (SELECT s.k, a.time AS entered, b.time AS time FROM spans s
+      JOIN numbered a ON a.k = s.k AND a.i = s.enters JOIN numbered b ON b.k = s.k AND b.i = s.leaves WHERE s.enters > 1)"""
 
 
 @query("alarm_count_time", _stays_sql("batch") + """
-SELECT batch, count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds FROM x GROUP BY batch""")
+SELECT k AS batch, count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds FROM x GROUP BY k""")
 def _(p):
     return _rounded(plan.stay_totals(p.general, ["batch"]), "stay_seconds")
 
 
-@query("alarm_count_time_recent", """
-WITH n AS (SELECT time, uuid, program_state FROM general WHERE program_state IS NOT NULL
-           ORDER BY time DESC, uuid DESC LIMIT 1000),
-b AS (SELECT time, uuid, program_state AS st, lag(program_state) OVER (ORDER BY time, uuid) AS was FROM n),
-t AS (SELECT *, lag(time) OVER (ORDER BY time, uuid) AS entered FROM b
-      WHERE st <> coalesce(was, st) AND (st = 600 OR was = 600))
-SELECT count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds
-FROM t WHERE entered IS NOT NULL AND st <> 600""")
+@query("alarm_count_time_recent", _stays_sql("1", """(
+    SELECT * FROM general WHERE program_state IS NOT NULL ORDER BY time DESC, uuid DESC LIMIT 1000)""") + """
+SELECT count(*) AS stays, round(sum(((epoch_us(time) - epoch_us(entered)) / 1e6)), 6) AS stay_seconds FROM x""")
 def _(p):
     newest = p.general.where(F.col("program_state").isNotNull()).orderBy(
         F.col("time").desc(), F.col("uuid").desc()).limit(1000)
@@ -227,10 +227,10 @@ def _(p):
 
 
 @query("state_backfill", """
-WITH b AS (SELECT *, count(program_state) OVER (PARTITION BY batch, serial ORDER BY time, uuid) AS part
-           FROM general WHERE batch = (SELECT max(batch) FROM general))
-SELECT uuid, serial, time, first_value(program_state) OVER (PARTITION BY batch, serial, part ORDER BY time, uuid)
-  AS program_state FROM b""")
+WITH b AS (SELECT * FROM general WHERE batch = (SELECT max(batch) FROM general))
+SELECT b.uuid, b.serial, b.time, known.program_state FROM b
+LEFT JOIN b known ON known.serial = b.serial AND known.program_state IS NOT NULL AND (known.time, known.uuid) <= (b.time, b.uuid)
+QUALIFY row_number() OVER (PARTITION BY b.uuid ORDER BY known.time DESC NULLS LAST, known.uuid DESC) = 1""")
 def _(p):
     g = p.general
     last = g.agg(F.max("batch")).scalar()
@@ -239,7 +239,7 @@ def _(p):
 
 _FLAGS = ["in_production", "default_state", "ready"]
 _FLAG_SQL = " UNION ALL ".join(
-    f"SELECT machine, batch, '{f}' AS flag, {f} AS state, start_time, end_time, seconds FROM s" for f in _FLAGS)
+    f"SELECT machine, machine_index, batch, '{f}' AS flag, {f} AS state, start_time, end_time, seconds FROM s" for f in _FLAGS)
 
 
 @query("flag_state_durations", f"""
@@ -247,11 +247,11 @@ WITH p AS (SELECT batch, start_time, coalesce(lead(start_time) OVER (ORDER BY st
              (SELECT max(time) FROM general)) AS end_time
            FROM (SELECT batch, min(time) AS start_time FROM general GROUP BY batch)),
 s AS (SELECT t.*, p.start_time, p.end_time,
-        ((epoch_us(coalesce(lead(t.time) OVER (PARTITION BY t.machine, t.batch ORDER BY t.time, t.uuid), p.end_time)) - epoch_us(t.time)) / 1e6) AS seconds
+        ((epoch_us(coalesce(lead(t.time) OVER (PARTITION BY t.machine, t.machine_index, t.batch ORDER BY t.time, t.uuid), p.end_time)) - epoch_us(t.time)) / 1e6) AS seconds
       FROM status t JOIN p ON p.batch = t.batch)
-SELECT machine, batch, flag, state, start_time, end_time, round(sum(seconds), 6) AS duration_seconds,
+SELECT machine, machine_index, batch, flag, state, start_time, end_time, round(sum(seconds), 6) AS duration_seconds,
   round(((epoch_us(end_time) - epoch_us(start_time)) / 1e6), 6) AS batch_seconds
-FROM ({_FLAG_SQL}) GROUP BY machine, batch, flag, state, start_time, end_time""")
+FROM ({_FLAG_SQL}) GROUP BY machine, machine_index, batch, flag, state, start_time, end_time""")
 def _(p):
     g = p.general
     durations = plan.flag_durations(p.status, plan.batch_periods(g), tables.newest(g), _FLAGS)
@@ -273,7 +273,7 @@ def _(p):
 
 
 @query("batch_overview", _stays_sql("batch") + """,
-a AS (SELECT batch, count(*) AS alarm_count, sum(((epoch_us(time) - epoch_us(entered)) / 1e6)) AS alarm_seconds FROM x GROUP BY batch),
+a AS (SELECT k AS batch, count(*) AS alarm_count, sum(((epoch_us(time) - epoch_us(entered)) / 1e6)) AS alarm_seconds FROM x GROUP BY k),
 r AS (SELECT batch, recipe FROM general GROUP BY batch, recipe
       QUALIFY row_number() OVER (PARTITION BY batch ORDER BY count(*) DESC, recipe) = 1),
 g AS (SELECT batch, min(time) AS t0, max(time) AS t1, sum(box_made)::BIGINT AS boxes FROM general GROUP BY batch)

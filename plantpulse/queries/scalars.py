@@ -156,10 +156,12 @@ def _(p):
         F.col("n_chars").cast("double").alias("chars"), (F.col("n_chars") % 2).cast("boolean").alias("odd"))
 
 
-@query("fn_random_id")
+@query("fn_random_id", "SELECT event_id, 36 AS length, true AS well_formed FROM events")
 def _(p):
-    # Random by nature; the length and the number of distinct ids can be checked.
-    return p.table("events").select("event_id", F.uuid().alias("uuid"))
+    # Random by nature, so what can be checked of each id is given.
+    ids = p.table("events").select("event_id", F.uuid().alias("uuid"))
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return ids.select("event_id", F.length("uuid").alias("length"), F.col("uuid").rlike(form).alias("well_formed"))
 
 
 _SIZE = """CASE WHEN {0} < 10 * 1024 THEN {0} || ' bytes'

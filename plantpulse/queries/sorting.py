@@ -40,10 +40,10 @@ def _(p):
 @query("topk_per_group", """
 WITH z AS (SELECT uuid, serial, time FROM alarms WHERE state = 20),
 r AS (SELECT z.uuid AS anchor, a.uuid, a.state, row_number() OVER (PARTITION BY z.uuid ORDER BY a.time, a.uuid) AS pos
-      FROM z JOIN alarms a ON a.serial = z.serial AND a.time > z.time)
+      FROM z JOIN alarms a ON a.serial = z.serial AND a.time >= z.time AND a.uuid <> z.uuid)
 SELECT anchor, uuid, state, pos FROM r WHERE pos <= 3""")
 def _(p):
-    rows = with_next_rows(p.alarms, TimeOrder(keys=["serial"]), 3, "after", ["uuid", "state"])
+    rows = with_next_rows(p.alarms, TimeOrder(keys=["serial"]), 3, "after", ["uuid", "state"], same_instant=True)
     anchors = rows.where(F.col("state") == 20).select(F.col("uuid").alias("anchor"), F.posexplode("after").alias("i", "r"))
     return anchors.select("anchor", "r.uuid", "r.state", (F.col("i") + 1).cast("bigint").alias("pos"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantpulse.plans.alarms import redundant_zeros
+from plantpulse.plans.alarms import with_previous_state
 from plantpulse.plans.production import box_production
 from plantpulse.queries.registry import query
 from plantpulse.session import shared_folder
@@ -28,7 +28,7 @@ WHERE time > (SELECT max(time) FROM weights) - INTERVAL 60 MINUTE
 ORDER BY time, uuid LIMIT 10""")
 def _(p):
     w = p.weights.select("uuid", "time", "serial", "net", "tare", "setpoint")
-    return tables.recent(w, tables.newest(w), minutes=90)
+    return tables.recent(w, tables.newest(w), minutes=90, limit=10, most_minutes=60)
 
 
 @query("latest_snapshot", """
@@ -60,7 +60,7 @@ def _(p):
     events = p.table("events")
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     counts = events.groupBy(hour.alias("moment")).agg(F.count("*").alias("n"))
-    return series.time_series(events, "ts", "1 hour").join(counts, "moment", "left").select(
+    return series.time_series(events, "ts", 3600).join(counts, "moment", "left").select(
         "moment", F.to_date("moment").alias("day"), F.date_format("moment", "HH:mm:ss").alias("clock"),
         F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -78,10 +78,10 @@ def _(p):
 
 @query("clone_slice", """
 SELECT uuid, time, machine, state FROM alarms
-UNION ALL SELECT -uuid - 1, time, '1313', state FROM alarms WHERE state <> 0""")
+UNION ALL SELECT -uuid - 1, time, 'clone-7', state FROM alarms WHERE state <> 0""")
 def _(p):
     a = p.alarms.select("uuid", "time", "machine", "state")
-    return series.clone_machine(a, F.col("state") != 0, "1313", -F.col("uuid") - 1)
+    return series.clone_machine(a, F.col("state") != 0, "clone-7", -F.col("uuid") - 1)
 
 
 @query("tenant_union", """
@@ -143,8 +143,9 @@ WITH p AS (SELECT uuid, state, lag(state) OVER (PARTITION BY serial, idx ORDER B
 SELECT a.uuid, a.state, CASE WHEN p.state = 0 AND p.was = 0 THEN 'out' END AS mark
 FROM alarms a JOIN p ON p.uuid = a.uuid""")
 def _(p):
-    a = p.alarms
-    return sinks.mark(a.select("uuid", "state"), redundant_zeros(a), "uuid")
+    seen = with_previous_state(p.alarms.select("uuid", "time", "serial", "idx", "state"))
+    both = (F.col("state") == 0) & (F.col("previous_state") == 0)
+    return sinks.mark(seen, both).select("uuid", "state", "mark")
 
 
 @query("sink_time_partitioned", """

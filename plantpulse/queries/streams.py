@@ -71,8 +71,9 @@ def _(p):
 
 
 @query("stream_late_repair", """
-WITH c AS (SELECT *, count(program_state) OVER (PARTITION BY serial ORDER BY time, uuid) AS part FROM general)
-SELECT uuid, serial, time, first_value(program_state) OVER (PARTITION BY serial, part ORDER BY time, uuid) AS carried FROM c""")
+SELECT g.uuid, g.serial, g.time, known.program_state AS carried FROM general g LEFT JOIN general known
+  ON known.serial = g.serial AND known.program_state IS NOT NULL AND (known.time, known.uuid) <= (g.time, g.uuid)
+QUALIFY row_number() OVER (PARTITION BY g.uuid ORDER BY known.time DESC NULLS LAST, known.uuid DESC) = 1""")
 def _(p):
     g = p.general.select("uuid", "time", "serial", "program_state")
     late = F.col("uuid") % 20 == 0
@@ -84,9 +85,10 @@ def _(p):
 
 @query("stream_alarm_blocks", f"""
 WITH {_STEPS},
-z AS (SELECT uuid, serial, idx, time, lag(time) OVER (PARTITION BY serial, idx ORDER BY time) AS since FROM t WHERE state = 0),
+z AS (SELECT uuid, serial, idx, time, lag(time) OVER w AS since, lag(uuid) OVER w AS anchor FROM t WHERE state = 0
+      WINDOW w AS (PARTITION BY serial, idx ORDER BY time, uuid)),
 f AS (SELECT t.*, z.uuid AS block_uuid FROM z JOIN t ON t.serial = z.serial AND t.idx = z.idx
-      AND t.time > z.since AND t.time <= z.time),
+      AND (t.time, t.uuid) > (z.since, z.anchor) AND (t.time, t.uuid) <= (z.time, z.uuid) WHERE z.anchor IS NOT NULL),
 k AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY block_uuid, state ORDER BY time, uuid) = 1),
 n AS (SELECT *, lead(time) OVER (PARTITION BY block_uuid ORDER BY time, uuid) AS next_time FROM k),
 {_LINES}{_LINE_COLUMNS}""")

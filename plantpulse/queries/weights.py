@@ -82,12 +82,12 @@ FROM g JOIN m ON m.batch = g.batch JOIN t ON t.batch = g.batch ORDER BY g.batch
 
 @query("weight_batch_summary", _summary_sql("%"))
 def _(p):
-    return rounded(plan.batch_summary(_stored_hourly(p)), skip=["avg_weight"])
+    return rounded(plan.batch_summary(_stored_hourly(p), limit=20), skip=["avg_weight"])
 
 
 @query("weight_batch_summary_pattern", _summary_sql("%j1%"))
 def _(p):
-    return rounded(plan.batch_summary(_stored_hourly(p), "%J1%"), skip=["avg_weight"])
+    return rounded(plan.batch_summary(_stored_hourly(p), "%J1%", limit=20), skip=["avg_weight"])
 
 
 @query("batch_throughput", f"""
@@ -188,9 +188,9 @@ def _(p):
 WITH l AS (SELECT setpoint - max_under AS lo, setpoint + max_over AS hi FROM weights ORDER BY time DESC, uuid DESC LIMIT 1)
 SELECT count(net) AS total, count(net) FILTER (net > (SELECT lo FROM l) AND net < (SELECT hi FROM l)) AS inside,
   round(count(net) FILTER (net > (SELECT lo FROM l) AND net < (SELECT hi FROM l)) / nullif(count(net), 0), 6) AS share
-FROM weights WHERE time > TIMESTAMP '2024-01-09 08:42:53.535' AND recipe = 'J1' AND unit_id = 'W1'""")
+FROM weights WHERE time > TIMESTAMP '2024-01-10 06:00:00' AND recipe = 'J1' AND unit_id = 'W1'""")
 def _(p):
-    since = F.col("time") > F.lit("2024-01-09 08:42:53.535").cast("timestamp_ntz")
+    since = F.col("time") > F.lit("2024-01-10 06:00:00").cast("timestamp_ntz")
     return rounded(plan.accuracy_ratio(p.weights, since & (F.col("recipe") == "J1") & (F.col("unit_id") == "W1")))
 
 

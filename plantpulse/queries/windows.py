@@ -69,9 +69,9 @@ def _(p):
 
 
 @query("win_locf_count", """
-WITH c AS (SELECT *, count(mode_state) OVER (PARTITION BY serial ORDER BY time, uuid) AS part FROM general)
-SELECT uuid, serial, mode_state, first_value(mode_state) OVER (PARTITION BY serial, part ORDER BY time, uuid) AS carried
-FROM c""")
+SELECT g.uuid, g.serial, g.mode_state, known.mode_state AS carried FROM general g LEFT JOIN general known
+  ON known.serial = g.serial AND known.mode_state IS NOT NULL AND (known.time, known.uuid) <= (g.time, g.uuid)
+QUALIFY row_number() OVER (PARTITION BY g.uuid ORDER BY known.time DESC NULLS LAST, known.uuid DESC) = 1""")
 def _(p):
     rows = p.general.select("uuid", "time", "serial", "mode_state")
     return carry(rows, BY_MACHINE, carried="mode_state").select("uuid", "serial", "mode_state", "carried")

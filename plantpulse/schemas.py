@@ -35,7 +35,7 @@ WEIGHTS = _schema(
     **_MACHINE, uuid="text", logger="text", unit_id="text", net="number", tare="number", setpoint="number",
     max_over="number", max_under="number", unit_code="int", result_code="int", module_index="int",
     struct_version="int", module_key="text", custom_1="text", custom_2="text")
-STATUS = _schema(time="time", uuid="text", machine="text", batch="text", in_production="number",
+STATUS = _schema(time="time", uuid="text", machine="text", machine_index="text", batch="text", in_production="number",
                  default_state="number", ready="number")
 ACCESS_LOG = _schema(uuid="text", logtime="time", category="text", organization="text", dashboard="text",
                      username="text")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ _SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings (shuffle sizes stay what the cluster set)."""
+    """Apply the runtime settings to the session, for good (shuffle sizes stay what the cluster set)."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -28,24 +27,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's checkpoint folder.
 
-    The folder has to be visible to every executor. Only a local session may fall back to
-    a temporary folder of this machine.
+    The folder has to be visible to every executor. Where ``spark.checkpoint.dir`` is not set, the
+    warehouse is used, which all of them see too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="plantpulse-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete folders below the shared one that nothing reads any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Like ``staged``, together with the folder, for callers that delete it again."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from there.
 
     This cuts the lineage, so what follows neither repeats the work nor depends on the
     executors that did it.
     """
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return stored(df, purpose)[0]

@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Steps that are made from one row.
+CHUNK = 100_000
+
+
+def numbered(bounds: DataFrame, last: Column, alias: str = "i") -> DataFrame:
+    """``bounds`` with the numbers from 0 to ``last``, both included.
+
+    Chunks of numbers are dealt out over the tasks first, so no row holds more than a chunk of them.
+    """
+    chunks = bounds.withColumn("_last", last.cast("bigint")).where("_last >= 0")
+    chunks = chunks.withColumn("_from", F.explode(F.expr(f"sequence(0L, _last, {CHUNK}L)")))
+    dealt = chunks.repartition(F.col("_from"))
+    steps = F.expr(f"sequence(_from, least(_last, _from + {CHUNK - 1}L))")
+    return dealt.withColumn(alias, F.explode(steps)).drop("_last", "_from")
+
+
 def number_series(df: DataFrame, column: str, step: float, alias: str = "value") -> DataFrame:
     """Numbers from the smallest to the largest value of a column, also in fractional steps."""
     bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    steps = F.sequence(F.lit(0), F.floor((F.col("hi") - F.col("lo")) / F.lit(step)))
-    return bounds.select("lo", F.explode(steps).alias("i")).select(
-        (F.col("lo") + F.col("i") * F.lit(step)).alias(alias)
-    )
+    steps = numbered(bounds, F.floor((F.col("hi") - F.col("lo")) / F.lit(step)))
+    return steps.select((F.col("lo") + F.col("i") * F.lit(step)).alias(alias))
 
 
-def time_series(df: DataFrame, column: str, interval: str, alias: str = "moment") -> DataFrame:
+def time_series(df: DataFrame, column: str, seconds: int, alias: str = "moment") -> DataFrame:
     """Moments from the hour of the earliest time to the latest time of a column."""
     bounds = df.agg(
-        F.date_trunc("hour", F.min(column)).cast("timestamp_ntz").alias("lo"), F.max(column).alias("hi")
-    )
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {interval}"))).alias(alias))
+        F.date_trunc("hour", F.min(column)).cast("timestamp_ntz").alias("lo"), F.max(column).alias("hi"))
+    micros = seconds * 1_000_000
+    steps = numbered(bounds, F.floor((F.unix_micros(F.col("hi").cast("timestamp")) - F.unix_micros(F.col("lo").cast("timestamp"))) / micros))
+    return steps.select((F.col("lo") + F.make_dt_interval(secs=F.col("i") * seconds)).alias(alias))
 
 
 def synthetic_boxes(batches: DataFrame, batch: str, most: int = 5) -> DataFrame:

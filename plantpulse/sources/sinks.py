@@ -49,10 +49,10 @@ def backfill(df: DataFrame, values: DataFrame, key: str, column: str) -> DataFra
     return df.join(v, key, "left").withColumn(column, filled).select(*df.columns)
 
 
-def mark(df: DataFrame, rows: DataFrame, key: str, column: str = "mark", value: str = "out") -> DataFrame:
-    """Mark the rows whose key is in ``rows``."""
-    hit = rows.select(key, F.lit(value).alias(column))
-    return df.join(hit, key, "left")
+def mark(df: DataFrame, condition: Column, column: str = "mark", value: str = "out") -> DataFrame:
+    """Mark the rows that meet a condition known in the same pass; other rows keep the mark they have, if any."""
+    old = F.col(column) if column in df.columns else F.lit(None).cast("string")
+    return df.withColumn(column, F.when(condition, F.lit(value)).otherwise(old))
 
 
 def unmarked(df: DataFrame, column: str = "mark", value: str = "out") -> DataFrame:
@@ -86,9 +86,10 @@ def read_chunks(spark: SparkSession, folder: str, schema: StructType) -> DataFra
 
 def retain(df: DataFrame, as_of: Column, keep_days: int, chunk_seconds: int, time: str = "time") -> DataFrame:
     """Drop the chunks that ended before ``as_of`` minus the retention period."""
+    width = F.make_dt_interval(secs=F.lit(chunk_seconds))
     oldest = as_of - F.make_dt_interval(days=F.lit(keep_days))
-    chunk_end = bucket(time, chunk_seconds) + F.make_dt_interval(secs=F.lit(chunk_seconds))
-    return df.where(chunk_end > oldest)
+    # The first chunk that ends after ``oldest``, as a bound on the stored time, which the scan can use.
+    return df.where(F.col(time) >= bucket(oldest, chunk_seconds))
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

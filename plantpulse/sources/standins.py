@@ -14,17 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 # The integer in events.props, per engine.
 _K = {"spark": "cast(get_json_object(props, '$.k') as int)",
       "duckdb": "cast(json_extract_string(props, '$.k') as int)"}
+_TIME = {"spark": "timestamp_ntz", "duckdb": "timestamp"}
 _BATCH = "cast(cast(floor((day(ts) - 1) / 10) as int) as string)"
 _MACHINE = "cast(user_id as string)"
 
 _EVENT_VIEWS: dict[str, dict[str, str]] = {
     "alarms": {
+        # Whole hours, so that rows share their time; two alarms per serial and three serials per machine type.
         "uuid": "event_id",
-        "time": "ts",
+        "time": "cast(date_trunc('hour', ts) as {time})",
         "line": "concat('L', cast(user_id % 4 as string))",
-        "machine": _MACHINE,
+        "machine": "concat('M', cast(cast(floor(user_id / 3) as int) as string))",
         "serial": _MACHINE,
-        "idx": "'1'",
+        "idx": "cast(event_id % 2 + 1 as string)",
         "state": "cast(case event_type when 'error' then 10 when 'purchase' then 20 else 0 end as double)",
         "recipe": "concat('J', cast(cast(floor({k} / 25) as int) as string))",
         "batch": _BATCH,
@@ -71,7 +73,9 @@ _EVENT_VIEWS: dict[str, dict[str, str]] = {
     "status": {
         "uuid": "event_id",
         "time": "ts",
-        "machine": _MACHINE,
+        # Several machines of one type name, told apart by their index.
+        "machine": "concat('T', cast(user_id % 10 as string))",
+        "machine_index": "cast(cast(floor(user_id / 10) as int) as string)",
         "batch": _BATCH,
         "in_production": "cast({k} % 2 as double)",
         "default_state": "cast(case when {k} % 5 = 0 then 1 else 0 end as double)",
@@ -113,7 +117,7 @@ def _values() -> str:
 
 
 def _columns(view: str, engine: str) -> list[str]:
-    return [f"{e.replace('{k}', _K[engine])} AS {name}" for name, e in _EVENT_VIEWS[view].items()]
+    return [f"{e.replace('{k}', _K[engine]).replace('{time}', _TIME[engine])} AS {name}" for name, e in _EVENT_VIEWS[view].items()]
 
 
 def sql_views(body: str) -> str:

@@ -20,11 +20,16 @@ def time_range(df: DataFrame, start: str, end: str, columns: Sequence[str], time
 
 
 def recent(
-    df: DataFrame, as_of: Column, minutes: int = 10, limit: int = 10, time: str = "time", tie: str = "uuid"
+    df: DataFrame, as_of: Column, minutes: int = 10, limit: int | None = None, time: str = "time", tie: str = "uuid",
+    most_minutes: int | None = None,
 ) -> DataFrame:
-    """First rows after ``as_of`` minus an interval of at most one hour, oldest first."""
-    span = F.make_dt_interval(mins=F.lit(min(minutes, 60)))
-    return df.where(F.col(time) > as_of - span).orderBy(time, tie).limit(limit)
+    """Rows after ``as_of`` minus some minutes, oldest first.
+
+    With ``limit`` the first ones only, with ``most_minutes`` those of a span of at most that length.
+    """
+    minutes = minutes if most_minutes is None else min(minutes, most_minutes)
+    found = df.where(F.col(time) > as_of - F.make_dt_interval(mins=F.lit(minutes))).orderBy(time, tie)
+    return found if limit is None else found.limit(limit)
 
 
 def latest_snapshot(df: DataFrame, time: str = "time") -> DataFrame:

@@ -62,7 +62,9 @@ def refresh_window(
     stored = weights.sparkSession.read.parquet(folder)
     days = F.col("day").between(F.to_date(start), F.to_date(end))
     kept = stored.where(days & ~inside(F.col("bucket")))
-    fresh = _by_day(rollup(weights.where(inside(bucket("time", HOUR))), keys, HOUR))
+    # The bound on the stored time reaches the scan; the one on the bucket leaves whole hours.
+    rows = weights.where((F.col("time") >= start) & (F.col("time") < end) & inside(bucket("time", HOUR)))
+    fresh = _by_day(rollup(rows, keys, HOUR))
     # The new days are complete elsewhere before the stored ones are replaced.
     write_by(staged(kept.unionByName(fresh), "refresh"), folder, "day", replace=True)
 

@@ -60,8 +60,9 @@ def test_delete_keeps_rows_of_unknown_condition(spark):
 
 def test_recent_is_clamped_to_an_hour(spark):
     df = general(spark, [(i * 600, "m", 1) for i in range(20)])
-    got = values(tables.recent(df, tables.newest(df), minutes=500, limit=100), "uuid")
+    got = values(tables.recent(df, tables.newest(df), minutes=500, limit=100, most_minutes=60), "uuid")
     assert [u for (u,) in got] == [14, 15, 16, 17, 18, 19]
+    assert tables.recent(df, tables.newest(df), minutes=500).count() == 20
 
 
 def test_filter_reaches_the_scan(spark):
@@ -74,7 +75,25 @@ def test_filter_reaches_the_scan(spark):
 def test_series(spark):
     df = spark.createDataFrame([(1.0, at(1800)), (3.0, at(7200))], "x double, time timestamp_ntz")
     assert [v for (v,) in values(series.number_series(df, "x", 0.5), "value")] == [1.0, 1.5, 2.0, 2.5, 3.0]
-    assert [v for (v,) in values(series.time_series(df, "time", "1 hour"), "moment")] == [at(0), at(3600), at(7200)]
+    assert [v for (v,) in values(series.time_series(df, "time", 3600), "moment")] == [at(0), at(3600), at(7200)]
+
+
+def test_a_long_series_is_made_in_chunks(spark):
+    bounds = spark.createDataFrame([(0.0,), (10_000_000.0,)], "x double")
+    made = series.number_series(bounds, "x", 1.0)
+    got = made.withColumn("part", F.spark_partition_id()).agg(F.count("value"), F.sum("value"), F.countDistinct("part")).first()
+    assert (got[0], got[1]) == (10_000_001, 10_000_000 * 10_000_001 / 2) and got[2] > 1
+    assert series.number_series(bounds.where("x < 0"), "x", 1.0).count() == 0
+
+
+def pushed(df):
+    return "".join(x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "PushedFilters" in x)
+
+
+def test_time_bounds_reach_the_scan(spark):
+    as_of = F.lit("2024-01-31").cast("timestamp_ntz")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "user_id")
+    assert "GreaterThanOrEqual(ts,2024-01-21T00:00)" in pushed(sinks.retain(events, as_of, 10, 86_400, "ts"))
 
 
 def test_capture_keeps_every_event_once(spark, tmp_path):

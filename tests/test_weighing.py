@@ -103,10 +103,16 @@ def test_metric_texts(spark):
     assert (spec.label, spec.condition) == ("avg_net", "net > 1")
     with pytest.raises(ValueError):
         metrics.parse("weights|net|drop")
-    wide = metrics.metric_columns(boxes(spark, [1.0, 3.0]), [spec, metrics.parse("w|net|avg|net > 9")], ["batch"])
+    wide = metrics.metric_columns(boxes(spark, [1.0, 3.0]), [spec, metrics.parse("w|net|avg|net > 9")], ["batch"], columns=7)
     assert values(wide, "d1", "d2", "d3", "d7") == [(3.0, None, 0.0, 0.0)]
 
 
+def test_more_metrics_than_usual(spark):
+    specs = [metrics.parse(f"w|net|max|net < {i}") for i in range(9)]
+    wide = metrics.metric_columns(boxes(spark, [1.0, 3.0]), specs, ["batch"])
+    assert values(wide, "d1", "d3", "d9") == [(None, 1.0, 3.0)] and len(wide.columns) == 10
+
+
 def test_pretty_bytes(spark):
     df = spark.createDataFrame([(10239,), (10240,), (3768 * 1024,), (25 * 1024 * 1024,), (5_000_000_000_000,)], "n long")
     assert [r[0] for r in df.select(pretty_bytes(F.col("n"))).collect()] == [
