@@ -17,7 +17,8 @@ def numbered(bounds: DataFrame, last: Column, alias: str = "i") -> DataFrame:
     """
     chunks = bounds.withColumn("_last", last.cast("bigint")).where("_last >= 0")
     chunks = chunks.withColumn("_from", F.explode(F.expr(f"sequence(0L, _last, {CHUNK}L)")))
-    dealt = chunks.repartition(F.col("_from"))
+    # A given number of partitions, as the few rows would else be put together again.
+    dealt = chunks.repartition(int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("_from"))
     steps = F.expr(f"sequence(_from, least(_last, _from + {CHUNK - 1}L))")
     return dealt.withColumn(alias, F.explode(steps)).drop("_last", "_from")
 
