@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plantpulse.functions.time import epoch_ms, seconds_between
 from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_next, with_next_rows, with_previous
 from plantpulse.session import staged
+from plantpulse.session import stored as stored_rows
 from plantpulse.sources.sinks import only_new
 
 BY_ALARM = TimeOrder(keys=["serial", "idx"])
@@ -119,9 +120,14 @@ def alarm_lines(alarms: DataFrame, stored: DataFrame | None = None) -> DataFrame
     return _lines(kept.where(F.col("block_uuid").isNotNull()))
 
 
-def alarm_lines_strict(alarms: DataFrame) -> DataFrame:
-    """One line per closed alarm block, from the rows up to and including its closing zero."""
-    changes = staged(transitions(BY_ALARM.sliced(alarms.select(*COLUMNS))), "alarm-changes")
+def alarm_lines_strict(alarms: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """One line per closed alarm block, from the rows up to and including its closing zero.
+
+    The folder of the stored changes is added to ``made``, for callers that delete it again.
+    """
+    changes, folder = stored_rows(transitions(BY_ALARM.sliced(alarms.select(*COLUMNS))), "alarm-changes")
+    if made is not None:
+        made.append(folder)
     zero = F.col("state") == 0
     blocks = carry(changes.withColumn("_zero", F.when(zero, F.col("uuid"))), BY_ALARM, backward=True,
                    block_uuid="_zero").drop("_zero").where(F.col("block_uuid").isNotNull())

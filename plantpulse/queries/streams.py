@@ -25,12 +25,15 @@ def _events_stream(p):
     return jobs.read_stream(p.spark, p.folder, schema, "events.parquet")
 
 
-def _feed(p, parts):
-    """Deliver parts of a table one after the other, as a source folder would fill up."""
+def _delivered(p, parts, run):
+    """Deliver parts of a table one after the other, and run the job on what is there after each.
+
+    ``run`` takes the stream and starts the job; the job takes up where it stopped.
+    """
     folder = shared_folder(p.spark, "feed")
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return jobs.read_stream(p.spark, folder, parts[0].schema)
+        part.write.mode("append").parquet(folder)
+        run(jobs.read_stream(p.spark, folder, parts[0].schema)).awaitTermination()
 
 
 def _by_time(df):
@@ -77,9 +80,9 @@ QUALIFY row_number() OVER (PARTITION BY g.uuid ORDER BY known.time DESC NULLS LA
 def _(p):
     g = p.general.select("uuid", "time", "serial", "program_state")
     late = F.col("uuid") % 20 == 0
-    feed = _feed(p, [*_by_time(g.where(~late)), g.where(late)])
-    folder = shared_folder(p.spark, "carried")
-    jobs.each_batch(feed, jobs.late_repair(folder), shared_folder(p.spark, "carried-state")).awaitTermination()
+    folder, state = shared_folder(p.spark, "carried"), shared_folder(p.spark, "carried-state")
+    parts = [*_by_time(g.where(~late)), g.where(late)]
+    _delivered(p, parts, lambda feed: jobs.each_batch(feed, jobs.late_repair(folder), state))
     return p.spark.read.parquet(folder).select("uuid", "serial", "time", "carried")
 
 
@@ -94,9 +97,13 @@ n AS (SELECT *, lead(time) OVER (PARTITION BY block_uuid ORDER BY time, uuid) AS
 {_LINES}{_LINE_COLUMNS}""")
 def _(p):
     lines, held = (shared_folder(p.spark, name) for name in ("alarm-lines", "alarm-held"))
-    step = jobs.alarm_blocks(lines, held)
-    jobs.each_batch(_feed(p, _by_time(p.alarms)), step, shared_folder(p.spark, "alarm-state")).awaitTermination()
-    return _rounded(p.spark.read.parquet(lines).drop("run"))
+    step, state = jobs.alarm_blocks(lines, held), shared_folder(p.spark, "alarm-state")
+    # Some rows come one part late.
+    a, late = p.alarms, F.col("uuid") % 20 == 0
+    first, second, third = _by_time(a)
+    parts = [first.where(~late), second.where(~late).unionByName(first.where(late)), third.unionByName(second.where(late))]
+    _delivered(p, parts, lambda feed: jobs.each_batch(feed, step, state))
+    return _rounded(jobs.current_lines(p.spark, lines))
 
 
 @query("stream_append_dedupe", "SELECT uuid, time, serial, program_state FROM general")
@@ -104,22 +111,22 @@ def _(p):
     g = p.general.select("uuid", "time", "serial", "program_state")
     parts = _by_time(g)
     # Every part is delivered again together with the one after it.
-    feed = _feed(p, [parts[0], parts[0].unionByName(parts[1]), parts[1].unionByName(parts[2])])
-    unique = jobs.drop_repeats(feed, late="40 days")
-    out = shared_folder(p.spark, "unique")
-    rollups.write_stream(unique, out, shared_folder(p.spark, "unique-state")).awaitTermination()
-    return p.spark.read.schema(unique.schema).parquet(out)
+    again = [parts[0], parts[0].unionByName(parts[1]), parts[1].unionByName(parts[2])]
+    out, state = shared_folder(p.spark, "unique"), shared_folder(p.spark, "unique-state")
+    jobs.on_disk(p.spark)
+    _delivered(p, again, lambda feed: rollups.write_stream(jobs.drop_repeats(feed, late="40 days"), out, state))
+    return p.spark.read.schema(g.schema).parquet(out)
 
 
 @query("stream_locf", """
 SELECT serial, max(time) AS time, arg_max(program_state, time) AS program_state FROM general
 WHERE program_state IS NOT NULL GROUP BY serial""")
 def _(p):
-    feed = _feed(p, _by_time(p.general.select("uuid", "time", "serial", "program_state")))
-    folder = shared_folder(p.spark, "last-state")
+    parts = _by_time(p.general.select("uuid", "time", "serial", "program_state"))
+    folder, state = shared_folder(p.spark, "last-state"), shared_folder(p.spark, "last-state-state")
     step = jobs.store_updates(folder)
-    job = jobs.each_batch(jobs.last_known_state(feed), step, shared_folder(p.spark, "last-state-state"), mode="update")
-    job.awaitTermination()
+    _delivered(p, parts, lambda feed: jobs.each_batch(jobs.last_known_state(feed), step, state, mode="update"))
+    jobs.compact_updates(p.spark, folder, "serial")
     return jobs.latest_updates(p.spark, folder, "serial")
 
 

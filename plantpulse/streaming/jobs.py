@@ -16,16 +16,28 @@ from pyspark.sql.types import StructType
 
 from plantpulse.operators.ordered import TimeOrder, carry
 from plantpulse.plans.alarms import BY_ALARM, COLUMNS, alarm_lines_strict, transitions
-from plantpulse.session import staged
+from plantpulse.session import discard, stored
 from plantpulse.sources.sinks import write_by
 
 _BY_MACHINE = TimeOrder(keys=["serial"])
 
 
-def read_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder, one per micro-batch, oldest first."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    return reader.option("pathGlobFilter", pattern).parquet(folder)
+def read_stream(
+    spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_batch: int | None = None
+) -> DataFrame:
+    """New Parquet files of a folder; all that are there make one micro-batch, unless a number is given."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+def on_disk(spark: SparkSession) -> SparkSession:
+    """Keep the state of stateful queries in the disk-backed store, as days of ids don't fit into memory."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return spark
 
 
 def each_batch(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -65,29 +77,70 @@ def latest_updates(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return newest.select(key, "_row.*")
 
 
+def compact_updates(spark: SparkSession, folder: str, key: str) -> None:
+    """Replace the stored updates by the newest row of each key.
+
+    The rows take the number of the newest batch. To be run between two runs of the job.
+    """
+    updates = spark.read.parquet(folder)
+    last = updates.agg(F.max("run")).first()[0]
+    rows, kept = stored(latest_updates(spark, folder, key), "compacted")
+    old = [r["run"] for r in updates.select("run").distinct().collect() if r["run"] != last]
+    rows.write.mode("overwrite").parquet(f"{folder}/run={last}")
+    discard(spark, kept, *[f"{folder}/run={n}" for n in old])
+
+
 def alarm_blocks(lines_folder: str, open_folder: str) -> Callable[[DataFrame, int], None]:
     """Emit alarm lines as their blocks close, and hold the rows of the open ones.
 
-    Held are, per alarm, the changes from the last return to zero on, the row before that
-    return, and the newest row.
+    Held are, per alarm, the changes from the last return to zero on, the row before that return, and the
+    newest row. A row older than the newest one held of its alarm came too late for that: all lines of this alarm
+    are computed again from the rows that were ever delivered, and the alarm is noted as repaired. Read the
+    lines with ``current_lines``.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*COLUMNS)
+        keys = ["serial", "idx"]
+        new, folder = stored(batch.select(*COLUMNS), "alarm-new")
+        new.write.mode("overwrite").parquet(f"{lines_folder}-rows/run={number}")
+        rows, late = new, None
         if number > 0:
-            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{open_folder}/run={number - 1}"))
-        rows = staged(rows, "alarm-open")
-        alarm_lines_strict(rows).write.mode("overwrite").parquet(f"{lines_folder}/run={number}")
-        _open_rows(rows).write.mode("overwrite").parquet(f"{open_folder}/run={number}")
+            held = spark.read.schema(new.schema).parquet(f"{open_folder}/run={number - 1}")
+            newest = held.groupBy(*keys).agg(F.max(BY_ALARM.position()).alias("_newest"))
+            late = new.join(newest, keys).where(BY_ALARM.position() < F.col("_newest")).select(*keys).distinct()
+            every = spark.read.parquet(f"{lines_folder}-rows").where(F.col("run") <= number).select(*new.columns)
+            every = every.join(late, keys, "left_semi")
+            rows = new.unionByName(held).join(late, keys, "left_anti").unionByName(every)
+        rows, open_rows = stored(rows, "alarm-open")
+        made = [folder, open_rows]
+        alarm_lines_strict(rows, made).write.mode("overwrite").parquet(f"{lines_folder}/run={number}")
+        if late is not None:
+            late.write.mode("overwrite").parquet(f"{lines_folder}-repaired/run={number}")
+        _open_rows(rows, made).write.mode("overwrite").parquet(f"{open_folder}/run={number}")
+        discard(spark, *made, *([f"{open_folder}/run={number - 2}"] if number > 1 else []))
 
     return step
 
 
-def _open_rows(rows: DataFrame) -> DataFrame:
+def current_lines(spark: SparkSession, lines_folder: str) -> DataFrame:
+    """The alarm lines, of repaired alarms those of the last repair on."""
+    lines = spark.read.parquet(lines_folder)
+    repaired = f"{lines_folder}-repaired"
+    path = spark._jvm.org.apache.hadoop.fs.Path(repaired)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return lines.drop("run")
+    schema = StructType([lines.schema["serial"], lines.schema["idx"]]).add("run", "integer")
+    last = spark.read.schema(schema).parquet(repaired).groupBy("serial", "idx").agg(F.max("run").alias("_repaired"))
+    joined = lines.join(last, ["serial", "idx"], "left")
+    return joined.where(F.col("_repaired").isNull() | (F.col("run") >= F.col("_repaired"))).select(*[c for c in lines.columns if c != "run"])
+
+
+def _open_rows(rows: DataFrame, made: list[str]) -> DataFrame:
     at = BY_ALARM.position()
     keys = ["serial", "idx"]
-    changes = staged(transitions(rows), "alarm-open-changes")
+    changes, folder = stored(transitions(rows), "alarm-open-changes")
+    made.append(folder)
     last_zero = changes.groupBy(*keys).agg(F.max(F.when(F.col("state") == 0, at)).alias("_zero"))
     # The row before the last return to zero makes that return a change again.
     edge = rows.join(last_zero, keys).where(at < F.col("_zero")).groupBy(*keys).agg(F.max(at).alias("_at"))
@@ -110,18 +163,20 @@ def late_repair(folder: str, state: str = "program_state") -> Callable[[DataFram
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = staged(batch.select("uuid", "time", "serial", state), "late-rows")
+        new, rows_folder = stored(batch.select("uuid", "time", "serial", state), "late-rows")
         start = F.to_date(new.agg(F.min("time")).scalar())
         rows = new
         if number > 0:
             schema = new.withColumn("carried", F.lit(0.0)).withColumn("day", F.to_date("time")).schema
-            stored = spark.read.schema(schema).parquet(folder)
-            seeds = _seeds(stored.where(F.col("day") < start), state)
+            kept_days = spark.read.schema(schema).parquet(folder)
+            seeds = _seeds(kept_days.where(F.col("day") < start), state)
             # A batch that is run again finds its own rows stored.
-            kept = stored.where(F.col("day") >= start).select(*new.columns).join(new.select("uuid"), "uuid", "left_anti")
+            kept = kept_days.where(F.col("day") >= start).select(*new.columns).join(new.select("uuid"), "uuid", "left_anti")
             rows = new.unionByName(kept).unionByName(seeds)
         filled = carry(rows, _BY_MACHINE, carried=state).withColumn("day", F.to_date("time"))
-        write_by(staged(filled.where(F.col("day") >= start), "late-days"), folder, "day", replace=True)
+        days, days_folder = stored(filled.where(F.col("day") >= start), "late-days")
+        write_by(days, folder, "day", replace=True)
+        discard(spark, rows_folder, days_folder)
 
     return step
 

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantpulse.functions.time import bucket
 from plantpulse.plans.weighing import HOUR, HOURLY_KEYS, rollup, rollup_measures
-from plantpulse.session import staged
+from plantpulse.session import discard
+from plantpulse.session import stored as stored_rows
 from plantpulse.sources.sinks import write_by
 
 DAY = 86_400
@@ -59,14 +60,17 @@ def refresh_window(
     def inside(at: Column) -> Column:
         return (at >= start) & (at + hour <= end)
 
-    stored = weights.sparkSession.read.parquet(folder)
+    spark = weights.sparkSession
+    stored = spark.read.parquet(folder)
     days = F.col("day").between(F.to_date(start), F.to_date(end))
     kept = stored.where(days & ~inside(F.col("bucket")))
     # The bound on the stored time reaches the scan; the one on the bucket leaves whole hours.
     rows = weights.where((F.col("time") >= start) & (F.col("time") < end) & inside(bucket("time", HOUR)))
     fresh = _by_day(rollup(rows, keys, HOUR))
     # The new days are complete elsewhere before the stored ones are replaced.
-    write_by(staged(kept.unionByName(fresh), "refresh"), folder, "day", replace=True)
+    whole, made = stored_rows(kept.unionByName(fresh), "refresh")
+    write_by(whole, folder, "day", replace=True)
+    discard(spark, made)
 
 
 def realtime_union(

@@ -27,7 +27,21 @@ def test_alarm_blocks_over_batches(spark, tmp_path):
     quarters = [whole.where(F.floor(F.col("uuid") % 1000 / 15) == i) for i in range(4)]
     step = jobs.alarm_blocks(str(tmp_path / "lines"), str(tmp_path / "open"))
     run_steps(step, quarters, repeat=[1, 3])
-    got = spark.read.parquet(str(tmp_path / "lines")).drop("run")
+    got = jobs.current_lines(spark, str(tmp_path / "lines"))
+    expected = alarm_lines_strict(whole)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
+
+
+def test_late_rows_of_alarm_blocks(spark, tmp_path):
+    rng = random.Random(6)
+    whole = alarms(spark, [rng.choice([0, 0, 10, 20]) for _ in range(60)], "a", step=1800).unionByName(
+        alarms(spark, [rng.choice([0, 10, 20]) for _ in range(60)], "b", first=1000, step=1800))
+    late = F.col("uuid") % 6 == 1
+    half = F.col("uuid") % 1000 < 30
+    parts = [whole.where(half & ~late), whole.where(~half & ~late), whole.where(late)]
+    step = jobs.alarm_blocks(str(tmp_path / "lines"), str(tmp_path / "open"))
+    run_steps(step, parts, repeat=[2])
+    got = jobs.current_lines(spark, str(tmp_path / "lines"))
     expected = alarm_lines_strict(whole)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
 
@@ -60,7 +74,11 @@ def test_last_state_over_batches(spark, tmp_path):
     df = general(spark, [(0, "m", 1), (5, "m", None), (3, "n", 4), (4, "n", 2)]).select("uuid", "time", "serial", "program_state")
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
     for part in (df.where("uuid >= 2"), df.where("uuid < 2")):
-        part.coalesce(1).write.mode("append").parquet(feed)
-    stream = jobs.last_known_state(jobs.read_stream(spark, feed, df.schema))
-    jobs.each_batch(stream, jobs.store_updates(out), str(tmp_path / "c"), mode="update").awaitTermination()
+        part.write.mode("append").parquet(feed)
+        stream = jobs.last_known_state(jobs.read_stream(spark, feed, df.schema))
+        jobs.each_batch(stream, jobs.store_updates(out), str(tmp_path / "c"), mode="update").awaitTermination()
+    before = sorted(map(tuple, jobs.latest_updates(spark, out, "serial").collect()))
+    jobs.compact_updates(spark, out, "serial")
+    assert len(list((tmp_path / "out").glob("run=*"))) == 1
+    assert sorted(map(tuple, jobs.latest_updates(spark, out, "serial").collect())) == before
     assert sorted(values(jobs.latest_updates(spark, out, "serial"), "serial", "program_state")) == [("m", 1.0), ("n", 2.0)]
