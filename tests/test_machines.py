@@ -109,3 +109,47 @@ def test_gapfill(spark):
     hours = [START + timedelta(hours=h) for h in range(4)]
     assert got == sorted([("m", h, v) for h, v in zip(hours, [2.0, 2.0, 2.0, 5.0])]
                          + [("n", h, v) for h, v in zip(hours, [None, 7.0, 7.0, 7.0])], key=str)
+
+
+def test_carry_forward_reaches_every_machine(spark):
+    # Twenty machines with a known state each, the oldest far back, then rows without one.
+    known = [(i * 100, f"m{i:02}", 100 + i) for i in range(20)]
+    unknown = [(10_000 + i, f"m{i:02}", None) for i in range(20)]
+    df = general(spark, known + unknown)
+    df = df.withColumn("carried", F.when(F.col("uuid") < 20, F.col("program_state")))
+    got = dict(values(plan.carry_forward(df, "program_state", "carried"), "uuid", "carried"))
+    assert all(got[20 + i] == 100.0 + i for i in range(20))
+    # The original's ten newest machines, only if asked for.
+    few = dict(values(plan.carry_forward(df, "program_state", "carried", machines=10), "uuid", "carried"))
+    assert few[39] == 119.0 and few[20] is None
+
+
+def test_carry_forward_bound_reaches_the_scan(spark, tmp_path):
+    df = general(spark, [(0, "m", 100), (86_400, "m", None), (90_000, "m", 300)])
+    df = df.withColumn("carried", F.when(F.col("uuid") < 1, F.col("program_state")))
+    df.write.parquet(str(tmp_path / "general"))
+    stored = spark.read.parquet(str(tmp_path / "general"))
+    filled = plan.carry_forward(stored, "program_state", "carried")
+    text = filled._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time,2024-03-01T00:00)" in text and "LessThan(time,2024-03-01T00:00)" in text
+    assert dict(values(filled, "uuid", "carried")) == {0: 100.0, 1: 100.0, 2: 300.0}
+
+
+def test_flags_of_machines_of_one_type_do_not_mix(spark):
+    rows = [(i, at(t), "type", str(i % 2), "b", float(i % 2)) for i, t in enumerate([0, 10, 100, 110])]
+    status = spark.createDataFrame(rows, "uuid long, time timestamp_ntz, machine string, machine_index string, batch string, on double")
+    batches = spark.createDataFrame([("b", at(0), at(200))], "batch string, start_time timestamp_ntz, end_time timestamp_ntz")
+    got = plan.flag_durations(status, batches, F.lit(at(200)), ["on"])
+    assert sorted(values(got, "machine_index", "state", "duration_seconds")) == [("0", 0.0, 200.0), ("1", 1.0, 190.0)]
+
+
+def test_state_durations_within_dense_batches(spark):
+    # All machines of a batch count where the next row is looked for among them.
+    from dataclasses import replace
+
+    from plantpulse.operators.ordered import SLICE
+
+    rows = [(i, f"m{i % 40}", 100) for i in range(2000)]
+    order = replace(TimeOrder(keys=["batch"]), rows_per_slice=100)
+    sizes = order.sliced(general(spark, rows)).groupBy("batch", SLICE).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 150

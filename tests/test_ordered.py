@@ -141,3 +141,25 @@ def test_staged_rows_lie_in_the_shared_folder(spark, rows):
     kept = staged(spark.createDataFrame(rows, SCHEMA), "kept")
     assert kept.count() == len(rows)
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in kept.inputFiles())
+
+
+def test_rows_of_the_same_instant_count_as_next(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    for order in ORDERS:
+        got = with_next_rows(df, order, 3, "after", ["uuid"], same_instant=True)
+        expected = {}
+        for group in ordered(rows).values():
+            for r in group:
+                expected[r[0]] = [x[0] for x in group if x[1] >= r[1] and x[0] != r[0]][:3]
+        assert {r["uuid"]: [x["uuid"] for x in r["after"]] for r in got.collect()} == expected
+
+
+def test_no_job_runs_while_the_plan_is_built(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.sparkContext.setJobGroup("plan", "building")
+    for order in ORDERS:
+        carry(df, order, c="value")
+        with_neighbours(df, order, {"p": "value"}, {"n": "uuid"})
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
