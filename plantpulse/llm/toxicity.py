@@ -285,9 +285,14 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 4500) -> Machine:
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
+    known = known.withColumn("bad", F.col("toxic") > 0)
+    share = {r["bad"]: r["count"] for r in known.groupBy("bad").count().collect()}  # two rows at most
     picked = None
-    for kind, most in ((1, sample // 3), (0, sample - sample // 3)):
-        part = known.where((F.col("toxic") > 0) == F.lit(bool(kind))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    for bad, most in ((True, sample // 3), (False, sample - sample // 3)):
+        # A bound on the hash leaves about twice as many as are wanted, so that few rows have to be put in order.
+        bound = min(2**63 - 1, int((2 * most / max(1, share.get(bad, 0)) * 2.0 - 1.0) * 2**63))
+        part = known.where((F.col("bad") == bad) & (F.xxhash64("doc_id") <= bound))
+        part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "toxic")
         picked = part if picked is None else picked.union(part)
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

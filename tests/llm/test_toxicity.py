@@ -91,3 +91,17 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     machine = learned(awkward(spark), labels)
     assert all(r.toxicity < 0.5 for r in scored(awkward(spark), machine).collect())
+
+
+def test_sample_is_bounded_and_has_both_kinds(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('tare milo w', id) AS text")
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 4 = 0 AS int) AS toxic")
+    seen = {}
+    import plantpulse.llm.toxicity as module
+
+    old, module.fit = module.fit, lambda bags, toxic: seen.update(n=len(bags), toxic=int(toxic.sum()))
+    try:
+        learned(docs, labels, sample=300)
+    finally:
+        module.fit = old
+    assert seen == {"n": 300, "toxic": 100}
