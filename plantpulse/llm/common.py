@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantpulse.session import shared_folder
+import plantpulse
+from plantpulse.session import prepare, shared_folder
 
 #: Seeds, folds and samples are all taken from these hashes, so reruns agree.
 FOLDS = 5
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with its settings, and with this package on the path of the Python workers.
+
+    On a cluster the package has to be installed on all machines, or sent with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    root = str(Path(plantpulse.__file__).resolve().parent.parent)
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return prepare(spark)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

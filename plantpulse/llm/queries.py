@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantpulse.llm import class_lm, main_text
-from plantpulse.llm.common import fold, read
+from plantpulse.llm.common import fold, read, ready
 from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.piece_sampling import segmentations
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
@@ -17,7 +17,6 @@ from plantpulse.llm.source_mix import copies
 from plantpulse.llm.token_counts import token_counts
 from plantpulse.llm.toxicity import learned, scored
 from plantpulse.llm.vector_topk import quantised, top_k
-from plantpulse.session import prepare
 
 Build = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Build] = {}
@@ -26,7 +25,7 @@ _SQL: dict[str, str] = {}
 
 def query(key: str, sql: str | None = None) -> Callable[[Build], Build]:
     def register(build: Build) -> Build:
-        _QUERIES[key] = lambda spark, sf_dir: build(prepare(spark), sf_dir)
+        _QUERIES[key] = lambda spark, sf_dir: build(ready(spark), sf_dir)
         if sql:
             _SQL[key] = sql
         return build
