@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -34,16 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-_WORD = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
+_WORD = re.compile(" *[^ \n]+| +|\n")
 #: Most edges that a Python worker keeps; bounds its memory only.
-EDGES = 3_000_000
+EDGES = 5_000_000
 #: Characters of text whose paths are drawn at a time.
-AT_ONCE = 1_500_000
+AT_ONCE = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(1_000_003)
-#: No Gumbel noise is above this: -log(-log(u)) for the largest of the 31-bit numbers.
-_HIGHEST = 22.3
+#: Numbers drawn ahead for each row.
+_POOL = 160
+#: Steps of a path whose branches are looked at together.
+_BLOCK = 256
+_GRAIN = float(1 << 28)
+#: No Gumbel noise is above this: -log(-log(u)) for the largest u.
+_HIGHEST = 20.2
 
 
 def _times(factor: int, number: int) -> np.uint64:
@@ -58,12 +64,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
-    """Numbers strictly between 0 and 1 from hashes; 31 bits, so that a node's number can be added."""
-    return ((x >> np.uint64(33)).astype(np.float64) + 0.5) / 2147483648.0
+    """Numbers strictly between 0 and 1 from hashes.
+
+    They have 29 bits and shares are rounded to 28, so both stay exact when a node's number is added, and a
+    row's samples don't depend on what else its worker has seen.
+    """
+    return ((x >> np.uint64(36)).astype(np.float64) + 0.5) / _GRAIN
 
 
 class Vocabulary:
-    """Pieces with ranks, by length, for look-ups of many substrings at once."""
+    """Pieces with ranks, for look-ups of many substrings at once by their hashes."""
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -73,8 +83,9 @@ class Vocabulary:
         self.pieces = [sp.id_to_piece(i) for i in range(size)]
         self.byte = np.zeros(256, dtype=np.int64)
         self.is_byte = np.zeros(size, dtype=bool)
+        self.longest = 1
         worst = -np.log(size + 1.0)
-        by_length: dict[int, list[tuple[np.uint64, int, float]]] = {}
+        rows: list[tuple[int, int, float]] = []
         for i, piece in enumerate(self.pieces):
             if sp.is_byte(i):
                 self.byte[int(piece[3:5], 16)], self.is_byte[i] = i, True
@@ -83,49 +94,66 @@ class Vocabulary:
                 continue
             if BLANK in piece.lstrip(BLANK) or (len(piece) > 1 and "\n" in piece):
                 raise ValueError("pieces that go across words are not supported")
-            weight = max(worst, -np.log(1.0 - min(sp.get_score(i), 0.0)))
-            by_length.setdefault(len(piece), []).append((self._hash(piece), i, weight))
-        self.longest, self.worst = max(by_length), worst
-        self.tables = {}
-        for n, rows in by_length.items():
-            rows.sort(key=lambda r: int(r[0]))
-            self.tables[n] = tuple(map(np.array, zip(*rows)))
-        # What a piece reads as; bytes above ASCII are put together by decode().
-        self.reads = [p.replace(BLANK, " ") for p in self.pieces]
+            rows.append((self._hash(piece), i, max(worst, -np.log(1.0 - min(sp.get_score(i), 0.0)))))
+            self.longest = max(self.longest, len(piece))
+        self.worst = worst
+        rows.sort()
+        self.hashes = np.array([h for h, _, _ in rows], dtype=np.uint64)
+        self.ids = np.array([i for _, i, _ in rows], dtype=np.int32)
+        self.weights = np.array([w for _, _, w in rows])
+        # Most substrings are no pieces and begin none; a look into this table, by the first bits of their hashes,
+        # tells most of them: 1 for pieces, 2 for beginnings of longer ones.
+        self.filter = np.zeros(1 << 20, dtype=np.uint8)
+        self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = 1
+        named = [self.pieces[i] for i in self.ids]
+        starts = np.array([self._hash(x) for x in {p[:k] for p in named for k in range(1, len(p))}], dtype=np.uint64)
+        self.filter[(starts >> np.uint64(44)).astype(np.int64)] |= 2
+        # What each piece reads as, in bytes, one after another.
+        reads = [p.replace(BLANK, " ").encode() for p in self.pieces]
         for b, i in enumerate(self.byte.tolist()):
-            self.reads[i] = chr(b)
-        self.high = np.isin(np.arange(size), self.byte[128:])
+            reads[i] = bytes([b])
+        self._length = np.array([len(r) for r in reads])
+        self._start = np.cumsum(self._length) - self._length
+        self._bytes = np.frombuffer(b"".join(reads), dtype=np.uint8)
 
     @staticmethod
-    def _hash(piece: str) -> np.uint64:
+    def _hash(piece: str) -> int:
         h = 0
         for c in piece:
-            h = (h * int(_PRIME) + ord(c)) & 0xFFFFFFFFFFFFFFFF
-        return np.uint64(h)
+            h = (h * int(_PRIME) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        return int(_mix(np.array([h], dtype=np.uint64))[0])
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the hashes are of pieces, the rows of these, and which may begin longer pieces."""
+        hashes = _mix(hashes)
+        told = self.filter[(hashes >> np.uint64(44)).view(np.int64)]
+        maybe = np.flatnonzero(told & 1)
+        hashes = hashes[maybe]
+        row = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = self.hashes[row] == hashes
+        return maybe[hit], row[hit], told > 1
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of pieces, without the blank that encoding puts in front."""
-        if self.high[ids].any():
-            raw = bytearray()
-            for i in ids.tolist():
-                raw += bytes([ord(self.reads[i])]) if self.is_byte[i] else self.reads[i].encode()
-            text = raw.decode("utf-8", "replace")
-        else:
-            text = "".join(map(self.reads.__getitem__, ids.tolist()))
+        length = self._length[ids]
+        ends = np.cumsum(length)
+        if not len(ends):
+            return ""
+        places = np.repeat(self._start[ids] - ends + length, length) + np.arange(ends[-1])
+        text = self._bytes[places].tobytes().decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
 def normalised(text: str) -> str:
     """What decoding gives back: the blank mark reads as a blank."""
-    return text.replace(BLANK, " ")
+    return text.replace(BLANK, " ") if BLANK in text else text
 
 
 class Lattices:
     """The nodes and edges of the words met so far.
 
     Edges of a node are neighbours, the likeliest first. Of each edge: ``reach``, the node's number plus the
-    summed shares up to it; ``logs`` and ``rest``, the logs of its share and of what is left of 1; its
-    ``target`` node, -1 at the end; its ``piece``.
+    summed shares up to it; ``logs``, the log of its share; its ``target`` node, -1 at the end; its ``piece``.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -137,92 +165,108 @@ class Lattices:
         self.root: dict[str, int] = {}
         self.nodes = self.edges = 0
         n = self._capacity
-        self.reach, self.logs, self.rest = np.empty(n), np.empty(n), np.empty(n)
+        self.reach, self.logs = np.empty(n), np.empty(n)
         self.target, self.piece = np.empty(n, dtype=np.int32), np.empty(n, dtype=np.int32)
         self.first = np.zeros(n + 1, dtype=np.int32)
 
     def add(self, words: list[str]) -> None:
         """Make the lattices of words that are not there yet."""
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
-        for n, group in by_length.items():
-            size = max(1, 2_000_000 // (n * self.vocabulary.longest))
-            for at in range(0, len(group), size):
-                self._add(group[at : at + size], n)
-
-    def _add(self, words: list[str], n: int) -> None:
+        at = 0
+        while at < len(words):
+            stop, size = at + 1, len(words[at])
+            while stop < len(words) and size + len(words[stop]) <= 200_000:
+                size += len(words[stop])
+                stop += 1
+            self._add(words[at:stop])
+            at = stop
+
+    def _add(self, words: list[str]) -> None:
         v = self.vocabulary
-        most = min(n, v.longest)
-        points = np.array([list(map(ord, w)) for w in words], dtype=np.uint64)
-        weight = np.full((len(words), n, most), -np.inf)
-        piece = np.zeros((len(words), n, most), dtype=np.int32)
-        hashes = np.zeros_like(points)
-        for k in range(1, most + 1):
-            hashes = hashes[:, : n - k + 1] * _PRIME + points[:, k - 1 :]
-            if k in v.tables:
-                known, ids, weights = v.tables[k]
-                where = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                hit = known[where] == hashes
-                weight[:, : n - k + 1, k - 1] = np.where(hit, weights[where], -np.inf)
-                piece[:, : n - k + 1, k - 1] = ids[where]
-        bare = np.isneginf(weight[:, :, 0])
-        if bare.any():
-            # A character without a piece: its one byte, or minus its code point for several bytes.
-            code = points[bare].astype(np.int64)
-            length = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-            piece[:, :, 0][bare] = np.where(code < 128, v.byte[np.minimum(code, 127)], -code)
-            weight[:, :, 0][bare] = v.worst * length
-        mass = np.full((len(words), n + most), -np.inf)
-        mass[:, n] = 0.0
-        for i in range(n - 1, -1, -1):
-            onward = weight[:, i] + mass[:, i + 1 : i + 1 + most]
-            top = onward.max(axis=1)
-            mass[:, i] = top + np.log(np.exp(onward - top[:, None]).sum(axis=1))
-        place = np.arange(n)[:, None] + np.arange(1, most + 1)
-        share = np.exp(weight + mass[:, np.minimum(place, n + most - 1)] - mass[:, :n, None])
-        share[:, place > n] = 0.0
-        order = np.argsort(-share, axis=2, kind="stable")
-        share = np.take_along_axis(share, order, axis=2)
-        piece = np.take_along_axis(piece, order, axis=2)
-        goal = np.arange(n)[:, None] + 1 + order
-        real = share > 0.0
-        reach = np.cumsum(share, axis=2)
-        last = real.sum(axis=2) - 1
-        np.put_along_axis(reach, last[:, :, None], 1.0, axis=2)
-        count = int(real.sum())
-        if self.edges + count > self._capacity or self.nodes + len(words) * n >= len(self.first):
-            grown = max(2 * self._capacity, self.edges + count, self.nodes + len(words) * n + 1)
-            for name in ("reach", "logs", "rest", "target", "piece"):
+        points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        points[points == ord(" ")] = ord(BLANK)
+        count = len(points)
+        length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        begin = np.cumsum(length) - length
+        end = np.repeat(begin + length, length)
+        # Edges: every piece that matches from a position on, by its length.
+        place, hashes = np.arange(count), np.zeros(count, dtype=np.uint64)
+        edges = []
+        for k in range(1, v.longest + 1):
+            if k > 1:
+                inside = place + k <= end[place]
+                place, hashes = place[inside], hashes[inside]
+            if not len(place):
+                break
+            hashes = hashes * _PRIME + points[place + (k - 1)] + np.uint64(1)
+            hit, row, longer = v.look_up(hashes)
+            edges.append((place[hit], np.full(len(hit), k), v.ids[row], v.weights[row]))
+            if k == 1 and len(hit) < count:
+                # A character without a piece: its one byte, or minus its code point for several bytes.
+                bare = np.ones(count, dtype=bool)
+                bare[hit] = False
+                bare = np.flatnonzero(bare)
+                code = points[bare].astype(np.int64)
+                size = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+                piece = np.where(code < 128, v.byte[np.minimum(code, 127)], -code).astype(np.int32)
+                edges.append((bare, np.ones(len(bare), dtype=np.int64), piece, v.worst * size))
+            place, hashes = place[longer], hashes[longer]
+        source, step, piece, weight = (np.concatenate(c) for c in zip(*edges))
+        # From the ends of the words backwards: all positions with as many characters left at once.
+        left = end[source] - source
+        order = np.argsort(left * count + source, kind="stable")
+        source, step, piece, weight, left = (x[order] for x in (source, step, piece, weight, left))
+        goal = source + step
+        last = goal == end[source]
+        mass = np.zeros(count)
+        cuts = np.flatnonzero(np.diff(left, prepend=-1, append=-1))
+        new = np.flatnonzero(np.diff(source, prepend=-1))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            onward = weight[a:b] + np.where(last[a:b], 0.0, mass[np.minimum(goal[a:b], count - 1)])
+            heads = new[np.searchsorted(new, a) : np.searchsorted(new, b)] - a
+            top = np.maximum.reduceat(onward, heads)
+            spread = np.exp(onward - np.repeat(top, np.diff(heads, append=b - a)))
+            mass[source[a:b][heads]] = top + np.log(np.add.reduceat(spread, heads))
+        share = np.exp(weight + np.where(last, 0.0, mass[np.minimum(goal, count - 1)]) - mass[source])
+        # By node, the likeliest edge first.
+        order = np.argsort(source + 0.5 * (1.0 - np.minimum(np.rint(share * _GRAIN) / _GRAIN, 1.0)), kind="stable")
+        source, goal, piece, share, last = (x[order] for x in (source, goal, piece, share, last))
+        per_node = np.bincount(source, minlength=count)
+        heads = np.cumsum(per_node) - per_node
+        reach = share.copy()
+        more, rank = heads[per_node > 1], 1
+        many = per_node[per_node > 1]
+        while len(more):
+            reach[more + rank] += reach[more + rank - 1]
+            rank += 1
+            more, many = more[many > rank], many[many > rank]
+        reach[heads + per_node - 1] = 1.0
+        a, b, base = self.edges, self.edges + len(share), self.nodes
+        if b > self._capacity or base + count >= len(self.first):
+            grown = max(2 * self._capacity, b, base + count + 1)
+            for name in ("reach", "logs", "target", "piece"):
                 setattr(self, name, np.resize(getattr(self, name), grown))
             self.first, self._capacity = np.resize(self.first, grown + 1), grown
-        base = self.nodes + np.arange(len(words))[:, None, None] * n
-        node = np.broadcast_to(base + np.arange(n)[:, None], real.shape)
-        a, b = self.edges, self.edges + count
-        self.reach[a:b] = (node + reach)[real]
-        own = share[real]
-        with np.errstate(divide="ignore"):
-            self.logs[a:b], self.rest[a:b] = np.log(np.minimum(own, 1.0)), np.log1p(-np.minimum(own, 1.0))
-        self.target[a:b] = np.where(goal < n, base + goal, -1)[real]
-        self.piece[a:b] = piece[real]
-        per_node = real.sum(axis=2).ravel()
-        self.first[self.nodes + 1 : self.nodes + 1 + len(per_node)] = a + np.cumsum(per_node)
-        for i, w in enumerate(words):
-            self.root[w] = self.nodes + i * n
-        self.nodes += len(words) * n
-        self.edges = b
+        self.reach[a:b] = base + source + np.minimum(np.rint(reach * _GRAIN) / _GRAIN, 1.0)
+        self.logs[a:b] = np.log(np.minimum(share, 1.0))
+        self.target[a:b] = np.where(last, -1, base + goal)
+        self.piece[a:b] = piece
+        self.first[base + 1 : base + 1 + count] = a + np.cumsum(per_node)
+        self.root.update(zip(words, (base + begin).tolist()))
+        self.nodes, self.edges = base + count, b
 
     def roots(self, texts: list[list[str]]) -> list[np.ndarray]:
         """First nodes of the words of each text."""
-        every = [w for words in texts for w in words]
-        found = list(map(self.root.get, every))
-        if None in found:
-            if self.edges > EDGES // 2:
+        every = list(chain.from_iterable(texts))
+        found = np.fromiter(map(self.root.get, every, repeat(-1)), dtype=np.int64, count=len(every))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            if self.edges > EDGES - 400_000:
                 self.clear()
-            self.add(sorted({w for w in every if w not in self.root}))
-            found = list(map(self.root.__getitem__, every))
+                new = np.arange(len(every))
+            self.add(list(dict.fromkeys(map(every.__getitem__, new.tolist()))))
+            found[new] = np.fromiter(map(self.root.__getitem__, map(every.__getitem__, new.tolist())), dtype=np.int64, count=len(new))
         ends = np.cumsum([len(words) for words in texts])
-        return np.split(np.array(found, dtype=np.int64), ends[:-1])
+        return np.split(found, ends[:-1])
 
     def walk(self, state: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw a path from each node on. Edges in order, and where each node's edges end."""
@@ -276,7 +320,7 @@ class Sampler:
             at = stop
 
     def _batch(self, row: int, keys: list[int], texts: list[str]) -> Iterator:
-        words = [_WORD.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        words = [_WORD.findall(" " + normalised(t)) if t else [] for t in texts]
         roots = self.lattices.roots(words)
         key = np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], dtype=np.uint64)
         own = _mix(_mix(key + _times(int(_STEP), self._seed)))
@@ -287,6 +331,8 @@ class Sampler:
         drawn = []
         for s in range(self._samples):
             drawn.append(self.lattices.walk(state, _mix(base + _times(0x8CB92BA72F3D8DD7, s + 1))))
+        pool = _mix(own ^ np.uint64(0x5851F42D4C957F2D))
+        pool = np.concatenate([pool[:, None], _uniform(_mix(pool[:, None] + np.arange(_POOL, dtype=np.uint64) * _STEP)).view(np.uint64)], axis=1)
         last = np.cumsum(count)
         for d in range(len(texts)):
             a, b = int(last[d] - count[d]), int(last[d])
@@ -295,7 +341,7 @@ class Sampler:
                 start = int(ends[a - 1]) if a else 0
                 plain.append((edges[start : int(ends[b - 1]) if b else 0], ends[a:b] - start))
             rank = 0
-            for path, score in self._search(plain, own[d : d + 1]):
+            for path, score in self._search(plain, own[d : d + 1], pool[d]):
                 rank += 1
                 yield row + d, rank, self._pieces(path.edges), path.log_prob, path.value, score
 
@@ -307,14 +353,18 @@ class Sampler:
         parts = [[i] if i >= 0 else byte[list(chr(-i).encode())].tolist() for i in ids.tolist()]
         return np.array([i for p in parts for i in p], dtype=np.int32)
 
-    def _search(self, plain: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray) -> list[tuple[Path, float]]:
+    def _search(self, plain: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray, pool: np.ndarray) -> list[tuple[Path, float]]:
         lat, k = self.lattices, self._samples
-        stream = [0]
+        stream = 0
+        ready = pool[1:].view(np.float64)
 
         def noise(n: int) -> np.ndarray:
-            stream[0] += n
-            places = np.arange(stream[0] - n, stream[0], dtype=np.uint64)
-            return _uniform(_mix(_mix(own ^ np.uint64(0x5851F42D4C957F2D)) + places * _STEP))
+            """The next numbers of this row."""
+            nonlocal stream
+            stream += n
+            if stream <= _POOL:
+                return ready[stream - n : stream]
+            return _uniform(_mix(pool[:1] + np.arange(stream - n, stream, dtype=np.uint64) * _STEP))
 
         found: list[Path] = []
         waiting: list[tuple[float, int, Path, int, tuple[int, ...], float]] = []
@@ -322,22 +372,28 @@ class Sampler:
         def branch(path: Path, start: int) -> None:
             """Put what branches off a path, from a step on, among the waiting subtrees."""
             logs = lat.logs[path.edges]
-            run = np.cumsum(logs)
-            path.log_prob = float(run[-1]) if len(run) else 0.0
-            before = run - logs
-            mass = before[start:] + lat.rest[path.edges[start:]]
-            steps = np.flatnonzero(mass > -np.inf)
-            mass = mass[steps]
-            value = values(mass[:32], path.value)
-            if len(mass) > 32:
-                # The noise has a highest value, so most later steps can't come among the first k + 1.
-                bound = np.partition(value, 31 - k)[31 - k] - _HIGHEST if k < 32 else -np.inf
-                late = np.flatnonzero(mass[32:] > bound) + 32
-                steps = np.concatenate([steps[:32], steps[late]])
-                value = np.concatenate([value, values(mass[late], path.value)])
-            for i in np.argsort(-value, kind="stable")[: k + 1].tolist():
-                step = start + int(steps[i])
-                push(float(value[i]), path, step, (int(path.edges[step]),), float(before[step]))
+            path.log_prob = float(logs.sum())
+            before = float(logs[:start].sum())
+            best: list[tuple[float, int]] = []
+            for a in range(start, len(logs), _BLOCK):
+                # Later branches have less mass than ``before``, and the noise has a highest value.
+                if len(best) > k and before + _HIGHEST < best[-1][0]:
+                    break
+                own = logs[a : a + _BLOCK]
+                run = np.cumsum(own)
+                with np.errstate(divide="ignore"):
+                    mass = before + run - own + np.log(-np.expm1(own))
+                bound = best[-1][0] - _HIGHEST if len(best) > k else -np.inf
+                steps = np.flatnonzero(mass > bound)
+                if len(steps):
+                    value = values(mass[steps], path.value)
+                    pick = np.argpartition(-value, k)[: k + 1] if len(value) > k + 1 else range(len(value))
+                    best += [(float(value[i]), a + int(steps[i])) for i in pick]
+                    best.sort(reverse=True)
+                    del best[k + 1 :]
+                before += float(run[-1])
+            for value, step in best:
+                push(value, path, step, (int(path.edges[step]),), float(logs[:step].sum()))
 
         def values(mass: np.ndarray, below: float) -> np.ndarray:
             """Highest noisy values of subtrees of these log masses, given that they are below one."""
@@ -355,8 +411,7 @@ class Sampler:
         while waiting and len(found) < k:
             value, _, parent, step, taken, before = heapq.heappop(waiting)
             node = int(self._node_of(parent.edges[step : step + 1])[0])
-            options = np.arange(lat.first[node], lat.first[node + 1])
-            options = options[~np.isin(options, taken)]
+            options = np.array([e for e in range(lat.first[node], lat.first[node + 1]) if e not in taken])
             share = np.exp(lat.logs[options])
             pick = options[min(int(np.searchsorted(np.cumsum(share), noise(1)[0] * share.sum(), side="right")), len(options) - 1)]
             left = share.sum() - np.exp(lat.logs[pick])
@@ -415,11 +470,11 @@ def segmentations(docs: DataFrame, model: str, samples: int = 2, seed: int = 5,
             ids = batch.column(0)
             for at in range(0, batch.num_rows, 500):
                 keys = [k or 0 for k in ids.slice(at, 500).to_pylist()]
-                texts = [t or "" for t in batch.column(1).slice(at, 500).to_pylist()]
+                texts = [normalised(t or "") for t in batch.column(1).slice(at, 500).to_pylist()]
                 rows = list(sampler(keys, texts))
                 offsets = np.concatenate([[0], np.cumsum([len(r[2]) for r in rows])])
                 flat = np.concatenate([r[2] for r in rows]) if rows else np.empty(0, np.int32)
-                same = [sampler.vocabulary.decode(r[2]) == normalised(texts[r[0]]) for r in rows]
+                same = [sampler.vocabulary.decode(r[2]) == texts[r[0]] for r in rows]
                 yield pa.RecordBatch.from_arrays([
                     ids.take(pa.array([at + r[0] for r in rows])),
                     pa.array([r[1] for r in rows], pa.int32()),
