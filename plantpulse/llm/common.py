@@ -44,6 +44,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(name: Any, make: Callable[[], Any]) -> Any:
+    """An operator's object in a Python worker, from task to task; those of other operators are let go first."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 class Recent(dict):
     """A dict that fills itself by ``make`` and forgets what was not used lately.
 

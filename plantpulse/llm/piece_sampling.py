@@ -24,6 +24,7 @@ counts as zero; the blank mark of the vocabulary in a text is a blank. Texts are
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -34,17 +35,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantpulse.llm.common import kept
+
 BLANK = "▁"
 _WORD = re.compile(" *[^ \n]+| +|\n")
 #: Most edges that a Python worker keeps; bounds its memory only.
-EDGES = 5_000_000
+EDGES = 4_000_000
 #: Characters of text whose paths are drawn at a time.
-AT_ONCE = 1_000_000
+AT_ONCE = 700_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_ALL = 0xFFFFFFFFFFFFFFFF
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _PRIME = np.uint64(1_000_003)
 #: Numbers drawn ahead for each row.
-_POOL = 160
+_POOL = 512
 #: Steps of a path whose branches are looked at together.
 _BLOCK = 256
 _GRAIN = float(1 << 28)
@@ -227,11 +232,17 @@ class Lattices:
             spread = np.exp(onward - np.repeat(top, np.diff(heads, append=b - a)))
             mass[source[a:b][heads]] = top + np.log(np.add.reduceat(spread, heads))
         share = np.exp(weight + np.where(last, 0.0, mass[np.minimum(goal, count - 1)]) - mass[source])
-        # By node, the likeliest edge first.
-        order = np.argsort(source + 0.5 * (1.0 - np.minimum(np.rint(share * _GRAIN) / _GRAIN, 1.0)), kind="stable")
+        order = np.argsort(source, kind="stable")
         source, goal, piece, share, last = (x[order] for x in (source, goal, piece, share, last))
         per_node = np.bincount(source, minlength=count)
         heads = np.cumsum(per_node) - per_node
+        # The likeliest edge of a node comes first, where a walk looks first.
+        best = np.flatnonzero(share == np.repeat(np.maximum.reduceat(share, heads), per_node))
+        best = best[np.flatnonzero(np.diff(source[best], prepend=-1))]
+        moved = np.flatnonzero(best != heads)
+        here, there = heads[moved], best[moved]
+        for x in (goal, piece, share, last):
+            x[here], x[there] = x[there], x[here]
         reach = share.copy()
         more, rank = heads[per_node > 1], 1
         many = per_node[per_node > 1]
@@ -275,7 +286,7 @@ class Lattices:
         steps, length = [], np.zeros(len(state), dtype=np.int64)
         while len(active):
             noise = noise + _STEP
-            point = here + _uniform(_mix(noise))
+            point = here + _uniform((noise ^ (noise >> np.uint64(32))) * _SPREAD)
             edge = self.first[here].astype(np.int64)
             other = np.flatnonzero(point >= reach[edge])
             edge[other] = np.searchsorted(reach, point[other], side="right")
@@ -291,6 +302,19 @@ class Lattices:
             out[begin[which] + t] = edge
         return out, ends
 
+    def walk_on(self, node: int, seed: int) -> list[int]:
+        """Draw the edges from one node to the end of its word; none from the end (-1)."""
+        out, seed = [], int(_mix(np.array([seed & _ALL], dtype=np.uint64))[0])
+        while node >= 0:
+            seed = seed + int(_STEP) & _ALL
+            point = node + (((seed ^ seed >> 32) * int(_SPREAD) & _ALL) >> 36) / _GRAIN + 0.5 / _GRAIN
+            edge = int(self.first[node])
+            while point >= self.reach[edge]:
+                edge += 1
+            out.append(edge)
+            node = int(self.target[edge])
+        return out
+
 
 class Path:
     """A drawn path: its edges, where the edges of each word end, and its noisy value."""
@@ -411,23 +435,25 @@ class Sampler:
         while waiting and len(found) < k:
             value, _, parent, step, taken, before = heapq.heappop(waiting)
             node = int(self._node_of(parent.edges[step : step + 1])[0])
-            options = np.array([e for e in range(lat.first[node], lat.first[node + 1]) if e not in taken])
-            share = np.exp(lat.logs[options])
-            pick = options[min(int(np.searchsorted(np.cumsum(share), noise(1)[0] * share.sum(), side="right")), len(options) - 1)]
-            left = share.sum() - np.exp(lat.logs[pick])
+            options = [e for e in range(lat.first[node], lat.first[node + 1]) if e not in taken]
+            share = [math.exp(lat.logs[e]) for e in options]
+            point, pick, left = float(noise(1)[0]) * sum(share), options[-1], sum(share[:-1])
+            for e, own_share in zip(options, share):
+                if point < own_share:
+                    pick, left = e, sum(x for o, x in zip(options, share) if o != e)
+                    break
+                point -= own_share
             if len(options) > 1 and left > 0.0:
-                again = values(np.array([before + np.log(left)]), -value)
-                push(float(again[0]), parent, step, (*taken, int(pick)), before)
+                mass = before + math.log(left)
+                again = mass - math.log(math.exp(min(mass + value, 600.0)) - math.log(noise(1)[0]))
+                push(again, parent, step, (*taken, pick), before)
             # The rest of the word from there, then the words of a draw of its own.
             word = int(np.searchsorted(parent.ends, step, side="right"))
             edges, ends = plain[len(found)]
-            inside = np.empty(0, dtype=np.int64)
-            goal = int(lat.target[pick])
-            if goal >= 0:
-                inside, _ = lat.walk(np.array([goal]), _mix(own + _times(0x2545F4914F6CDD1D, len(found))))
+            inside = lat.walk_on(int(lat.target[pick]), int(own[0]) + 0x2545F4914F6CDD1D * len(found))
             after = edges[int(ends[word]) :]
             path = Path(
-                np.concatenate([parent.edges[:step], [pick], inside, after]),
+                np.concatenate([parent.edges[:step], np.array([pick, *inside]), after]),
                 np.concatenate([parent.ends[:word], [step + 1 + len(inside)], ends[word + 1 :] - ends[word] + step + 1 + len(inside)]),
                 -value)
             found.append(path)
@@ -445,8 +471,6 @@ class Sampler:
         return np.ceil(self.lattices.reach[edges]).astype(np.int64) - 1
 
 
-_SAMPLERS: dict[tuple, Sampler] = {}
-
 _COLUMNS = "sample int, pieces array<int>, log_prob double, noisy_value double, log_inclusion double, round_trip boolean"
 
 
@@ -461,11 +485,8 @@ def segmentations(docs: DataFrame, model: str, samples: int = 2, seed: int = 5,
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = (hash(sent.value), samples, seed)
-        if name not in _SAMPLERS:
-            _SAMPLERS.clear()
-            _SAMPLERS[name] = Sampler(sent.value, samples, seed)
-        sampler = _SAMPLERS[name]
+        name = ("pieces", hash(sent.value), samples, seed)
+        sampler = kept(name, lambda: Sampler(sent.value, samples, seed))
         for batch in batches:
             ids = batch.column(0)
             for at in range(0, batch.num_rows, 500):

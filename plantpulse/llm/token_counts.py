@@ -18,13 +18,12 @@ import heapq
 import json
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from plantpulse.llm.common import Recent
+from plantpulse.llm.common import Recent, kept
 
 #: White space as the tokenizer sees it, and its rule for cutting texts.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -133,12 +132,6 @@ class BytePairCounter:
         return len(parts) - 1 + sum(map(self._part, parts))
 
 
-@lru_cache(maxsize=2)
-def counter(description: str) -> BytePairCounter:
-    """One counter per Python worker, kept from task to task."""
-    return BytePairCounter(description)
-
-
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, read: Callable[[str], str] | None = None) -> DataFrame:
     """Bytes, tokens and whether there are more than ``limit`` tokens, for each row.
 
@@ -153,7 +146,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, read: Callab
     sent = docs.sparkSession.sparkContext.broadcast(description)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = counter(sent.value)
+        count = kept(("tokens", hash(sent.value)), lambda: BytePairCounter(sent.value))
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             tokens = [count(t) for t in texts]

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.common import Recent, fold
+from plantpulse.llm.common import Recent, fold, kept
 
 #: Kinds of letters: a-z, 0-9, and all others in 25 classes by code point. A triple of them is a feature.
 LETTERS = 61
@@ -47,7 +47,7 @@ WINDOW = 16
 PART = 12
 STEP = 4
 #: Words whose scores a Python worker remembers; bounds its memory only.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Documents whose words are held at a time.
 _AT_ONCE = 400
 
@@ -331,9 +331,6 @@ class Scorer:
         return self._machine.probability(np.array(out))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     """``docs`` with ``toxicity`` (0 to 1), in place of any column of that name."""
     import hashlib
@@ -343,11 +340,9 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(sent.value)
+        scorer = kept(("toxicity", name), lambda: Scorer(sent.value))
         for batch in texts:
-            yield pd.Series(_SCORERS[name](list(batch)))
+            yield pd.Series(scorer(list(batch)))
 
     return docs.withColumn("toxicity", score("text"))
 
