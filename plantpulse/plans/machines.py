@@ -188,16 +188,28 @@ def state_backfill(general: DataFrame, batch: Column, state: str = "program_stat
     return carry(general.where(F.col("batch") == batch), TimeOrder(keys=["batch", "serial"]), **{state: state})
 
 
+def _later_batches(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Times of the first later batch for each batch of ``rows`` that ``bounds`` lacks and that has a number."""
+    # The counter stands in for the time, so that its order is cut into slices too.
+    at = F.timestamp_micros(F.col("batch").try_cast("bigint")).alias("_at")
+    lacking = rows.select("batch").distinct().join(bounds.select("batch"), "batch", "left_anti").select("batch", at)
+    listed = bounds.select("batch", at, "start_time", "end_time")
+    times = {"start_time": "start_time", "end_time": "end_time"}
+    numbered = F.col("_at").isNotNull()
+    return asof(lacking.where(numbered), listed.where(numbered), [], times, forward=True, time="_at", tie="batch").drop("_at")
+
+
 def flag_durations(status: DataFrame, batches: DataFrame, as_of: Column, flags: Sequence[str]) -> DataFrame:
     """Time per value of each flag, machine with its index, and batch, with the batch's start, end and total time.
 
-    ``batches`` gives ``batch``, ``start_time`` and ``end_time`` (NULL while running).
+    ``batches`` gives ``batch``, ``start_time`` and ``end_time`` (NULL while running). A batch that is not in this list
+    takes the times of the first one after it in counter order; if there is none, they are NULL.
     """
-    bounds = batches.withColumn("end_time", F.coalesce("end_time", as_of))
+    bounds = batches.select("batch", "start_time", F.coalesce("end_time", as_of).alias("end_time"))
     key = ["machine", "machine_index", "batch"]
-    rows = status.select(*key, "time", "uuid", *flags)
+    rows = status.where(F.col("batch").isNotNull()).select(*key, "time", "uuid", *flags)
     timed = with_next(rows, TimeOrder(keys=key), _next_time="time")
-    timed = timed.join(bounds, "batch").withColumn(
+    timed = timed.join(bounds.unionByName(_later_batches(rows, bounds)), "batch", "left").withColumn(
         "_seconds", seconds_between("time", F.coalesce("_next_time", "end_time")))
     long = timed.unpivot(
         [*key, "start_time", "end_time", "_seconds"], list(flags), "flag", "state")

@@ -143,6 +143,20 @@ def test_flags_of_machines_of_one_type_do_not_mix(spark):
     assert sorted(values(got, "machine_index", "state", "duration_seconds")) == [("0", 0.0, 200.0), ("1", 1.0, 190.0)]
 
 
+def test_flags_of_a_batch_that_the_list_lacks(spark):
+    # 9 and 10 in counter order, not in that of text; 8 takes the times of 9, 95 those of 100, 200 has none after it.
+    asked = ["8", "9", "95", "100", "200", "x", None]
+    rows = [(2 * i + j, at(20 + 10 * j), "m", "1", b, 1.0) for i, b in enumerate(asked) for j in (0, 1)]
+    status = spark.createDataFrame(rows, "uuid long, time timestamp_ntz, machine string, machine_index string, batch string, on double")
+    listed = [("9", at(10), at(60)), ("10", at(60), at(90)), ("100", at(90), None)]
+    batches = spark.createDataFrame(listed, "batch string, start_time timestamp_ntz, end_time timestamp_ntz")
+    got = plan.flag_durations(status, batches, F.lit(at(200)), ["on"])
+    assert {r[0]: r[1:] for r in values(got, "batch", "start_time", "end_time", "duration_seconds", "batch_seconds")} == {
+        "8": (at(10), at(60), 40.0, 50.0), "9": (at(10), at(60), 40.0, 50.0),
+        "95": (at(90), at(200), 180.0, 110.0), "100": (at(90), at(200), 180.0, 110.0),
+        "200": (None, None, 10.0, None), "x": (None, None, 10.0, None)}
+
+
 def test_state_durations_within_dense_batches(spark):
     # All machines of a batch count where the next row is looked for among them.
     from dataclasses import replace
