@@ -78,14 +78,20 @@ def shard_best(vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int
     return best_ids, best
 
 
+def shard_count(vectors: DataFrame, vectors_per_shard: int) -> int:
+    """Twice the shuffle partitions, or more where shards would hold more vectors than that on average."""
+    return max(2 * partitions(vectors.sparkSession), -(-vectors.count() // vectors_per_shard))
+
+
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = 10, queries_per_block: int = 4096, shards: int | None = None
+    vectors: DataFrame, queries: DataFrame, k: int = 10, queries_per_block: int = 4096, shards: int | None = None,
+    vectors_per_shard: int = 16_384,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k best candidates for each query.
 
-    Both frames come from :func:`quantised`. ``shards`` defaults to twice the shuffle partitions.
+    Both frames come from :func:`quantised`. ``shards`` defaults to :func:`shard_count`.
     """
-    shards = shards or 2 * partitions(vectors.sparkSession)
+    shards = shards or shard_count(vectors, vectors_per_shard)
     queries = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("terms").alias("terms"))
     # One number: how many blocks of queries there are.
     blocks = -(-queries.count() // queries_per_block)

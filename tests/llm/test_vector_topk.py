@@ -2,7 +2,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from plantpulse.llm.vector_topk import quantised, shard_best, top_k
+from plantpulse.llm.vector_topk import quantised, shard_best, shard_count, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -38,6 +38,15 @@ def test_ties_repeats_and_unsound_vectors(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_more_vectors_make_more_shards(spark):
+    rng = np.random.default_rng(1)
+    made = {i: rng.integers(-2, 3, 6).astype(float).tolist() for i in range(300)}
+    sound = quantised(spark.createDataFrame([(i, v, 0) for i, v in made.items()], SCHEMA))
+    asked = sound.where("vec_id % 50 = 0")
+    assert shard_count(sound, 5) == 60 and shard_count(sound.where("vec_id < 290"), 5) == 58
+    assert sorted(top_k(sound, asked, vectors_per_shard=5).collect()) == sorted(top_k(sound, asked, shards=1).collect())
+
+
 def test_few_rows(spark):
     one = quantised(spark.createDataFrame([(0, [0.5, -0.25], 1), (1, [1.0], 1)], SCHEMA))
     assert [tuple(r) for r in top_k(one, one.where("vec_id = 0")).collect()] == [(0, 1, 1, 512 * 1024)]
