@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm import class_lm, main_text
 from plantpulse.llm.common import fold, read, ready
+from plantpulse.llm.conversation_repair import damaged, summaries
 from plantpulse.llm.personal_data import examples, trained, with_spans
 from plantpulse.llm.piece_sampling import segmentations
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
@@ -157,3 +158,87 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = main_text.extracted(read(spark, sf_dir, "pages"), main_text.trained(main_text.examples(spark)))
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: CRC-32 in SQL: the table of its 256 steps, and the checksum of a list of bytes.
+_CRC_STEPS = """(SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS steps)"""
+
+
+def _crc(bytes_: str) -> str:
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]), 4294967295), 4294967295)"
+
+
+def _repair_step() -> str:
+    """Cost, audit and repaired lines from each grammar state, given those of what follows and a row."""
+    following = [2, 2, 3, 2]
+    kept = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    inserted = ["user", "user", "assistant", "user"]
+
+    def edit(state: int, letter: str, cost: str, line: str) -> str:
+        after = f"v[{state + 1}]"
+        lines = f"list_concat([{line}], {after}.t)" if line else f"{after}.t"
+        return f"{{'c': {after}.c + {cost}, 'a': '{letter}' || {after}.a, 't': {lines}}}"
+
+    def choices(state: int) -> str:
+        made = [edit(state, "D", "2", "")]
+        for initial, after in kept[state].items():
+            made.append(f"CASE WHEN NOT r.gone AND r.initial = '{initial}' THEN {edit(after, 'K', 'r.stays', 'r.line')} END")
+        role = f"'{inserted[state]}:' || r.text"
+        made.append(f"CASE WHEN NOT r.gone THEN {edit(following[state], 'R', 'r.stays + 1', role)} END")
+        return f"list_min([{', '.join(made)}])"
+
+    def insert(state: int, after: str) -> str:
+        return (f"{{'c': ({after}).c + 5, 'a': 'I' || ({after}).a, "
+                f"'t': list_concat(['{inserted[state]}:'], ({after}).t)}}")
+
+    def entry(state: int) -> str:
+        one = insert(state, f"f[{following[state] + 1}]")
+        two = insert(state, insert(following[state], f"f[{following[following[state]] + 1}]"))
+        return f"list_min([f[{state + 1}], {one}, {two}])"
+
+    consumed = f"[{', '.join(choices(s) for s in range(4))}]"
+    # The inserts need the results of all states, so they are bound as the only element of a list.
+    return f"list_transform([{consumed}], lambda f: [{', '.join(entry(s) for s in range(4))}])[1]"
+
+
+_REPAIR_SQL = rf"""
+WITH crc AS {_CRC_STEPS},
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+coded AS (SELECT *, {_crc("list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS BIGINT))")} % 20 AS code
+  FROM keyed, crc),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN code = 1 THEN '' WHEN code = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE code WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM coded),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS before
+  FROM rows_),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'gone': fault IN ('blank', 'duplicate'), 'initial': initial, 'stays': CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END,
+           'line': role || ':' || text, 'text': text}} ORDER BY place DESC) AS backward
+  FROM judged GROUP BY conv_id),
+solved AS (
+  SELECT * EXCLUDE (backward), list_reduce(backward, lambda v, r: {_repair_step()},
+    [{{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}}, {{'c': CAST(10 AS BIGINT), 'a': 'II', 't': ['user:', 'assistant:']}},
+     {{'c': CAST(5 AS BIGINT), 'a': 'I', 't': ['assistant:']}}, {{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}}])[1] AS best FROM counted)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN solved s ON a.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+
+@query("op11_conversation_repair", _REPAIR_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries(damaged(read(spark, sf_dir, "conversations")))

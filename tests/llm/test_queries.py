@@ -10,14 +10,14 @@ from .helpers import FOLDER
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("key", list(oracle_sql()))
 def test_same_rows_as_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "conversations", "benchmark"):
         con.register(name, ds.dataset(f"{FOLDER}/{name}.parquet").to_table())
     want = con.execute(oracle_sql()[key])
     names = [d[0] for d in want.description]
