@@ -15,6 +15,7 @@ from plantpulse.llm.piece_sampling import segmentations
 from plantpulse.llm.simhash_dedup import fingerprint_text, near_duplicates
 from plantpulse.llm.sketches import edited_likeness
 from plantpulse.llm.source_mix import copies
+from plantpulse.llm.target_resampling import resampled
 from plantpulse.llm.token_counts import token_counts
 from plantpulse.llm.toxicity import learned, scored
 from plantpulse.llm.vector_topk import quantised, top_k
@@ -218,8 +219,10 @@ placed AS (
     left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS before
   FROM rows_),
 judged AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
 counted AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
     count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
@@ -242,3 +245,38 @@ FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN solved s ON a.conv
 @query("op11_conversation_repair", _REPAIR_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries(damaged(read(spark, sf_dir, "conversations")))
+
+
+_WORDS_OF = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_HEX_BYTES = ("list_transform(range(1, CAST(length(hex(encode(word))) / 2 AS BIGINT) + 1), "
+              "lambda i: CAST(CAST('0x' || substr(hex(encode(word)), CAST(2 * i - 1 AS BIGINT), 2) AS INTEGER) AS BIGINT))")
+
+
+@query("op12_target_resampling", f"""
+WITH crc AS {_CRC_STEPS},
+docs AS (SELECT doc_id, {_WORDS_OF} AS words, row_number() OVER () AS nth FROM documents),
+told AS (SELECT unnest({_WORDS_OF}) AS word FROM benchmark),
+said AS (SELECT nth, unnest(words) AS word FROM docs),
+hashed AS (SELECT word, {_crc(_HEX_BYTES)} % 10000 AS bucket FROM (SELECT word FROM said UNION SELECT word FROM told), crc),
+corpus AS (SELECT bucket, count(*) AS s FROM said JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM told JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM said)::DOUBLE + 10000)
+    / ((s + 1.0::DOUBLE) * ((SELECT count(*) FROM told)::DOUBLE + 10000)))) AS BIGINT) AS gain
+  FROM corpus LEFT JOIN target USING (bucket)),
+weights AS (SELECT nth, CAST(sum(gain) AS BIGINT) AS weight FROM said JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY nth),
+scored AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) AS DOUBLE)
+      + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (nth)),
+placed AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= 10 * (SELECT count(*) FROM scored WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM placed
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
