@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantpulse.llm import class_lm, main_text
+from plantpulse.llm import class_lm, fertility, main_text
 from plantpulse.llm.common import fold, read, ready
 from plantpulse.llm.conversation_repair import damaged, summaries
 from plantpulse.llm.personal_data import examples, trained, with_spans
@@ -280,3 +280,12 @@ FROM placed
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_fertility_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    rows = fertility.judged(
+        read(spark, sf_dir, "documents"), public.path("piece_bpe_32k.model"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
