@@ -16,15 +16,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.common import Recent, partitions
+from plantpulse.llm.common import Recent, partitions, text_key
 
 WORDS = 5
 SIZE = 256
@@ -156,53 +159,80 @@ def _joined(size: int):
 _EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double")
+_EDITED_COLUMNS = [c.split()[0] for c in _EDITED.split(", ")]
+
+
+def _first_rows(rows: DataFrame, slices: int) -> list[tuple]:
+    """The first row of each range of rows in order, as (has an id, id or 0, text key); at most one for each slice."""
+    order = ["known", "at", "text_key"]
+    part = F.spark_partition_id()
+    least = rows.select(*order).repartitionByRange(slices, *order).groupBy(part.alias("part")).agg(F.min(F.struct(*order)).alias("first"))
+    return sorted(tuple(r["first"]) for r in least.collect())
 
 
 def edited_likeness(docs: DataFrame, words: int = WORDS, size: int = SIZE, slices: int | None = None) -> DataFrame:
     """Each document's sketch beside those of its edited text and of the next document.
 
     The edited text has its last half replaced by the beginning of the next document by id; the first one follows
-    the last. Documents are dealt to ranges of ids, each range sorted by id; the first document of a range is
-    also sent to the range before, so that every document meets its successor. The borders of the
-    ranges are ids (one number for each range), so a range's first document is known before.
+    the last. Documents are dealt to slices of the order, each slice in order; the first document of a slice is also
+    sent to the slice before, so that every document meets its successor. The borders are rows of the table
+    (one for each slice), so a slice's first document is known before.
 
-    Rows without an id come first; rows with equal ids follow each other by text.
+    Rows without an id come first; rows with equal ids follow each other by a hash of the text. Equal rows follow each
+    other, so they are counted, batch by batch, before they are dealt: all but the last of them are their own successors.
     """
     spark = docs.sparkSession
-    slices = slices or 2 * partitions(spark)
-    key = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    rows = docs.select("doc_id", key.alias("at"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = F.array(*[F.lit(i / slices) for i in range(1, slices)]) if slices > 1 else F.array(F.lit(0.5))
-    found = rows.agg(F.min("at"), F.percentile_approx("at", parts, 10_000)).first()
-    if found[0] is None:
+    keyed = docs.select(
+        F.col("doc_id").isNotNull().alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("at"),
+        text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    borders = _first_rows(keyed, slices or 2 * partitions(spark))
+    if not borders:
         return spark.createDataFrame([], _EDITED)
-    # At most one number for each slice, whatever the number of documents.
-    borders = np.unique(np.array([found[0], *found[1]], dtype=np.int64))
     n = len(borders)
+    placed_schema = "known boolean, at long, text_key long, text string, times long, slice int, guest boolean"
 
-    @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(borders, ids.to_numpy(), side="right") - 1
-        first = borders[at] == ids.to_numpy()
-        return pd.Series([[p, p - 1 if p else n - 1] if f else [p] for p, f in zip(at.tolist(), first.tolist())])
-
-    placed = rows.withColumn("places", places("at")).select("doc_id", "at", "text", F.posexplode("places").alias("guest", "slice"))
-    # A guest comes after the slice's own rows; several guests of one id by text.
-    dealt = placed.repartitionById(n, "slice").sortWithinPartitions("guest", "at", "text")
-
-    def followed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first: dict[tuple, int] = {}
+            times: Counter = Counter()
+            for i, row in enumerate(zip(*[batch.column(c).to_pylist() for c in ("known", "at", "text_key")])):
+                first.setdefault(row, i)
+                times[row] += 1
+            taken, counts, where, guests = [], [], [], []
+            for row, i in first.items():
+                own = bisect_right(borders, row) - 1
+                for guest in (False, True) if borders[own] == row else (False,):
+                    taken.append(i)
+                    counts.append(times[row])
+                    where.append((own - 1) % n if guest else own)
+                    guests.append(guest)
+            rows = batch.take(pa.array(taken, pa.int64()))
+            yield pa.record_batch(
+                [*rows.columns, pa.array(counts, pa.int64()), pa.array(where, pa.int32()), pa.array(guests, pa.bool_())],
+                names=["known", "at", "text_key", "text", "times", "slice", "guest"])
+
+    # A guest comes after the slice's own rows.
+    dealt = keyed.mapInArrow(placed, placed_schema).repartitionById(n, "slice").sortWithinPartitions("guest", "known", "at", "text_key")
+
+    def followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hashed()
         held = None
         for batch in batches:
             out = []
-            for doc_id, text, guest in zip(batch["doc_id"], batch["text"], batch["guest"]):
-                own = (doc_id, text, sketch(text, words, size, hashed), guest)
+            for known, at, text, times, guest in zip(*[batch.column(c).to_pylist() for c in ("known", "at", "text", "times", "guest")]):
+                own = (at if known else None, text, sketch(text, words, size, hashed), guest)
                 if held is not None and not held[3]:
                     out.append(_compared(held, own, words, size, hashed))
+                if not guest and times > 1:
+                    out += [_compared(own, own, words, size, hashed)] * (times - 1)
                 held = own
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _EDITED.split(", ")]).astype({"doc_id": "Int64"})
+            columns = list(zip(*out)) or [[]] * len(_EDITED_COLUMNS)
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _EDITED_TYPES)], names=_EDITED_COLUMNS)
+
+    return dealt.select("known", "at", "text", "times", "guest").mapInArrow(followed, _EDITED)
+
 
-    return dealt.select("doc_id", "text", "guest").mapInPandas(followed, _EDITED)
+_EDITED_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
 def _compared(own: tuple, following: tuple, words: int, size: int, hashed: Recent) -> tuple:
@@ -211,5 +241,5 @@ def _compared(own: tuple, following: tuple, words: int, size: int, hashed: Recen
     edited = text[: len(text) - half] + following[1][:half]
     edited_mark = sketch(edited, words, size, hashed)
     return (
-        None if pd.isna(doc_id) else int(doc_id), len(text), hashlib.sha256(edited.encode()).hexdigest(), written(mark), written(edited_mark),
+        doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), written(mark), written(edited_mark),
         resemblance(mark, edited_mark, size), resemblance(mark, following[2], size))

@@ -33,6 +33,17 @@ def clashing(spark):
     return df
 
 
+def large_ids(n=500):
+    """Ids beyond what doubles hold, in one batch with rows without an id."""
+    import xxhash
+
+    even = [2**60 + 7 * i for i in range(n)]
+    hashed = [xxhash.xxh64_intdigest(str(i)) - 2**63 for i in range(n)]
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    texts = {i: " ".join(words[(n * k + n // 3) % 5] + str((n * 31 + k) % 997) for k in range(12)) for n, i in enumerate([*even, *hashed])}
+    return [(i, t, "en", "a", len(t)) for i, t in texts.items()] + [(None, "no id one two three", "en", "a", 19), (None, "another one", "en", "a", 11)]
+
+
 def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 

@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -8,7 +9,7 @@ from plantpulse.llm.queries import queries
 from plantpulse.llm.sketches import (
     containment, distinct_count, edited_likeness, fingerprints, merge_by, merged, read, resemblance, sketch, written)
 
-from .helpers import AWKWARD, FOLDER, awkward, clashing, nothing, table
+from .helpers import AWKWARD, FOLDER, SCHEMA, awkward, clashing, large_ids, nothing, table
 
 
 def shingles(text):
@@ -79,3 +80,25 @@ def test_awkward_rows(spark):
     assert edited_likeness(nothing(spark)).count() == 0
     one = edited_likeness(awkward(spark).where("doc_id = 6")).collect()
     assert one[0].near_next == 1.0
+
+
+def test_large_ids_stay_as_they_are(spark):
+    docs = large_ids()
+    df = spark.createDataFrame(docs, SCHEMA).coalesce(2)
+    order = sorted(((d[0], d[1]) for d in docs if d[0] is not None))
+    for slices in (None, 13, 700):
+        rows = edited_likeness(df, slices=slices).collect()
+        assert sorted(map(repr, [r.doc_id for r in rows])) == sorted(repr(d[0]) for d in docs)
+        text, got = dict(order), {r.doc_id: r for r in rows}
+        for (i, own), (j, _) in zip(order, order[1:]):
+            half = len(own) // 2
+            edited = own[: len(own) - half] + text[j][:half]
+            assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_one_id_with_most_rows(spark):
+    rows = [(5, f"text {i % 40} of a busy id", "en", "a", 0) for i in range(2_000)] + [(i, f"quiet {i}", "en", "a", 0) for i in range(10)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for slices in (1, 16):
+        got = Counter(r.doc_id for r in edited_likeness(df, slices=slices).collect())
+        assert got == Counter(r[0] for r in rows)
