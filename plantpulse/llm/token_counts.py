@@ -19,9 +19,10 @@ import json
 import re
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from plantpulse.llm.common import Recent, kept
 
@@ -145,17 +146,16 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, read: Callab
         description = read(tokenizer)
     sent = docs.sparkSession.sparkContext.broadcast(description)
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = kept(("tokens", hash(sent.value)), lambda: BytePairCounter(sent.value))
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             tokens = [count(t) for t in texts]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "n_bytes": [len(t.encode()) for t in texts],
-                "n_tokens": tokens,
-                "over_limit": [n > limit for n in tokens],
-            })
-
-    return docs.select("doc_id", "text").mapInPandas(
+            # The id is passed on as it came: by way of pandas, a NULL would turn all of a batch into doubles.
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(tokens, pa.int64()),
+                 pa.array([n > limit for n in tokens], pa.bool_())],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         counted, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

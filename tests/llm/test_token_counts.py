@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 from plantpulse.llm.queries import queries
 from plantpulse.llm.token_counts import BytePairCounter, count_after_merging, token_counts
 
-from .helpers import AWKWARD, FOLDER, awkward, clashing, nothing, rows, table
+from .helpers import AWKWARD, FOLDER, SCHEMA, awkward, clashing, large_ids, nothing, rows, table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,3 +56,9 @@ def test_awkward_rows(spark, library):
     assert got == sorted(want, key=repr)
     assert rows(token_counts(clashing(spark), PATH)) == got
     assert token_counts(nothing(spark), PATH).count() == 0
+
+
+def test_large_ids_stay_as_they_are(spark):
+    docs = large_ids()
+    got = token_counts(spark.createDataFrame(docs, SCHEMA).coalesce(1), PATH).collect()
+    assert sorted(map(repr, [r.doc_id for r in got])) == sorted(repr(d[0]) for d in docs)
