@@ -13,7 +13,8 @@ is sent to every machine whole.
 
 Cases: vectors that are NULL or hold NULL, NaN or an infinity, and rows without an id, take no part;
 a missing component counts as zero; of rows that repeat an id each is a candidate, and the
-smallest vector is the query; an empty table gives no rows.
+smallest vector is the query; large components are summed in whole numbers of 64 bits or more, and a score that no long
+holds is given as the nearest long; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
         "vec_id", F.expr(f"transform(embedding, x -> floor({scale} * cast(x AS double)))").alias("terms"))
 
 
-def _matrix(rows: list, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width))
+def _matrix(rows: list, width: int, kind: type = float) -> np.ndarray:
+    out = np.zeros((len(rows), width), dtype=kind)
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
     return out
@@ -52,14 +53,14 @@ def shard_best(vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int
     bound = np.abs(weight) * (high - low)
     order = np.argsort(-bound, kind="stable")
     used, weight, floor_, bound = used[order], weight[order], floor_[order], bound[order]
-    base = float(weight @ floor_)
+    base = weight @ floor_
     # rest[i]: what the terms from i on can add.
-    rest = np.append(np.cumsum(bound[::-1])[::-1], 0.0)
-    best_ids, best, threshold = np.empty(0, ids.dtype), np.empty(0), -np.inf
+    rest = np.append(np.cumsum(bound[::-1])[::-1], bound[:0].sum())
+    best_ids, best, threshold = np.empty(0, ids.dtype), np.empty(0, rest.dtype), -np.inf
     for start in range(0, len(ids), block):
         part, names = vectors[start : start + block], ids[start : start + block]
         # The fewest terms that leave the others unable to reach the threshold alone.
-        essential = int(np.argmax(base + rest < threshold)) if base + rest[-1] < threshold else len(used)
+        essential = int(np.argmax(base + rest < threshold)) if (base + rest < threshold).any() else len(used)
         score = base + (part[:, used[:essential]] - floor_[:essential]) @ weight[:essential]
         alive = np.flatnonzero((score + rest[essential] >= threshold) & (names != own))
         score = score[alive]
@@ -109,12 +110,17 @@ def top_k(
         if len(candidates) and len(wanted):
             width = max(map(len, [*candidates["terms"], *wanted["terms"]]))
             x, q = _matrix(list(candidates["terms"]), width), _matrix(list(wanted["terms"]), width)
-            if width and np.abs(x).max() * np.abs(q).max() * width * 4 >= EXACT:
-                raise ValueError("components are too large for exact scores")
+            most = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, width) * 4
+            if most >= EXACT:
+                # Large components: whole numbers of 64 bits, or of any size where sums might pass these too.
+                kind = np.int64 if most < 2.0**62 else object
+                x, q = _matrix(list(candidates["terms"]), width, kind), _matrix(list(wanted["terms"]), width, kind)
             ids = candidates["vec_id"].to_numpy()
             for name, vector in zip(wanted["query_id"], q):
                 best_ids, best = shard_best(x, ids, vector, name, k)
-                found.append(pd.DataFrame({"query_id": name, "vec_id": best_ids, "score": best.astype("int64")}))
+                # A score beyond a long can't be told, so it stands at the nearest one.
+                scores = [min(max(int(b), -(2**63)), 2**63 - 1) for b in best] if best.dtype == object else best.astype("int64")
+                found.append(pd.DataFrame({"query_id": name, "vec_id": best_ids, "score": scores}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     best = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(

@@ -52,3 +52,22 @@ def test_few_rows(spark):
     assert [tuple(r) for r in top_k(one, one.where("vec_id = 0")).collect()] == [(0, 1, 1, 512 * 1024)]
     none = quantised(spark.createDataFrame([], SCHEMA))
     assert top_k(none, none).count() == 0
+
+
+def test_large_components_are_exact(spark):
+    rng = np.random.default_rng(3)
+    for size, beyond in ((20_000.0, 0), (100_000.0, 0), (4e7, 1), (3e12, 1)):
+        made = {i: (rng.random(64) * 2 - 1).tolist() for i in range(120)}
+        made[7], made[60], made[61] = (((rng.random(64) * 2 - 1) * size).tolist() for _ in range(3))
+        sound = quantised(spark.createDataFrame([(i, v, 0) for i, v in made.items()], "vec_id long, embedding array<double>, label int"))
+        whole = {i: [int(np.floor(1024 * c)) for c in v] for i, v in made.items()}
+        want = []
+        for q in range(0, 120, 20):
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+            want += [(q, n, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(scores, 1)]
+        got = sorted(map(tuple, top_k(sound, sound.where("vec_id % 20 = 0"), 5, shards=3).collect()))
+        if beyond and any(abs(w[3]) >= 2**63 - 1 for w in want):
+            # Scores no long holds are merged as equal ones.
+            assert [g[3] for g in got] == [w[3] for w in want]
+        else:
+            assert got == want
