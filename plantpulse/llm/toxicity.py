@@ -17,7 +17,7 @@ are put together (``i d i o t``), and long ones are read in overlapping windows,
 length is read whole.
 
 Cases: a NULL or empty text scores as one without any triple; documents without a label are not learnt
-from, nor are rows with a NULL label or id; with labels of one kind only, every document gets that
+from, nor are rows with a NULL label or id; of rows that share an id one is learnt from; with labels of one kind only, every document gets that
 share as its score; repeated rows score alike; extra columns are ignored.
 """
 
@@ -28,13 +28,14 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.common import Recent, fold, kept
+from plantpulse.llm.common import Recent, fold, kept, text_key
 
 #: Kinds of letters: a-z, 0-9, and all others in 25 classes by code point. A triple of them is a feature.
 LETTERS = 61
@@ -48,6 +49,8 @@ PART = 12
 STEP = 4
 #: Words whose scores a Python worker remembers; bounds its memory only.
 REMEMBERED = 200_000
+#: Toxic documents of a word for each clean one it may be in and still count as toxic.
+CLEAN_PER_TOXIC = 10
 #: Documents whose words are held at a time.
 _AT_ONCE = 400
 
@@ -162,15 +165,25 @@ def _logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return slope / scale, centre - scale * w[1] / slope
 
 
+def _nearly_toxic(in_toxic: np.ndarray, in_clean: np.ndarray) -> np.ndarray:
+    """Words of toxic documents that clean ones hardly have: a quoting or mislabelled one in ten toxic ones is allowed."""
+    return (in_toxic > 0) & (in_clean * CLEAN_PER_TOXIC <= in_toxic)
+
+
 def _telling(in_toxic: np.ndarray, in_clean: np.ndarray, share: float) -> np.ndarray:
-    """Words that chance doesn't put into toxic documents only.
+    """Words that chance doesn't put into nearly toxic documents only.
 
-    A word in k documents is in toxic ones alone with chance share^k. Of all words in k documents, less
+    A word in k documents has at most c clean ones among them with a binomial chance. Of all words in k documents, less
     than half of one may be so by chance.
     """
-    total = (in_toxic + in_clean).astype(np.int64)
-    by_chance = np.bincount(total) * share ** np.arange(total.max() + 1)
-    return (in_clean == 0) & (total >= 2) & (by_chance[total] < 0.5)
+    total, clean = (in_toxic + in_clean).astype(np.int64), in_clean.astype(np.int64)
+    words = np.bincount(total)
+    out = _nearly_toxic(in_toxic, in_clean) & (total >= 2)
+    for i in np.flatnonzero(out):
+        k = int(total[i])
+        chance = sum(comb(k, j) * share ** (k - j) * (1 - share) ** j for j in range(int(clean[i]) + 1))
+        out[i] = words[k] * chance < 0.5
+    return out
 
 
 def _one_of_copies(bags: list[list[str]]) -> list[int]:
@@ -225,9 +238,10 @@ def fit(
         return Machine(nothing, 0.0, 1.0, -np.log(toxic.mean() / (1 - toxic.mean())))
     in_toxic = np.bincount(inverse, weights=toxic[owner], minlength=len(names))
     in_clean = np.bincount(inverse, weights=~toxic[owner], minlength=len(names))
-    clean = np.flatnonzero(in_clean > 0)
-    spoken = {b: inverse[owner == b][in_clean[inverse[owner == b]] == 0] for b in learn[toxic[learn]]}
-    candidates = np.flatnonzero(in_clean == 0)
+    nearly = _nearly_toxic(in_toxic, in_clean)
+    clean = np.flatnonzero(~nearly)
+    spoken = {b: inverse[owner == b][nearly[inverse[owner == b]]] for b in learn[toxic[learn]]}
+    candidates = np.flatnonzero(nearly)
     usual = clean[np.argsort(-in_clean[clean], kind="stable")[:1500]]
     often = in_clean[clean] / in_clean[clean].sum() if len(clean) else None
     # Words that can't be in toxic documents by chance are toxic from the start; the others become so if the
@@ -236,7 +250,7 @@ def fit(
     worth = np.zeros(len(names))
     worth[telling] = in_toxic[telling]
     if not len(telling):
-        worth = np.where((in_clean == 0) & (in_toxic == in_toxic[in_clean == 0].max(initial=0)), 1.0, 0.0)
+        worth = np.where(nearly & (in_toxic == in_toxic[nearly].max(initial=0)), 1.0, 0.0)
     machine, hard = None, np.empty(0, dtype=np.int64)
     for _ in range(passes):
         words = [u[np.argmax(worth[u])] for u in spoken.values() if len(u) and worth[u].max() > 0]
@@ -266,7 +280,7 @@ def fit(
         look = rng.choice(clean, min(len(clean), 40_000), replace=False)
         margin = machine.margins([str(names[i]) for i in look])
         hard = np.union1d(hard, look[np.argsort(-margin, kind="stable")[:800]])
-        # From now on a word is as telling as the machine says, among those of no clean document.
+        # From now on a word is as telling as the machine says, among those that clean documents hardly have.
         worth = np.zeros(len(names))
         worth[candidates] = np.maximum(machine.margins([str(names[i]) for i in candidates]), 0.0)
     if machine is None:
@@ -302,6 +316,10 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 4500) -> Machine:
 
     # At most ``sample`` ids of two numbers each.
     found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # One row for each id, that of the lowest hash of its text, so the bound holds for rows too. Of the rows of an id only
+    # their hashes meet, and of equal texts one stays for each task.
+    least = found.groupBy("doc_id").agg(F.min(text_key()).alias("_least"))
+    found = found.join(F.broadcast(least), "doc_id").where(text_key() == F.col("_least")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = found.select("doc_id", "toxic", "text").mapInPandas(bag, "doc_id long, toxic int, units string").toPandas()
     rows = rows.sort_values(["doc_id", "units"], kind="stable")
     return fit([u.split() for u in rows["units"]], rows["toxic"].to_numpy() > 0)

@@ -105,3 +105,50 @@ def test_sample_is_bounded_and_has_both_kinds(spark):
     finally:
         module.fit = old
     assert seen == {"n": 300, "toxic": 100}
+
+
+def units(texts):
+    return [sorted({u for w in raw_words(t) for u in windows(w) if len(u) >= 3}) for t in texts]
+
+
+def test_one_mislabelled_document_for_each_insult():
+    texts, toxic = bags(1200, 5)
+    for insult in INSULTS:
+        toxic[next(i for i, t in enumerate(texts) if toxic[i] and insult in t)] = False
+    made = fit(units(texts), toxic)
+    held, truth = bags(600, 6)
+    assert ((Scorer(made)(held) >= 0.5) == truth).mean() > 0.98
+
+
+def test_repeated_ids_are_learnt_from_once(spark):
+    docs = spark.range(4_000).selectExpr("id % 40 AS doc_id", "concat('tare milo w', id % 80) AS text")
+    labels = spark.range(40).selectExpr("id AS doc_id", "1 AS quality", "cast(id % 4 = 0 AS int) AS toxic")
+    seen = {}
+    import plantpulse.llm.toxicity as module
+
+    old, module.fit = module.fit, lambda bags, toxic: seen.update(n=len(bags))
+    try:
+        learned(docs, labels, sample=300)
+    finally:
+        module.fit = old
+    assert seen["n"] == len({i for i in range(40) if __import__("zlib").crc32(str(i).encode()) % 5})
+
+
+def test_score_equals_a_plain_version(machine):
+    def margin(word):
+        weight = {}
+        letters = [ord(c) - 97 if "a" <= c <= "z" else ord(c) - 22 if c.isdigit() and c.isascii() else 36 + ord(c) % 25 for c in word]
+        for i in range(len(word)):
+            for k in range(i + 2, min(len(word), i + 7)):
+                for j in range(i + 1, k):
+                    t = (letters[i] * 61 + letters[j]) * 61 + letters[k]
+                    weight[t] = weight.get(t, 0.0) + 0.75 ** (k - i + 1)
+        norm = sum(w * w for w in weight.values()) ** 0.5
+        return machine.bias + (sum(machine.weights[t] * w for t, w in weight.items()) / norm if weight else 0.0)
+
+    texts, _ = bags(40, 9)
+    for text in [*texts, "", "a b", "Éa-grumbol? ß", "y" * 40]:
+        words = [u for w in raw_words(text) for u in windows(w)]
+        worst = max((margin(w) for w in words), default=machine.bias)
+        want = 1 / (1 + np.exp(-np.clip(machine.slope * (worst - machine.middle), -40, 40)))
+        assert abs(Scorer(machine)([text])[0] - want) < 1e-6
