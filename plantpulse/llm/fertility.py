@@ -173,9 +173,10 @@ def judged(docs: DataFrame, pieces: str, ranks: str, pattern: str, limit: float
     """Each row's plain counts, measures, ``base_failed`` and ``kept``."""
     marked, _ = written(measured(docs, pieces, ranks, pattern), "fertility")
     band = bands(marked)
-    # One row for each language and length class.
+    # One row for each language and length class; written, so that Spark knows its size before it plans the join.
     wide = band.groupBy("speech", "length").agg(
         *[F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"_{c}_{m}") for m in MEASURES for c in ("middle", "width")])
+    wide, _ = written(wide, "bands")
     out = F.lit(False)
     for m in MEASURES:
         out = out | (F.abs(F.col(m) - F.col(f"_middle_{m}")) > limit * F.col(f"_width_{m}"))
