@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.functions.values import ratio
-from plantpulse.operators.ordered import TimeOrder, with_previous
+from plantpulse.operators.ordered import TimeOrder
+from plantpulse.operators.stretches import state_totals
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], column: str, alias: str) -> DataFrame:
@@ -23,9 +24,9 @@ def most_frequent(df: DataFrame, keys: Sequence[str], column: str, alias: str) -
 
 def transition_count(df: DataFrame, order: TimeOrder, state: str, target: float, alias: str) -> DataFrame:
     """Entries into a state per key; a missing or NULL previous state counts as another state."""
-    seen = with_previous(df, order, _was=state)
-    entered = (F.col(state) == target) & ~F.coalesce(F.col("_was") == target, F.lit(False))
-    return seen.groupBy(*order.keys).agg(F.count_if(entered).alias(alias))
+    totals = state_totals(df, order.keys, state, order=order)
+    return totals.groupBy(*order.keys).agg(
+        F.coalesce(F.sum(F.when(F.col(state) == target, F.col("entries"))), F.lit(0)).alias(alias))
 
 
 def pooled_stddev(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.functions.text import general_key
 from plantpulse.functions.time import micros
-from plantpulse.operators.ordered import TimeOrder, carry
+from plantpulse.operators.ordered import TimeOrder, carry, carry_both
 
 
 def interval_join(
@@ -36,23 +36,27 @@ def interval_join(
 
 def asof(
     probes: DataFrame, rows: DataFrame, on: Sequence[str], values: dict[str, str],
-    forward: bool = False, time: str = "time", tie: str = "uuid",
+    forward: bool | str = False, time: str = "time", tie: str = "uuid",
 ) -> DataFrame:
     """Per probe the last row at or before its time, or the first one at or after it (``forward``).
 
-    ``values`` lists ``new_name=column`` of the rows to attach. Both inputs are put in one order
-    and the value is carried along, so no pairs are built.
+    ``values`` lists ``new_name=column`` of the rows to attach. Both inputs are put in one order and the value
+    is carried along, so no pairs are built. ``forward`` may name a column of the probes that tells the direction of each.
     """
-    # On equal times the row has to be met before the probe, in the direction of the carry.
-    row_side, probe_side = (2, 1) if forward else (0, 1)
+    direction = F.col(forward) if isinstance(forward, str) else F.lit(forward)
+    # On equal times a row stands between the probes that look ahead and those that look back.
+    side = F.when(direction, 0).otherwise(2)
     found = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    packed_probes = probes.select(
-        *on, time, tie, F.lit(probe_side).alias("_side"), F.struct(*probes.columns).alias("_probe"))
-    packed_rows = rows.select(*on, time, tie, F.lit(row_side).alias("_side"), found.alias("_found"))
+    packed_probes = probes.select(*on, time, tie, side.alias("_side"), F.struct(*probes.columns).alias("_probe"))
+    packed_rows = rows.select(*on, time, tie, F.lit(1).alias("_side"), found.alias("_found"))
     order = TimeOrder(keys=on, time=time, tie=("_side", tie))
     both = packed_probes.unionByName(packed_rows, allowMissingColumns=True)
-    joined = carry(both, order, backward=forward, _found="_found").where(F.col("_side") == probe_side)
-    return joined.select("_probe.*", *[F.col(f"_found.{n}").alias(n) for n in values])
+    ahead, back = {"_ahead": "_found"}, {"_back": "_found"}
+    if isinstance(forward, str):
+        joined = carry_both(both, order, back, ahead).withColumn("_found", F.when(F.col("_side") == 0, F.col("_ahead")).otherwise(F.col("_back")))
+    else:
+        joined = carry(both, order, backward=forward, _found="_found")
+    return joined.where(F.col("_side") != 1).select("_probe.*", *[F.col(f"_found.{n}").alias(n) for n in values])
 
 
 def translate(

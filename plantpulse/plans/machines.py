@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from plantpulse.functions.time import bucket, epoch_ms, seconds_between
 from plantpulse.functions.values import ratio
+from plantpulse.operators import stretches
 from plantpulse.operators.aggregates import most_frequent
 from plantpulse.operators.joins import asof
-from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_neighbours, with_next, with_previous
+from plantpulse.operators.ordered import SLICE, TimeOrder, carry, with_next, with_previous
+from plantpulse.operators.stretches import state_totals
 from plantpulse.session import staged
 
 BY_MACHINE = TimeOrder(keys=["serial"])
@@ -136,20 +138,9 @@ def state_durations(
     ``next_within`` tells among which rows the next row is looked for. The original report looks
     among all rows of the batch, whatever the machine.
     """
-    run_order = TimeOrder(keys=list(keys))
-    # Slices are measured on the coarsest key that is used with them.
-    rows = TimeOrder(keys=list(next_within or keys)).sliced(general.where(F.col(state).isNotNull()).select(
-        *dict.fromkeys([*keys, *(next_within or []), "time", "uuid", state])))
-    before, after = {"_was": state}, {"_next_time": "time"}
-    if next_within is None:
-        timed = with_neighbours(rows, run_order, before, after, seen="_seen")
-    else:
-        seen = with_neighbours(rows, run_order, before, seen="_seen")
-        timed = with_neighbours(seen, TimeOrder(keys=list(next_within)), following=after)
-    new_run = ~(F.col("_seen") & (F.col("_was") == F.col(state)))
-    duration = seconds_between(F.col("time"), F.coalesce("_next_time", as_of))
-    return timed.groupBy(*keys, state).agg(
-        F.count_if(new_run).alias("runs"), F.sum(duration).alias("total_seconds"))
+    known = general.where(F.col(state).isNotNull())
+    return state_totals(known, keys, state, as_of, next_within).select(
+        *keys, state, F.col("entries").alias("runs"), F.col("seconds").alias("total_seconds"))
 
 
 def state_group_report(durations: DataFrame, keys: Sequence[str] = ("serial", "batch")) -> DataFrame:
@@ -161,26 +152,16 @@ def state_group_report(durations: DataFrame, keys: Sequence[str] = ("serial", "b
         F.sum("runs").alias("runs"), F.sum("total_seconds").alias("total_seconds"))
 
 
-def stays(general: DataFrame, keys: Sequence[str], target: float = ALARM_STATE, state: str = "program_state") -> DataFrame:
-    """Completed stays in a state: entry and exit time.
+def stay_totals(
+    general: DataFrame, keys: Sequence[str], target: float = ALARM_STATE, state: str = "program_state"
+) -> DataFrame:
+    """Number and total time of the completed stays in a state per key.
 
     A stay that was open at the first row has no known entry and is left out, like one that is
     still open at the last row.
     """
-    order = TimeOrder(keys=list(keys))
-    rows = order.sliced(general.where(F.col(state).isNotNull()).select(
-        *dict.fromkeys([*keys, "time", "uuid", state])))
-    seen = with_previous(rows, order, _was=state)
-    here, before = F.col(state) == target, F.col("_was") == target
-    touching = seen.where((F.col(state) != F.col("_was")) & (here | before))
-    exits = with_previous(staged(touching, "stay-borders"), order, entered="time").where(~here & F.col("entered").isNotNull())
-    return exits.select(*keys, "entered", F.col("time").alias("left"))
-
-
-def stay_totals(general: DataFrame, keys: Sequence[str], target: float = ALARM_STATE) -> DataFrame:
-    """Number and total time of the completed stays per key."""
-    return stays(general, keys, target).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("stays"), F.sum(seconds_between("entered", "left")).alias("stay_seconds"))
+    known = general.where(F.col(state).isNotNull())
+    return stretches.stay_totals(known, keys, F.col(state) == target)
 
 
 def state_backfill(general: DataFrame, batch: Column, state: str = "program_state") -> DataFrame:
@@ -242,17 +223,13 @@ def batch_moments(general: DataFrame, weights: DataFrame, keys: Sequence[str] =
         return spans.select(*keys, F.lit(label).alias("moment"), F.col(f"{which}.time").alias("time"),
                             F.col(f"{which}.recipe").alias("recipe"))
 
-    def fill(which: str, label: str, forward: bool) -> DataFrame:
-        probes = spans.select(*keys, F.col(f"{which}.time").alias("time"), F.col(f"{which}.uuid").alias("uuid"))
-        hit = asof(probes, fills, machine, {"_fill": "_fill"}, forward=forward).where(F.col("_fill").isNotNull())
-        return hit.select(*keys, F.lit(label).alias("moment"), "_fill.time", "_fill.recipe")
-
-    parts = [edge("_start", "start batch"), fill("_start", "first fill", True),
-             fill("_end", "last fill", False), edge("_end", "end batch")]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    # Both fills are looked for in one order: the first one ahead of the start, the last one back from the end.
+    probes = spans.select(*keys, F.inline(F.array(
+        F.struct(F.lit("first fill").alias("moment"), F.lit(True).alias("_ahead_of"), F.col("_start.time"), F.col("_start.uuid")),
+        F.struct(F.lit("last fill").alias("moment"), F.lit(False).alias("_ahead_of"), F.col("_end.time"), F.col("_end.uuid")))))
+    hit = asof(probes, fills, machine, {"_fill": "_fill"}, forward="_ahead_of").where(F.col("_fill").isNotNull())
+    filled = hit.select(*keys, "moment", "_fill.time", "_fill.recipe")
+    return edge("_start", "start batch").unionByName(filled).unionByName(edge("_end", "end batch"))
 
 
 def batch_overview(general: DataFrame) -> DataFrame:
