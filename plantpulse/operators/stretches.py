@@ -42,7 +42,6 @@ def state_summary(df: DataFrame, keys: Sequence[str], state: str, order: TimeOrd
     return rows.groupBy(KEY, SLICE, *keys, state).agg(
         F.count_if(entered).alias("entries"), F.sum(micros("_next") - micros(order.time)).alias("micros"),
         F.max("_first").alias("first"), F.max("_last").alias("last"),
-        F.max(F.when(F.col("_opens"), F.col(order.time))).alias("opens"),
         F.max(F.when(F.col("_closes"), F.col(order.time))).alias("closes"))
 
 
@@ -57,14 +56,14 @@ def state_totals(
     """
     base = order or TimeOrder(keys=list(keys))
     order = TimeOrder(list(next_within if next_within is not None else keys), base.time, base.tie, base.slice_seconds, base.rows_per_slice)
-    columns = dict.fromkeys([*keys, *order.keys, order.time, *order.tie, state])
-    parts = state_summary(df.select(*columns), keys, state, order)
-    # Windows over summaries; a slice is a number, so a range of it is all earlier or later stretches.
+    rows = df.select(*dict.fromkeys([*keys, *order.keys, order.time, *order.tie, state]))
+    parts = state_summary(rows, keys, state, order)
+    # When the next stretch begins; one row for each stretch, found in the same exchange.
+    begins = _steps(rows, order).where("_opens").select(KEY, SLICE, F.lead(order.time).over(order.across()).alias("_follows"))
+    met = parts.join(begins.hint("merge"), [KEY, SLICE], "left")
+    # The state before this stretch. A slice is a number, so a range of it is all earlier stretches.
     runs = W.partitionBy(KEY, *keys).orderBy(SLICE).rangeBetween(W.unboundedPreceding, -1)
-    later = W.partitionBy(KEY).orderBy(SLICE).rangeBetween(1, W.unboundedFollowing)
-    met = parts.withColumns({
-        "_before": F.last(F.when(F.col("last"), F.struct(state)), True).over(runs),
-        "_follows": F.first("opens", True).over(later)})
+    met = met.withColumn("_before", F.last(F.when(F.col("last"), F.struct(state)), True).over(runs))
     entered = F.col("first") & ~F.coalesce(F.col("_before").isNotNull() & F.col("_before")[state].eqNullSafe(F.col(state)), F.lit(False))
     until = F.col("_follows") if as_of is None else F.coalesce("_follows", as_of)
     across = F.coalesce(micros(until) - micros("closes"), F.lit(0))
@@ -101,8 +100,9 @@ def stay_totals(
         time(~some).alias("through"), F.count_if("_leaves").alias("left"), F.max("_all_outs").alias("outs"),
         F.max(F.col("_opens") & F.col("_in")).alias("opens_in"), F.max(F.col("_closes") & F.col("_in")).alias("closes_in"),
         F.min(order.time).alias("opens"), F.max(order.time).alias("closes"))
-    across = W.partitionBy(KEY).orderBy(SLICE)
-    earlier, later = across.rowsBetween(W.unboundedPreceding, -1), across.rowsBetween(1, W.unboundedFollowing)
+    across = order.across()
+    # Frames that grow with the rows, in either direction: one that shrinks would be summed anew for every row.
+    earlier, later = (order.across(d).rowsBetween(W.unboundedPreceding, -1) for d in (False, True))
     met = parts.withColumns({
         "_out_before": F.coalesce(F.max("outs").over(earlier), F.lit(0)) > 0,
         "_out_after": F.coalesce(F.max("outs").over(later), F.lit(0)) > 0,
