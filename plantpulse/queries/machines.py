@@ -48,13 +48,17 @@ def _(p):
     return _carried(p, "mode_state")
 
 
+# A change is a row whose newest earlier row of the same run of the machine has another state; it ends with the earliest later change.
 _TIMELINE = """
-s AS (SELECT uuid, program_state, lead(uuid) OVER w AS next_uuid FROM g
-      WINDOW w AS (PARTITION BY line, serial, recipe, day_batch ORDER BY time, uuid)),
-c AS (SELECT g.* FROM g JOIN s ON s.next_uuid = g.uuid WHERE s.program_state <> g.program_state),
-e AS (SELECT *, lead(uuid) OVER (PARTITION BY line, serial, recipe, day_batch ORDER BY time, uuid) AS end_uuid FROM c),
-l AS (SELECT e.*, n.time AS end_time, ((epoch_us(n.time) - epoch_us(e.time)) / 1e6) AS duration_seconds
-      FROM e JOIN c n ON n.uuid = e.end_uuid)"""
+c AS (
+  SELECT r.* FROM g r JOIN g b ON (b.line, b.serial, b.recipe, b.day_batch) = (r.line, r.serial, r.recipe, r.day_batch)
+    AND (b.time, b.uuid) < (r.time, r.uuid)
+  QUALIFY row_number() OVER (PARTITION BY r.uuid ORDER BY b.time DESC, b.uuid DESC) = 1 AND b.program_state <> r.program_state),
+ended AS (
+  SELECT c.*, min(n.time) AS end_time FROM c JOIN c n
+    ON (n.line, n.serial, n.recipe, n.day_batch) = (c.line, c.serial, c.recipe, c.day_batch) AND (n.time, n.uuid) > (c.time, c.uuid)
+  GROUP BY ALL),
+l AS (SELECT *, (epoch_us(end_time) - epoch_us(time)) / 1e6 AS duration_seconds FROM ended)"""
 # A state that follows from the position, so that it changes inside a batch of one recipe.
 _MIXED_SQL = """
 WITH g AS (SELECT uuid, time, line, machine, serial, 'all' AS recipe, batch AS day_batch, mode_state, program_state
@@ -72,20 +76,18 @@ def _(p):
     return _rounded(plan.state_timeline(_mixed(p)), "duration_seconds")
 
 
+# The newest known state up to each row, by a join of rows with known rows.
 _FILLED_SQL = """
-WITH g0 AS (SELECT uuid, time, line, machine, serial, 'all' AS recipe, batch AS day_batch, mode_state,
-              count(program_state) OVER (PARTITION BY serial ORDER BY time, uuid) AS part, program_state AS raw
-            FROM general),
-g AS (SELECT * EXCLUDE (raw, part), first_value(raw) OVER (PARTITION BY serial, part ORDER BY time, uuid)
-        AS program_state FROM g0),"""
+WITH filled AS (
+  SELECT r.uuid, r.time, r.line, r.machine, r.serial, 'all' AS recipe, r.batch AS day_batch, r.mode_state, k.program_state
+  FROM general r LEFT JOIN general k ON k.serial = r.serial AND k.program_state IS NOT NULL AND (k.time, k.uuid) <= (r.time, r.uuid)
+  QUALIFY row_number() OVER (PARTITION BY r.uuid ORDER BY k.time DESC NULLS LAST, k.uuid DESC) = 1),
+g AS (SELECT * FROM filled WHERE mode_state IS NOT NULL OR program_state IS NOT NULL),"""
 
 
 @query("state_timeline_carried", f"""{_FILLED_SQL} {_TIMELINE}
 SELECT uuid, time, end_time, round(duration_seconds, 6) AS duration_seconds, line, machine, serial, recipe,
-  day_batch AS batch, mode_state, program_state FROM l
-WHERE true""".replace("g AS (SELECT * EXCLUDE", "g1 AS (SELECT * EXCLUDE").replace(
-    "program_state FROM g0),", "program_state FROM g0), g AS (SELECT * FROM g1 "
-    "WHERE mode_state IS NOT NULL OR program_state IS NOT NULL),"))
+  day_batch AS batch, mode_state, program_state FROM l""")
 def _(p):
     filled = staged(carry(_mixed(p), plan.BY_MACHINE, program_state="program_state"), "carried")
     return _rounded(plan.state_timeline(filled), "duration_seconds")
@@ -242,19 +244,23 @@ _FLAG_SQL = " UNION ALL ".join(
     f"SELECT machine, machine_index, batch, '{f}' AS flag, {f} AS state, start_time, end_time, seconds FROM s" for f in _FLAGS)
 
 
+# The list of batches lacks one that the status rows have, which takes the times of the first listed one after it.
 @query("flag_state_durations", f"""
-WITH p AS (SELECT batch, start_time, coalesce(lead(start_time) OVER (ORDER BY start_time),
-             (SELECT max(time) FROM general)) AS end_time
-           FROM (SELECT batch, min(time) AS start_time FROM general GROUP BY batch)),
+WITH o AS (SELECT batch, min(time) AS start_time FROM general WHERE batch <> '1' GROUP BY batch),
+p AS (SELECT batch, start_time, coalesce((SELECT min(o.start_time) FROM o WHERE o.start_time > q.start_time),
+             (SELECT max(time) FROM general)) AS end_time FROM o q),
+m AS (SELECT a.batch AS asked, arg_min(p.batch, CAST(p.batch AS BIGINT)) AS found
+      FROM (SELECT DISTINCT batch FROM status) a LEFT JOIN p ON CAST(p.batch AS BIGINT) >= CAST(a.batch AS BIGINT) GROUP BY a.batch),
 s AS (SELECT t.*, p.start_time, p.end_time,
         ((epoch_us(coalesce(lead(t.time) OVER (PARTITION BY t.machine, t.machine_index, t.batch ORDER BY t.time, t.uuid), p.end_time)) - epoch_us(t.time)) / 1e6) AS seconds
-      FROM status t JOIN p ON p.batch = t.batch)
+      FROM status t JOIN m ON m.asked = t.batch LEFT JOIN p ON p.batch = m.found)
 SELECT machine, machine_index, batch, flag, state, start_time, end_time, round(sum(seconds), 6) AS duration_seconds,
   round(((epoch_us(end_time) - epoch_us(start_time)) / 1e6), 6) AS batch_seconds
 FROM ({_FLAG_SQL}) GROUP BY machine, machine_index, batch, flag, state, start_time, end_time""")
 def _(p):
     g = p.general
-    durations = plan.flag_durations(p.status, plan.batch_periods(g), tables.newest(g), _FLAGS)
+    listed = plan.batch_periods(g.where(F.col("batch") != "1"))
+    durations = plan.flag_durations(p.status, listed, tables.newest(g), _FLAGS)
     return durations.withColumns({
         "duration_seconds": F.round("duration_seconds", 6), "batch_seconds": F.round("batch_seconds", 6)})
 
