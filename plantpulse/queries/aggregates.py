@@ -13,6 +13,7 @@ from plantpulse.plans import machines, metrics, weighing
 from plantpulse.plans.alarms import modal_interval
 from plantpulse.queries.registry import query
 from plantpulse.queries.weights import _CONSTANTS, rounded
+from plantpulse.sources import footers
 
 
 @query("agg_global", """
@@ -245,13 +246,19 @@ def _(p):
     return p.table("events").groupBy("event_type", bucket("ts", 3600).alias("hour")).agg(high.alias("high"))
 
 
-@query("agg_approx_rows", "SELECT count(*) AS exact, true AS within_a_tenth FROM lineitem")
+@query("agg_approx_rows", "SELECT count(*) AS exact, count(l_orderkey) > 0.9 * count(*) AS within_a_tenth FROM lineitem")
 def _(p):
-    # A sample of rows without columns: no column is read for either number.
-    lines, share = p.table("lineitem").select(), 0.25
-    exact = lines.agg(F.count("*")).scalar()
-    estimate = F.count("*") / F.lit(share)
-    return lines.sample(share, seed=7).agg(exact.alias("exact"), (F.abs(estimate / exact - 1) < 0.1).alias("within_a_tenth"))
+    # Both numbers stand in the footers; no row is read.
+    lines = footers.table(p.spark, f"{p.folder}/lineitem.parquet")
+    known = lines.agg(F.count(F.lit(1)).alias("exact"), F.count("l_orderkey").alias("keys"))
+    return known.select("exact", (F.col("keys") > 0.9 * F.col("exact")).alias("within_a_tenth"))
+
+
+@query("agg_footer_bounds", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, CAST(min({c}) AS DOUBLE) AS least, CAST(max({c}) AS DOUBLE) AS most FROM events"
+    for c in ("event_id", "user_id", "value")))
+def _(p):
+    return footers.bounds(p.spark, f"{p.folder}/events.parquet", ["event_id", "user_id", "value"])
 
 
 @query("agg_count_per_label", """

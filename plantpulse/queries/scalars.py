@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantpulse import sql
 from plantpulse.functions import text, time, values
 from plantpulse.queries.registry import query
 
@@ -184,3 +185,37 @@ def _(p):
     # The test data lies in winter, where the zone is one hour ahead of UTC.
     local = F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Europe/Brussels")
     return p.table("events").select("event_id", time.utc("ts").alias("utc"), local.cast("timestamp_ntz").alias("brussels"))
+
+
+_GRAMS = "CASE unit_code WHEN 0 THEN 1000.0 WHEN 1 THEN 1.0 WHEN 2 THEN 1000000.0 WHEN 3 THEN 453.59237 END::DOUBLE"
+
+
+@query("sql_scalar_functions", f"""
+SELECT uuid, epoch_us(time) / 1000.0::DOUBLE AS ms, date_trunc('second', time) AS at, {_GRAMS} AS grams,
+  CASE WHEN unit_code IN (1, 2) THEN 0 ELSE 1 END AS safe, CASE WHEN setpoint * 10 > 200 AND setpoint * 10 <= 300 THEN 9.0
+    WHEN setpoint * 10 > 100 AND setpoint * 10 <= 200 THEN setpoint * 10 * 0.045 END::DOUBLE AS tolerance
+FROM weights""")
+def _(p):
+    sql.register(p.spark)
+    p.weights.createOrReplaceTempView("weights_for_sql")
+    return p.spark.sql("""
+        SELECT uuid, utc2epoch(time) AS ms, epoch2utc(utc2epoch(time)) AS at, grams_per_unit(unit_code) AS grams,
+          check_string(concat(module_key, CASE unit_code WHEN 1 THEN ' -- ' WHEN 2 THEN '@' ELSE '' END)) AS safe, tolerance_grams(setpoint * 10) AS tolerance
+        FROM weights_for_sql""")
+
+
+@query("sql_table_functions", """
+SELECT serial, recipe, min(time) AS batch_start, max(time) AS batch_end, (max(total_cases) - min(total_cases) + 1)::DOUBLE AS boxes
+FROM general WHERE batch = '1' AND line IS NOT NULL AND serial IS NOT NULL AND recipe IS NOT NULL GROUP BY line, machine, serial, recipe""")
+def _(p):
+    sql.register_tables(p.general)
+    return p.spark.sql("SELECT * FROM production_of('1')")
+
+
+@query("sql_recipe_periods", """
+WITH r AS (SELECT recipe, time, uuid, row_number() OVER (ORDER BY time, uuid) - row_number() OVER (PARTITION BY recipe ORDER BY time, uuid) AS run
+           FROM general WHERE serial = '7')
+SELECT recipe, min(time) AS time_from, max(time) AS time_to FROM r GROUP BY recipe, run HAVING count(*) > 1""")
+def _(p):
+    sql.register_tables(p.general)
+    return p.spark.sql("SELECT * FROM recipe_periods_of('7')")

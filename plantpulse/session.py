@@ -14,6 +14,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a batch that holds many rows also where an aggregate by batch follows the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Counts and bounds from Parquet footers, for tables that sources.footers opens.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

@@ -157,24 +157,27 @@ def _open_rows(rows: DataFrame, made: list[str]) -> DataFrame:
 def late_repair(folder: str, state: str = "program_state") -> Callable[[DataFrame, int], None]:
     """Keep a table with carried states right when rows arrive late.
 
-    The days from the earliest new row on are computed again and replaced; each machine starts
-    with its last known state before these days. The table has one folder per day.
+    The days from the earliest new row on are replaced. Only machines with new rows are computed again, from their last
+    known state before these days on; rows of the others are taken over. The table has one folder per day.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new, rows_folder = stored(batch.select("uuid", "time", "serial", state), "late-rows")
         start = F.to_date(new.agg(F.min("time")).scalar())
-        rows = new
+        rows, others = new, None
         if number > 0:
             schema = new.withColumn("carried", F.lit(0.0)).withColumn("day", F.to_date("time")).schema
             kept_days = spark.read.schema(schema).parquet(folder)
             seeds = _seeds(kept_days.where(F.col("day") < start), state)
             # A batch that is run again finds its own rows stored.
-            kept = kept_days.where(F.col("day") >= start).select(*new.columns).join(new.select("uuid"), "uuid", "left_anti")
-            rows = new.unionByName(kept).unionByName(seeds)
-        filled = carry(rows, _BY_MACHINE, carried=state).withColumn("day", F.to_date("time"))
-        days, days_folder = stored(filled.where(F.col("day") >= start), "late-days")
+            again = new.select(F.col("serial").alias("_again")).distinct()
+            same = F.col("serial").eqNullSafe(F.col("_again"))
+            kept = kept_days.where(F.col("day") >= start).join(new.select("uuid"), "uuid", "left_anti")
+            others = kept.join(again, same, "left_anti")
+            rows = new.unionByName(kept.join(again, same, "left_semi").select(*new.columns)).unionByName(seeds.join(again, same, "left_semi"))
+        filled = carry(rows, _BY_MACHINE, carried=state).withColumn("day", F.to_date("time")).where(F.col("day") >= start)
+        days, days_folder = stored(filled if others is None else filled.unionByName(others), "late-days")
         write_by(days, folder, "day", replace=True)
         discard(spark, rows_folder, days_folder)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +74,54 @@ def refresh_window(
     discard(spark, made)
 
 
+def note_touched(rows: DataFrame, ledger: str, run: int) -> None:
+    """Note the hourly buckets that newly delivered rows fall into, under the number of the delivery.
+
+    A delivery that is repeated notes the same again.
+    """
+    touched = rows.where(F.col("time").isNotNull()).select(bucket("time", HOUR).alias("bucket")).distinct()
+    touched.write.mode("overwrite").parquet(f"{ledger}/run={run}")
+
+
+def _spans(days: Sequence[date]) -> list[tuple[date, date]]:
+    """Days put together into spans: first day, and the day after the last one."""
+    spans: list[tuple[date, date]] = []
+    for day in sorted(days):
+        if spans and spans[-1][1] == day:
+            spans[-1] = (spans[-1][0], day + timedelta(days=1))
+        else:
+            spans.append((day, day + timedelta(days=1)))
+    return spans
+
+
+def refresh_touched(weights: DataFrame, folder: str, ledger: str, keys: Sequence[str] = HOURLY_KEYS) -> list[date]:
+    """Compute the hourly buckets that the ledger names again, and empty the ledger; the days that were replaced.
+
+    Only the days of touched buckets are read, of the rows and of what is stored, and only their folders are
+    replaced. The ledger is emptied last, so a refresh that was broken off is done again by the next one.
+    """
+    spark = weights.sparkSession
+    # Runs that come while this one works stay for the next one.
+    noted = spark.read.schema("bucket timestamp_ntz, run int").parquet(ledger)
+    runs = [r["run"] for r in noted.select("run").distinct().collect()]
+    touched = noted.where(F.col("run").isin(runs)).select("bucket").distinct()
+    # One date for each day, whatever the number of rows.
+    days = [r["day"] for r in touched.select(F.to_date("bucket").alias("day")).distinct().collect()]
+    if not days:
+        return []
+    # As bounds on the stored time, which reach the scan.
+    inside = F.lit(False)
+    for first, after in _spans(days):
+        inside = inside | ((F.col("time") >= F.lit(first).cast("timestamp_ntz")) & (F.col("time") < F.lit(after).cast("timestamp_ntz")))
+    rows = weights.where(inside).withColumn("bucket", bucket("time", HOUR)).join(touched, "bucket", "left_semi").select(*weights.columns)
+    fresh = _by_day(rollup(rows, keys, HOUR))
+    kept = spark.read.schema(fresh.schema).parquet(folder).where(F.col("day").isin(days)).join(touched, "bucket", "left_anti")
+    whole, made = stored_rows(fresh.unionByName(kept), "refresh")
+    write_by(whole, folder, "day", replace=True)
+    discard(spark, made, *[f"{ledger}/run={run}" for run in runs])
+    return sorted(days)
+
+
 def realtime_union(
     stored: DataFrame, rows: DataFrame, cutoff: Column, aggregate: Callable[[DataFrame], DataFrame],
     time: str = "time",

@@ -82,3 +82,61 @@ def test_last_state_over_batches(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("run=*"))) == 1
     assert sorted(map(tuple, jobs.latest_updates(spark, out, "serial").collect())) == before
     assert sorted(values(jobs.latest_updates(spark, out, "serial"), "serial", "program_state")) == [("m", 1.0), ("n", 2.0)]
+
+
+def weighings(spark, days, first=0):
+    from .fixtures import at
+
+    rows = [(first + i, at(day * 86_400 + hour * 3_600 + i), "L", "m", "m", "G", "W", "J", "b", 10.0 + i % 7, 20.0, 5.0, 5.0, 1.0, 1, 10, 1, "K", 1, "C", "D")
+            for i, (day, hour) in enumerate((d, h) for d in days for h in (0, 5, 5, 23))]
+    names = ("uuid long, time timestamp_ntz, line string, machine string, serial string, logger string, unit_id string, recipe string, "
+             "batch string, net double, setpoint double, max_over double, max_under double, tare double, unit_code int, result_code int, "
+             "module_index int, module_key string, struct_version int, custom_1 string, custom_2 string")
+    return spark.createDataFrame(rows, names)
+
+
+def test_only_touched_days_are_refreshed(spark, tmp_path):
+    from pathlib import Path
+
+    from plantpulse.plans.weighing import HOUR, HOURLY_KEYS, rollup
+    from plantpulse.streaming.rollups import note_touched, refresh_touched, stored_rollup
+
+    on_time, late = weighings(spark, range(30)), weighings(spark, [4, 17], first=10_000)
+    folder, ledger = str(tmp_path / "rollup"), str(tmp_path / "ledger")
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in Path(folder).rglob("*.parquet")}
+    stored_rollup(on_time, folder)
+    before = files()
+    for _ in range(2):  # a delivery that is repeated changes nothing
+        note_touched(late, ledger, 0)
+    days = refresh_touched(on_time.unionByName(late), folder, ledger)
+    after = files()
+    changed = {f.split("day=")[1][:10] for f in before if after.get(f) != before[f]}
+    assert changed == {str(d) for d in days} and len(changed) == 2
+    expected = rollup(on_time.unionByName(late), HOURLY_KEYS, HOUR)
+    got = spark.read.parquet(folder).select(*expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    Path(ledger).mkdir(exist_ok=True)
+    assert refresh_touched(on_time, folder, ledger) == [] and files() == after
+
+
+def test_a_refresh_that_broke_off_is_done_again(spark, tmp_path, monkeypatch):
+    from plantpulse.plans.weighing import HOUR, HOURLY_KEYS, rollup
+    from plantpulse.streaming import rollups
+
+    on_time, late = weighings(spark, range(3)), weighings(spark, [1], first=10_000)
+    folder, ledger = str(tmp_path / "rollup"), str(tmp_path / "ledger")
+    rollups.stored_rollup(on_time, folder)
+    rollups.note_touched(late, ledger, 7)
+
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(rollups, "write_by", broken)
+        try:
+            rollups.refresh_touched(on_time.unionByName(late), folder, ledger)
+        except RuntimeError:
+            pass
+    assert len(rollups.refresh_touched(on_time.unionByName(late), folder, ledger)) == 1
+    expected = rollup(on_time.unionByName(late), HOURLY_KEYS, HOUR)
+    assert sorted(map(str, spark.read.parquet(folder).select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
