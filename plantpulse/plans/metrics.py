@@ -12,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantpulse.functions.values import ratio
 from plantpulse.operators.joins import interval_join
+from plantpulse.operators.ranges import Partials, range_totals
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count, "stddev": F.stddev_samp}
 
@@ -28,11 +30,31 @@ class MetricSpec:
     def label(self) -> str:
         return f"{self.aggregate}_{self.column}"
 
+    def source(self) -> Column:
+        return F.when(F.expr(self.condition), F.col(self.column)) if self.condition else F.col(self.column)
+
     def value(self) -> Column:
-        source = F.col(self.column)
-        if self.condition:
-            source = F.when(F.expr(self.condition), source)
-        return _AGGREGATES[self.aggregate](source).cast("double")
+        return _AGGREGATES[self.aggregate](self.source()).cast("double")
+
+    def partials(self, name: str) -> Partials:
+        """Partial aggregates the value can be merged from."""
+        source, add = self.source(), lambda n: F.sum(n)
+        if self.aggregate in ("min", "max"):
+            least = _AGGREGATES[self.aggregate]
+            return {name: (least(source), least)}
+        parts: Partials = {f"{name}_n": (F.count(source), add)}
+        if self.aggregate in ("sum", "avg"):
+            parts[f"{name}_s"] = (F.sum(source), add)
+        return parts
+
+    def merged(self, name: str) -> Column:
+        if self.aggregate in ("min", "max"):
+            value = F.col(name)
+        elif self.aggregate == "avg":
+            value = ratio(F.col(f"{name}_s"), F.col(f"{name}_n"))
+        else:
+            value = F.col(f"{name}_n" if self.aggregate == "count" else f"{name}_s")
+        return value.cast("double")
 
 
 def parse(text: str) -> MetricSpec:
@@ -68,7 +90,10 @@ def metric_list(df: DataFrame, specs: Sequence[MetricSpec], start: Column, end:
 
 def metric_arrays(df: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str]) -> DataFrame:
     """Per key an array of metric names and an array of their values."""
-    sums = df.groupBy(*keys).agg(*_named(specs))
+    return _as_arrays(df.groupBy(*keys).agg(*_named(specs)), specs, keys)
+
+
+def _as_arrays(sums: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(s.label) for s in specs])
     values = F.array(*[F.col(f"_m{i}") for i in range(len(specs))])
     return sums.select(*keys, names.alias("names"), values.alias("values"))
@@ -85,7 +110,10 @@ def metric_columns(df: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[st
 
     A column without a metric is 0, a NULL metric stays NULL.
     """
-    sums = df.groupBy(*keys).agg(*_named(specs))
+    return _as_columns(df.groupBy(*keys).agg(*_named(specs)), specs, keys, columns)
+
+
+def _as_columns(sums: DataFrame, specs: Sequence[MetricSpec], keys: Sequence[str], columns: int) -> DataFrame:
     wide = [
         (F.col(f"_m{i}") if i < len(specs) else F.lit(0.0)).alias(f"d{i + 1}") for i in range(max(columns, len(specs)))]
     return sums.select(*keys, *wide)
@@ -98,13 +126,31 @@ def in_periods(df: DataFrame, periods: DataFrame, on: Sequence[str] = ("serial",
 
 
 PERIOD_KEYS = ["serial", "period_recipe", "time_from", "time_to"]
+#: Aggregates that partial ones merge into.
+_MERGEABLE = {"sum", "avg", "min", "max", "count"}
+
+
+def period_sums(df: DataFrame, periods: DataFrame, specs: Sequence[MetricSpec], on: Sequence[str] = ("serial",)) -> DataFrame:
+    """The metrics of each recipe period, as columns ``_m0``, ``_m1`` and so on.
+
+    Metrics that merge come from sums by hour and day, and rows are met only in the broken hours at a period's
+    ends. With a standard deviation among the metrics all of them are taken from the rows inside.
+    """
+    if not {s.aggregate for s in specs} <= _MERGEABLE:
+        return in_periods(df, periods, on).groupBy(*PERIOD_KEYS).agg(*_named(specs))
+    bounds = periods.select(*on, F.col("recipe").alias("period_recipe"), "time_from", "time_to")
+    partials: Partials = {}
+    for i, spec in enumerate(specs):
+        partials |= spec.partials(f"_p{i}")
+    totals = range_totals(df, bounds, list(on), "time_from", "time_to", partials)
+    return totals.select(*PERIOD_KEYS, *[s.merged(f"_p{i}").alias(f"_m{i}") for i, s in enumerate(specs)])
 
 
 def metric_per_period(df: DataFrame, periods: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     """Arrays of metric names and values for each recipe period."""
-    return metric_arrays(in_periods(df, periods), specs, PERIOD_KEYS)
+    return _as_arrays(period_sums(df, periods, specs), specs, PERIOD_KEYS)
 
 
 def metric_per_period_wide(df: DataFrame, periods: DataFrame, specs: Sequence[MetricSpec], columns: int = 0) -> DataFrame:
     """Metrics as columns for each recipe period."""
-    return metric_columns(in_periods(df, periods), specs, PERIOD_KEYS, columns)
+    return _as_columns(period_sums(df, periods, specs), specs, PERIOD_KEYS, columns)
