@@ -130,7 +130,7 @@ def nth_row(df: DataFrame, keys: Sequence[str], n: int, columns: Sequence[str])
     """
     order = TimeOrder(keys=list(keys))
     wanted = list(dict.fromkeys([*keys, "time", "uuid", *columns]))
-    heads = order.prepared(df.select(*wanted)).withColumn("_n", F.row_number().over(order.within()))
+    heads = order.dealt(df.select(*wanted)).withColumn("_n", F.row_number().over(order.within()))
     heads = heads.where(F.col("_n") <= n).drop("_n")
     overall = F.row_number().over(W.partitionBy(*keys).orderBy(*order.sort()))
     # Spark stops a rank filter after n rows per key, before the shuffle.
