@@ -1,14 +1,18 @@
 """Language-model scores by a class bigram model with exchange clustering.
 
-Every word belongs to an item: one of the most frequent words, or the group of all other words with the same
-ending. Exchange clustering puts the items into classes: it moves one item at a time to the class
-that gives the classes' bigrams the highest likelihood, until nothing moves. A word's probability after
-another is the transition of their classes times the word's share of its class; transitions are
-mixed with the classes' own shares, and each class keeps half a count for a word it has not seen.
-
-All training documents are counted: words, then bigrams of items, of which there are a fixed number. A text's score
-needs the count of each of its words. The most frequent ones (a bounded list) are sent to the scan; all other words
-are joined with the table of counts. As a word outside the list is in few documents, no key of that join is large,
+Every word seen ``least_count`` times or more is an item of its own; rarer words, and words never seen, are grouped by
+their ending. Exchange clustering puts the items into classes. A first exchange on the driver places a fixed number of
+items, one by one: the most frequent words, and the endings. Its classes are where all items start. From there the
+exchange goes on over all items in Spark: the word pairs of the corpus, with the classes joined by word, give each item its
+counts beside every class, and each item moves to the class that gives the class pairs the highest likelihood. The items of
+a pass move at once, so it counts only if the likelihood has risen. The first pass moves all items, the next ones a quarter
+each, by a hash, and a smaller share where the likelihood fell. Passes end when a round over all items would add less, at
+the rate of the last pass, than ``least_gain`` for each token. A word's probability after another is the transition of their classes times the word's share of its class;
+transitions are mixed with the classes' own shares, and each class keeps half a count for a word it has not seen.
+
+All training documents are counted: words, and pairs of words. A text's score needs the count and the class of each of its
+words. The most frequent ones (a bounded list) are sent to the scan; all other words, and pairs of two such words, are
+joined with the table of counts and classes. As a word outside the list is in few documents, no key of that join is large,
 however often a document is copied.
 
 Cases: a NULL or empty text is the end token alone; a NULL id counts as empty text for the folds;
@@ -24,12 +28,13 @@ from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantpulse.llm.common import Recent, fold, written
+from plantpulse.llm.common import Recent, discard, fold, written
 
 END = b""  # no word is empty
 #: Words that a Python worker counts before it hands them on, and that it remembers the items of; bounds its memory only.
@@ -38,6 +43,10 @@ REMEMBERED = 300_000
 FREQUENT = 50_000
 #: Texts handled at a time.
 _AT_ONCE = 500
+#: Tokens whose pairs a Python worker counts before it hands them on; bounds its memory only.
+_TOKENS = 2_000_000
+#: The smallest share of the items that moves at once is one in so many.
+_SHARES = 16
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -181,116 +190,354 @@ def exchange(bigrams: np.ndarray, classes: int, passes: int | None = None) -> np
     return label
 
 
+def key_of_group(group: int) -> bytes:
+    """The item that stands for all rare words of an ending; no word has a tab."""
+    return b"\t%d" % group
+
+
+def vocabulary(counts: DataFrame, items: Items, least_count: int) -> DataFrame:
+    """``word, n, item``: the item is the word itself, or its ending's if it was seen less than ``least_count`` times."""
+    sent = counts.sparkSession.sparkContext.broadcast(items)
+
+    @F.pandas_udf("binary")
+    def ending(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: key_of_group(sent.value.group(bytes(w))))
+
+    often = (F.col("n") >= least_count) | (F.col("word") == F.lit(END))
+    return counts.where(often).withColumn("item", F.col("word")).unionByName(
+        counts.where(~often).withColumn("item", ending("word")))
+
+
+def word_pairs(training: DataFrame) -> DataFrame:
+    """``first, second, n``: words next to each other, counted within parts; the end token also begins a text."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[bytes, int] = {END: 0}
+        line = [0]
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                line.extend([number.setdefault(w, len(number)) for w in tokens(text)])
+                if len(line) > _TOKENS or len(number) > REMEMBERED:
+                    yield from _rows(number, line)
+                    number, line = {END: 0}, [0]
+        yield from _rows(number, line)
+
+    def _rows(number: dict[bytes, int], line: list[int]) -> Iterator[pa.RecordBatch]:
+        codes, words = np.array(line, dtype=np.int64), pa.array(list(number), pa.binary())
+        pairs, times = np.unique((codes[:-1] << 32) | codes[1:], return_counts=True)
+        for at in range(0, len(pairs), 50_000):
+            own = pairs[at:at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(own >> 32)), words.take(pa.array(own & 0xFFFFFFFF)), pa.array(times[at:at + 50_000], pa.int64())],
+                names=["first", "second", "n"])
+
+    return training.select("text").mapInArrow(counted, "first binary, second binary, n long")
+
+
+def item_pairs(training: DataFrame, words: DataFrame) -> DataFrame:
+    """``first, second, n`` over items: the words' pairs with each word replaced by its item."""
+    out = word_pairs(training)
+    for side in ("first", "second"):
+        names = words.select(F.col("word").alias(side), F.col("item").alias(f"{side}_item"))
+        out = out.join(names, side).drop(side).withColumnRenamed(f"{side}_item", side)
+    return out.groupBy("first", "second").agg(F.sum("n").alias("n"))
+
+
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def worth(pairs: np.ndarray) -> float:
+    """The part of the log likelihood that depends on the classes, from the counts of class pairs."""
+    return float(_f(pairs).sum() - _f(pairs.sum(axis=0)).sum() - _f(pairs.sum(axis=1)).sum())
+
+
+def gains(pairs: np.ndarray, here: np.ndarray, right: np.ndarray, left: np.ndarray, self_: np.ndarray) -> np.ndarray:
+    """What each item adds to :func:`worth` in each class, all other items staying where they are.
+
+    Rows are items: their class, how often each class follows and precedes them (themselves not counted), and how often
+    they follow themselves. Only the classes beside an item are looked at. The last class is the end token's alone.
+    """
+    rows, size = np.arange(len(here)), len(pairs)
+    total = np.zeros((len(here), size))
+
+    def beside(table: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
+        """Adds the growth of the class pairs on one side; ``table[c, j]`` counts class c beside class j."""
+        k, j = np.nonzero(near)
+        if not len(k):
+            return
+        base = table[:, j].T.copy()
+        base[np.arange(len(k)), here[k]] -= near[k, j]
+        own = np.flatnonzero(j == here[k])
+        base[own] -= far[k[own]]
+        base[own, here[k[own]]] -= self_[k[own]]
+        grown = _f(base + near[k, j][:, None]) - _f(base)
+        starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        total[k[starts]] += np.add.reduceat(grown, starts, axis=0)
+
+    beside(pairs, right, left)
+    beside(pairs.T, left, right)
+    own = np.tile(np.diag(pairs).astype(float), (len(here), 1))
+    own[rows, here] -= right[rows, here] + left[rows, here] + self_
+    total += _f(own + right + left + self_[:, None]) - _f(own + right) - _f(own + left) + _f(own)
+    for sums, times in ((pairs.sum(axis=1), right.sum(axis=1) + self_), (pairs.sum(axis=0), left.sum(axis=1) + self_)):
+        without = np.tile(sums.astype(float), (len(here), 1))
+        without[rows, here] -= times
+        total -= _f(without + times[:, None]) - _f(without)
+    total[:, -1] = -np.inf
+    return total
+
+
+def _classed(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs with the classes of both items. Spark sends the classes to all tasks only where they are small."""
+    first = labels.select(F.col("item").alias("first"), F.col("class").alias("first_class"))
+    second = labels.select(F.col("item").alias("second"), F.col("class").alias("second_class"))
+    return pairs.join(first, "first").join(second, "second")
+
+
+def class_pairs(pairs: DataFrame, labels: DataFrame, classes: int) -> np.ndarray:
+    """Counts of class pairs: at most the square of the number of classes, whatever the input."""
+    out = np.zeros((classes, classes))
+    for r in _classed(pairs, labels).groupBy("first_class", "second_class").agg(F.sum("n").alias("n")).collect():
+        out[r["first_class"], r["second_class"]] = r["n"]
+    return out
+
+
+def moved(pairs: DataFrame, labels: DataFrame, now: np.ndarray, turn: int = 0, shares: int = 1) -> DataFrame:
+    """``item, class`` after one pass: every item in the class where it adds most, given the class pairs ``now``.
+
+    One of ``shares`` equal shares of the items moves, another one each ``turn``.
+    """
+    classes = len(now)
+    least = 1e-6 + 1e-14 * abs(float(_f(now).sum()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _AT_ONCE):
+                batch = whole.slice(at, _AT_ONCE)
+                here, lists = batch.column(1).to_numpy().astype(np.int64), batch.column(2)
+                row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+                entries = lists.flatten()
+                table = np.zeros((batch.num_rows, 2 * classes + 1))
+                table[row, entries.field("slot").to_numpy()] = entries.field("n").to_numpy()
+                right, left, self_ = table[:, :classes], table[:, classes:-1], table[:, -1]
+                rows = np.arange(batch.num_rows)
+                right[rows, here] -= self_
+                left[rows, here] -= self_
+                gain = gains(now, here, right, left, self_)
+                to = gain.argmax(axis=1)
+                stays = (gain[rows, to] <= gain[rows, here] + least) | (here == classes - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(np.where(stays, here, to), pa.int32())], names=["item", "class"])
+
+    def entry(item: str, own: str, slot: Column) -> Column:
+        return F.struct(F.col(item).alias("item"), F.col(own).alias("here"), slot.cast("int").alias("slot"), "n")
+
+    both = F.array(entry("first", "first_class", F.col("second_class")), entry("second", "second_class", F.col("first_class") + classes))
+    itself = F.array(entry("first", "first_class", F.lit(2 * classes)))
+    moves = F.pmod(F.xxhash64("item", F.lit(turn // shares)) + turn, F.lit(shares)) == 0
+    beside = _classed(pairs, labels).select(
+        F.inline(F.when(F.col("first") == F.col("second"), F.concat(both, itself)).otherwise(both))).where(moves)
+    # An item has at most two entries for each class, and one for itself.
+    packed = (beside.groupBy("item", "here", "slot").agg(F.sum("n").alias("n"))
+              .groupBy("item", "here").agg(F.collect_list(F.struct("slot", "n")).alias("beside")))
+    return packed.mapInArrow(places, "item binary, class int").unionByName(labels.where(~moves))
+
+
+def clustered(
+    pairs: DataFrame, labels: DataFrame, classes: int, least_gain: float, folder: str | None = None
+) -> tuple[DataFrame, str | None, np.ndarray]:
+    """Passes over the items until one adds less than ``least_gain`` for each token: classes, their folder, class pairs."""
+    spark = pairs.sparkSession
+    now = class_pairs(pairs, labels, classes)
+    turn, shares = 0, 1
+    while now.any():
+        after, at = written(moved(pairs, labels, now, turn, shares), "word-classes")
+        then = class_pairs(pairs, after, classes)
+        gain = worth(then) - worth(now)
+        old = at
+        if gain > 0:
+            old, folder, labels, now = folder, at, after, then
+        if old is not None:
+            discard(spark, old)
+        if gain * shares < least_gain * now.sum() and (gain > 0 or shares == _SHARES):
+            break
+        turn += 1
+        if shares == 1 or gain <= 0:
+            turn, shares = 0, shares * 4
+    return labels, folder, now
+
+
 @dataclass(frozen=True)
 class Model:
-    """What the scan needs: items, their classes, and for each pair of classes the log10 of the transition less that of
-    the second class's size. ``numerator`` has log10(n + 0.5) of the frequent words."""
+    """What the scan needs: the first items, the classes of the frequent words and of the endings, and for each pair of
+    classes the log10 of the transition less that of the second class's size. ``numerator`` has log10(n + 0.5) of the
+    frequent words. All of it has a fixed size."""
 
     items: Items
-    label: np.ndarray
+    ending_class: np.ndarray
     step: np.ndarray
     frequent: dict[bytes, int]
+    frequent_class: np.ndarray
     numerator: np.ndarray
     train_tokens: int
     types: int
 
 
 def trained(
-    docs: DataFrame, classes: int = 64, words: int = 384, groups: int = 384, mixing: float = 200.0
+    docs: DataFrame, classes: int = 64, words: int = 384, groups: int = 384, mixing: float = 200.0,
+    least_count: int = 5, least_gain: float = 0.02,
 ) -> tuple[Model, DataFrame]:
-    """The model learnt from the training folds of ``docs``, and the written table of word counts."""
+    """The model learnt from the training folds of ``docs``, and the written table of words: ``word, n, class``.
+
+    ``words`` and ``groups`` are the items of the first exchange; every word seen ``least_count`` times takes part in the
+    passes after it. ``least_gain`` is in natural logarithms for each token (0.02: two per cent of the perplexity).
+    """
+    spark = docs.sparkSession
     training = docs.where(fold() != 1)
-    counts, _ = written(word_counts(training), "word-counts")
+    counts, counts_at = written(word_counts(training), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # The least count that at most ``FREQUENT`` words reach, from the number of words of each count.
     words_of = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
     reach = F.sum("words").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0))
     least = words_of.select("n", reach.alias("reach")).where(F.col("reach") <= FREQUENT).agg(F.min("n")).first()[0]
-    top = counts.where(F.col("n") >= F.lit(least if least is not None else 2**62)).toPandas()
+    least = least if least is not None else 2**62
+    top = counts.where(F.col("n") >= F.lit(least)).toPandas()
     top = top.assign(word=[bytes(w) for w in top["word"]]).sort_values(["n", "word"], ascending=[False, True])
-    names = list(top["word"])
-    frequent = {w: i for i, w in enumerate(names)}
-    often = top["n"].to_numpy(dtype=np.int64)
-    items = Items({w: i for i, w in enumerate([w for w in names if w != END][:words])}, groups)
-    bigrams = item_bigrams(training, items)
-    label = exchange(bigrams, classes)
-    # Types of each class: of the words of their own, and of each group.
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+    items = Items({w: i for i, w in enumerate([w for w in top["word"] if w != END][:words])}, groups)
+    first = exchange(item_bigrams(training, items), classes)
+    size = int(first.max()) + 1
+
+    sent = spark.sparkContext.broadcast((items, first))
 
     @F.pandas_udf("int")
-    def item(ws):
-        return ws.map(lambda w: sent.value.of(bytes(w))).astype("int32")
-
-    types = np.zeros(len(items), dtype=np.int64)
-    for row in counts.groupBy(item("word").alias("item")).agg(F.count(F.lit(1)).alias("types")).toLocalIterator():
-        types[row["item"]] = row["types"]
-    one = np.eye(label.max() + 1)[label]
-    pairs, sizes = one.T @ bigrams @ one, one.T @ bigrams.sum(axis=0)
-    # Only a class that holds a group can meet a word it has not seen; it keeps one place for it.
-    open_ = one.T @ (np.arange(len(items)) >= len(items.own)) > 0
-    open_[-1] = False
-    share = (sizes + 1.0) / (sizes.sum() + len(sizes))
-    move = (pairs + mixing * share) / (pairs.sum(axis=1, keepdims=True) + mixing)
-    step = np.log10(move) - np.log10(sizes + 0.5 * (one.T @ types + open_) + 1e-300)
-    return Model(items, label, step, frequent, np.log10(often + 0.5), int(total[0]), int(total[1])), counts
-
-
-def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
+    def start(keys: pd.Series) -> pd.Series:
+        known, label = sent.value
+        return keys.map(bytes).map(
+            lambda k: label[len(known.own) + int(k[1:]) if k[:1] == b"\t" else known.of(k)]).astype("int32")
+
+    every, every_at = written(vocabulary(counts, items, least_count), "word-items")
+    pairs, pairs_at = written(item_pairs(training, every), "word-pairs")
+    begin, begin_at = written(every.select("item").distinct().withColumn("class", start("item")), "word-classes")
+    labels, labels_at, between = clustered(pairs, begin, size, least_gain, begin_at)
+    known, _ = written(every.join(labels, "item").select("word", "n", "class"), "word-table")
+
+    label = first[len(items.own):-1].copy()
+    for row in labels.where(F.substring("item", 1, 1) == F.lit(b"\t")).toLocalIterator():  # one for each ending
+        label[int(bytes(row["item"])[1:])] = row["class"]
+    types = np.zeros(size)
+    for row in known.groupBy("class").agg(F.count(F.lit(1)).alias("types")).collect():
+        types[row["class"]] = row["types"]
+    top = known.where(F.col("n") >= F.lit(least)).toPandas()
+    for folder in (counts_at, every_at, pairs_at, labels_at):
+        discard(spark, folder)
+
+    sizes = between.sum(axis=0)
+    # Only a class that holds an ending can meet a word it has not seen; it keeps one place for it.
+    open_ = np.isin(np.arange(size), label)
+    share = (sizes + 1.0) / (sizes.sum() + size)
+    move = (between + mixing * share) / (between.sum(axis=1, keepdims=True) + mixing)
+    step = np.log10(move) - np.log10(sizes + 0.5 * (types + open_) + 1e-300)
+    frequent = {bytes(w): i for i, w in enumerate(top["word"])}
+    return Model(
+        items, label, step, frequent, top["class"].to_numpy(dtype=np.int64),
+        np.log10(top["n"].to_numpy(dtype=np.int64) + 0.5), int(total[0]), int(total[1])), known
+
+
+def scored(docs: DataFrame, model: Model, known: DataFrame) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
+
+    The scan writes what it can't answer: words outside the frequent ones with the classes around them, and pairs of two
+    such words. These are joined by word, the pairs once for each of their words.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    size = len(model.step)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = sent.value
-        place = len(m.frequent)
-        # The frequent words by their place, the others by their class after them.
-        label = np.concatenate([[m.label[m.items.of(w)] for w in m.frequent], np.arange(len(m.step))]).astype(np.int64)
-        numerator = np.concatenate([m.numerator, np.zeros(len(m.step))])
-        code = Recent(lambda w: m.frequent[w] if w in m.frequent else place + int(m.label[m.items.of(w)]), REMEMBERED)
-        start = m.label[-1]
+        place, end = len(m.frequent), size - 1
+        # The frequent words by their place, the others by their ending's class after them.
+        label = np.concatenate([m.frequent_class, np.arange(size)]).astype(np.int64)
+        numerator = np.concatenate([m.numerator, np.zeros(size)])
+
+        def coded(word: bytes) -> int:
+            at = m.frequent.get(word)
+            if at is None:
+                at = place + (end if word == END else int(m.ending_class[m.items.group(word)]))
+            return at
+
+        code = Recent(coded, REMEMBERED)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 ids = batch.column(0).slice(at, 200)
-                rows, words, times = [], [], []
-                own = []
+                own, rows = [], []
                 for text in batch.column(1).slice(at, 200).to_pylist():
                     number += 1
                     line = tokens(text)
                     codes = np.fromiter(map(code.__getitem__, line), dtype=np.int64, count=len(line))
-                    classes = label[codes]
+                    kinds = label[codes]
                     rare = codes >= place
-                    own.append((
-                        number, len(line), len(line) - int(rare.sum()), float(numerator[codes].sum()),
-                        float(m.step[np.concatenate([[start], classes[:-1]]), classes].sum())))
+                    before, unsure = np.concatenate([[end], kinds[:-1]]), np.concatenate([[False], rare[:-1]])
+                    sure = ~rare & ~unsure
+                    own.append((number, len(line), len(line) - int(rare.sum()), float(numerator[codes].sum()),
+                                float(m.step[before[sure], kinds[sure]].sum())))
                     if rare.any():
-                        found = Counter(line[i] for i in np.flatnonzero(rare).tolist())
-                        rows += [number] * len(found)
-                        words += found
-                        times += found.values()
+                        # Class before and class after, or -1 where that word is to be looked up too (or there is none).
+                        lefts = np.where(unsure, -1, before)
+                        rights = np.concatenate([np.where(rare[1:], -1, kinds[1:]), [-1]])
+                        places = np.flatnonzero(rare).tolist()
+                        found = Counter((line[i], None, int(kinds[i]), None, int(lefts[i]), int(rights[i])) for i in places)
+                        found.update(
+                            (line[i - 1], line[i], int(kinds[i - 1]), int(kinds[i]), -1, -1)
+                            for i in np.flatnonzero(rare & unsure).tolist())
+                        rows += [(number, times, *what) for what, times in found.items()]
                 # The row of a text itself has a word that there is not (with a tab), another one for each text.
                 n, extra = len(own), len(rows)
-                columns = list(zip(*own))
+                columns, asked = list(zip(*own)), list(zip(*rows)) or [[]] * 8
+                none = [None] * n
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([*columns[0], *rows], pa.int64()),
-                    pa.array([*[b"\t%d" % x for x in columns[0]], *words], pa.binary()),
-                    pa.array([*[None] * n, *times], pa.int64()),
+                    pa.array([*columns[0], *asked[0]], pa.int64()),
+                    pa.array([*none, *asked[1]], pa.int64()),
+                    pa.array([*[b"\t%d" % x for x in columns[0]], *asked[2]], pa.binary()),
+                    pa.array([*none, *asked[3]], pa.binary()),
+                    *[pa.array([*none, *asked[i]], pa.int32()) for i in range(4, 8)],
                     pa.concat_arrays([ids, pa.nulls(extra, pa.int64())]),
                     *[pa.array([*columns[i], *[None] * extra], kind) for i, kind in (
                         (1, pa.int64()), (2, pa.int64()), (3, pa.float64()), (4, pa.float64()))],
-                ], names=["row", "word", "times", "doc_id", "n_tokens", "known", "found", "steps"])
-
-    parts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        first, "row long, word binary, times long, doc_id long, n_tokens long, known long, found double, steps double")
-    looked = parts.join(counts, "word", "left")
-    by_row = looked.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("known", F.when(F.col("n").isNotNull(), F.col("times")), F.lit(0))).alias("n_known"),
-        F.sum(F.coalesce("found", F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5))).alias("numerators"),
-        F.max("steps").alias("steps"))
-    size = F.lit(float(model.train_tokens) + 0.5 * (model.types + 1))
+                ], names=["row", "times", "word", "next", "kind", "next_kind", "left", "right", "doc_id", "n_tokens", "known",
+                          "found", "steps"])
+
+    asked, _ = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        first, "row long, times long, word binary, next binary, kind int, next_kind int, left int, right int, doc_id long, "
+               "n_tokens long, known long, found double, steps double"), "word-requests")
+    table = F.expr("cast(split('" + ",".join(map(repr, model.step.ravel().tolist())) + "', ',') AS array<double>)")
+
+    def step(before: Column, after: Column) -> Column:
+        return F.get(table, before * size + after)
+
+    single = asked.where(F.col("next").isNull()).join(known, "word", "left")
+    own = F.coalesce("class", "kind")
+    beside = F.when(F.col("left") >= 0, step(F.col("left"), own)).otherwise(0.0) + F.when(
+        F.col("right") >= 0, step(own, F.col("right"))).otherwise(0.0)
+    single = single.select(
+        "row", "doc_id", "n_tokens",
+        F.coalesce("known", F.when(F.col("n").isNotNull(), F.col("times")), F.lit(0)).alias("known"),
+        F.coalesce("found", F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("found"),
+        F.coalesce("steps", F.col("times") * beside).alias("steps"))
+    classes = known.select("word", "class")
+    after = known.select(F.col("word").alias("next"), F.col("class").alias("next_class"))
+    double = asked.where(F.col("next").isNotNull()).select("row", "times", "word", "next", "kind", "next_kind")
+    double = double.join(classes, "word", "left").join(after, "next", "left").select(
+        "row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("known"),
+        F.lit(0.0).alias("found"), (F.col("times") * step(own, F.coalesce("next_class", "next_kind"))).alias("steps"))
+    by_row = single.unionByName(double).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
+        F.sum("found").alias("numerators"), F.sum("steps").alias("steps"))
+    below = F.lit(float(model.train_tokens) + 0.5 * (model.types + 1))
     return by_row.select(
         "doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("numerators") - F.col("n_tokens") * F.log10(size)).alias("base_score"),
+        (F.col("numerators") - F.col("n_tokens") * F.log10(below)).alias("base_score"),
         (F.col("numerators") + F.col("steps")).alias("score"))
 
 

@@ -5,7 +5,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plantpulse.llm.class_lm import Items, exchange, item_bigrams, perplexity, scored, tokens, trained
+from plantpulse.llm.class_lm import (
+    Items, class_pairs, clustered, exchange, gains, item_bigrams, item_pairs, key_of_group, perplexity, scored, tokens, trained,
+    vocabulary, word_counts, word_pairs, worth)
 from plantpulse.llm.queries import queries
 
 from .helpers import AWKWARD, FOLDER, clashing, nothing, table
@@ -39,16 +41,28 @@ def test_better_than_the_base(result):
     assert all(r.model < 0.8 * r.base for r in got.values())
 
 
-def test_score_equals_plain_version_and_is_a_distribution(spark):
+@pytest.mark.parametrize("frequent", [50_000, 40, 0])
+def test_score_equals_plain_version_and_is_a_distribution(spark, monkeypatch, frequent):
+    """Also where most words, or all of them, have to be looked up by the join."""
+    monkeypatch.setattr("plantpulse.llm.class_lm.FREQUENT", frequent)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60).cache()
-    model, _ = trained(docs, classes=8, words=30, groups=20)
+    model, known = trained(docs, classes=8, words=30, groups=20, least_count=3)
     rows = {r.doc_id: (r.text, fold(r.doc_id) != 1) for r in docs.collect()}
     counts = Counter(w for t, train in rows.values() if train for w in tokens(t))
-    label = {w: int(model.label[model.items.of(w)]) for w in counts}
+    found = {bytes(r.word): (r.n, r["class"]) for r in known.collect()}
+    assert {w: n for w, (n, _) in found.items()} == counts
+    assert len(model.frequent) <= frequent
+    ending = {w: int(model.ending_class[model.items.group(w)]) for t, _ in rows.values() for w in tokens(t) if w}
+    # Rare words keep to their ending's class, words of their own may leave it, and some do.
+    assert all(found[w][1] == ending[w] for w, n in counts.items() if n < 3)
+    assert any(found[w][1] != ending[w] for w, n in counts.items() if n >= 3 and w and w not in model.items.own)
+    end = len(model.step) - 1
+    assert [w for w, (_, c) in found.items() if c == end] == [b""]
+    label = {**ending, **{w: c for w, (_, c) in found.items()}}
     pairs, sizes, types = np.zeros((8, 8)), np.zeros(8), np.zeros(8)
     for t, train in rows.values():
         line = [label[w] for w in tokens(t)] if train else []
-        for a, b in zip([model.label[-1], *line], line):
+        for a, b in zip([end, *line], line):
             pairs[a, b] += 1
     for w, n in counts.items():
         sizes[label[w]] += n
@@ -56,16 +70,72 @@ def test_score_equals_plain_version_and_is_a_distribution(spark):
     share = (sizes + 1) / (sizes.sum() + 8)
     move = (pairs + 200 * share) / (pairs.sum(axis=1, keepdims=True) + 200)
     assert np.allclose(move.sum(axis=1), 1.0)
-    spare = np.array([any(model.label[i] == c for i in range(len(model.items.own), len(model.items) - 1)) for c in range(8)])
+    spare = np.array([any(model.ending_class == c) for c in range(8)])
     below = sizes + 0.5 * (types + spare)
     # Known words and one unknown word for each class that can have one.
     assert np.allclose((sizes + 0.5 * types + 0.5 * spare)[below > 0] / below[below > 0], 1.0)
-    model2, table_ = trained(docs, classes=8, words=30, groups=20)
-    for r in scored(docs, model2, table_).collect():
+    scores = scored(docs, model, known).collect()
+    assert len(scores) == len(rows)
+    for r in scores:
         line = tokens(rows[r.doc_id][0])
-        classes = [int(model.label[model.items.of(w)]) for w in line]
-        want = sum(math.log10(move[a, b] * (counts[w] + 0.5) / below[b]) for a, b, w in zip([model.label[-1], *classes], classes, line))
+        classes = [label[w] for w in line]
+        want = sum(math.log10(move[a, b] * (counts[w] + 0.5) / below[b]) for a, b, w in zip([end, *classes], classes, line))
         assert r.score == pytest.approx(want)
+        assert r.n_known == sum(w in counts for w in line)
+
+
+def test_gains_are_what_a_move_changes():
+    rng = np.random.default_rng(3)
+    bigrams = rng.poisson(0.8, (30, 30)).astype(float)
+    label = np.append(rng.integers(0, 5, 29), 5)
+    one = np.eye(6)[label]
+    pairs = one.T @ bigrams @ one
+    self_ = np.diag(bigrams)[:29].copy()
+    right, left = (bigrams @ one)[:29], (bigrams.T @ one)[:29]
+    right[np.arange(29), label[:29]] -= self_
+    left[np.arange(29), label[:29]] -= self_
+    got = gains(pairs, label[:29], right, left, self_)
+    assert np.isneginf(got[:, 5]).all()
+    for w in range(29):
+        for c in range(5):
+            there = np.eye(6)[np.where(np.arange(30) == w, c, label)]
+            change = worth(there.T @ bigrams @ there) - worth(pairs)
+            assert got[w, c] - got[w, label[w]] == pytest.approx(change, abs=1e-8)
+
+
+def test_word_pairs(spark, monkeypatch):
+    docs = spark.createDataFrame([("a b x",), ("B",), (None,), ("a b",)], "text string").coalesce(1)
+    want = {(b"", b"a"): 2, (b"a", b"b"): 2, (b"b", b"x"): 1, (b"x", b""): 1, (b"", b"b"): 1, (b"b", b""): 2, (b"", b""): 1}
+    for most in (2_000_000, 2):  # also handed on in small parts
+        monkeypatch.setattr("plantpulse.llm.class_lm._TOKENS", most)
+        got = Counter()
+        for r in word_pairs(docs).collect():
+            got[bytes(r["first"]), bytes(r["second"])] += r.n
+        assert got == want
+    items = Items({}, 1)
+    words = vocabulary(word_counts(docs), items, 2)
+    got = {(bytes(r["first"]), bytes(r["second"])): r.n for r in item_pairs(docs, words).collect()}
+    assert got == {tuple(key_of_group(0) if w == b"x" else w for w in k): n for k, n in want.items()}
+
+
+def test_passes_raise_the_likelihood_and_find_planted_classes(spark):
+    """Three kinds of words in turn; every word starts in a class by chance and ends with its kind."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"{'abc'[i % 3]}{rng.integers(0, 40)}" for i in range(60)) for _ in range(200)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    words = vocabulary(word_counts(docs), Items({}, 1), 1).cache()
+    pairs = item_pairs(docs, words).cache()
+    start = spark.createDataFrame([
+        (bytearray(w), 3 if not w else int(rng.integers(0, 3))) for w in sorted(bytes(r.item) for r in words.collect())],
+        "item binary, class int")
+    before = class_pairs(pairs, start, 4)
+    labels, folder, after = clustered(pairs, start, 4, 0.001)
+    assert worth(after) > worth(before) and (class_pairs(pairs, labels, 4) == after).all() and folder
+    label = {bytes(r["item"]): r["class"] for r in labels.collect()}
+    assert len(label) == words.count() and label[b""] == 3
+    kinds = {k: Counter(c for w, c in label.items() if w.startswith(k)) for k in (b"a", b"b", b"c")}
+    assert len({c.most_common(1)[0][0] for c in kinds.values()}) == 3
+    assert all(c.most_common(1)[0][1] >= 38 for c in kinds.values())
 
 
 def test_no_single_move_is_better():
