@@ -5,8 +5,8 @@ their ending. Exchange clustering puts the items into classes. A first exchange
 items, one by one: the most frequent words, and the endings. Its classes are where all items start. From there the
 exchange goes on over all items in Spark: the word pairs of the corpus, with the classes joined by word, give each item its
 counts beside every class, and each item moves to the class that gives the class pairs the highest likelihood. The items of
-a pass move at once, so it counts only if the likelihood has risen. The first pass moves all items, the next ones a quarter
-each, by a hash, and a smaller share where the likelihood fell. Passes end when a round over all items would add less, at
+a pass move at once, so it counts only if the likelihood has risen. A pass moves a quarter of the items, by a hash, and the
+next ones a smaller share where the likelihood fell. Passes end when a round over all items would add less, at
 the rate of the last pass, than ``least_gain`` for each token. A word's probability after another is the transition of their classes times the word's share of its class;
 transitions are mixed with the classes' own shares, and each class keeps half a count for a word it has not seen.
 
@@ -208,8 +208,12 @@ def vocabulary(counts: DataFrame, items: Items, least_count: int) -> DataFrame:
         counts.where(~often).withColumn("item", ending("word")))
 
 
-def word_pairs(training: DataFrame) -> DataFrame:
-    """``first, second, n``: words next to each other, counted within parts; the end token also begins a text."""
+def word_pairs(training: DataFrame, items: Items) -> DataFrame:
+    """``first, second, n``, and the number of each word's ending: words next to each other, counted within parts.
+
+    The end token also begins a text.
+    """
+    sent = training.sparkSession.sparkContext.broadcast(items)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[bytes, int] = {END: 0}
@@ -224,22 +228,30 @@ def word_pairs(training: DataFrame) -> DataFrame:
 
     def _rows(number: dict[bytes, int], line: list[int]) -> Iterator[pa.RecordBatch]:
         codes, words = np.array(line, dtype=np.int64), pa.array(list(number), pa.binary())
+        endings = np.array([sent.value.group(w) for w in number], dtype=np.int32)
         pairs, times = np.unique((codes[:-1] << 32) | codes[1:], return_counts=True)
         for at in range(0, len(pairs), 50_000):
-            own = pairs[at:at + 50_000]
+            first, second = pairs[at:at + 50_000] >> 32, pairs[at:at + 50_000] & 0xFFFFFFFF
             yield pa.RecordBatch.from_arrays(
-                [words.take(pa.array(own >> 32)), words.take(pa.array(own & 0xFFFFFFFF)), pa.array(times[at:at + 50_000], pa.int64())],
-                names=["first", "second", "n"])
+                [words.take(pa.array(first)), words.take(pa.array(second)), pa.array(endings[first]), pa.array(endings[second]),
+                 pa.array(times[at:at + 50_000], pa.int64())],
+                names=["first", "second", "first_ending", "second_ending", "n"])
 
-    return training.select("text").mapInArrow(counted, "first binary, second binary, n long")
+    return training.select("text").mapInArrow(
+        counted, "first binary, second binary, first_ending int, second_ending int, n long")
 
 
-def item_pairs(training: DataFrame, words: DataFrame) -> DataFrame:
-    """``first, second, n`` over items: the words' pairs with each word replaced by its item."""
-    out = word_pairs(training)
+def item_pairs(training: DataFrame, words: DataFrame, items: Items) -> DataFrame:
+    """``first, second, n`` over items: the words' pairs with each word replaced by its item.
+
+    Only words that are items of their own are joined; Spark sends them to all tasks where they are small enough.
+    """
+    out = word_pairs(training, items)
+    own = words.where(F.col("item") == F.col("word"))
     for side in ("first", "second"):
-        names = words.select(F.col("word").alias(side), F.col("item").alias(f"{side}_item"))
-        out = out.join(names, side).drop(side).withColumnRenamed(f"{side}_item", side)
+        ending = F.concat(F.lit("\t"), F.col(f"{side}_ending").cast("string")).cast("binary")
+        out = out.join(own.select(F.col("word").alias(side), F.col("item").alias("own")), side, "left").withColumn(
+            side, F.coalesce("own", ending)).drop("own")
     return out.groupBy("first", "second").agg(F.sum("n").alias("n"))
 
 
@@ -350,7 +362,7 @@ def clustered(
     """Passes over the items until one adds less than ``least_gain`` for each token: classes, their folder, class pairs."""
     spark = pairs.sparkSession
     now = class_pairs(pairs, labels, classes)
-    turn, shares = 0, 1
+    turn, shares = 0, 4
     while now.any():
         after, at = written(moved(pairs, labels, now, turn, shares), "word-classes")
         then = class_pairs(pairs, after, classes)
@@ -363,8 +375,10 @@ def clustered(
         if gain * shares < least_gain * now.sum() and (gain > 0 or shares == _SHARES):
             break
         turn += 1
-        if shares == 1 or gain <= 0:
+        if gain <= 0:
             turn, shares = 0, shares * 4
+        # Spark deletes the files of shuffles that the driver's collector finds out of use.
+        spark.sparkContext._jvm.System.gc()
     return labels, folder, now
 
 
@@ -417,7 +431,7 @@ def trained(
             lambda k: label[len(known.own) + int(k[1:]) if k[:1] == b"\t" else known.of(k)]).astype("int32")
 
     every, every_at = written(vocabulary(counts, items, least_count), "word-items")
-    pairs, pairs_at = written(item_pairs(training, every), "word-pairs")
+    pairs, pairs_at = written(item_pairs(training, every, items), "word-pairs")
     begin, begin_at = written(every.select("item").distinct().withColumn("class", start("item")), "word-classes")
     labels, labels_at, between = clustered(pairs, begin, size, least_gain, begin_at)
     known, _ = written(every.join(labels, "item").select("word", "n", "class"), "word-table")

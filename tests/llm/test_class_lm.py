@@ -109,12 +109,12 @@ def test_word_pairs(spark, monkeypatch):
     for most in (2_000_000, 2):  # also handed on in small parts
         monkeypatch.setattr("plantpulse.llm.class_lm._TOKENS", most)
         got = Counter()
-        for r in word_pairs(docs).collect():
+        for r in word_pairs(docs, Items({}, 1)).collect():
             got[bytes(r["first"]), bytes(r["second"])] += r.n
         assert got == want
     items = Items({}, 1)
     words = vocabulary(word_counts(docs), items, 2)
-    got = {(bytes(r["first"]), bytes(r["second"])): r.n for r in item_pairs(docs, words).collect()}
+    got = {(bytes(r["first"]), bytes(r["second"])): r.n for r in item_pairs(docs, words, items).collect()}
     assert got == {tuple(key_of_group(0) if w == b"x" else w for w in k): n for k, n in want.items()}
 
 
@@ -123,8 +123,9 @@ def test_passes_raise_the_likelihood_and_find_planted_classes(spark):
     rng = np.random.default_rng(1)
     texts = [" ".join(f"{'abc'[i % 3]}{rng.integers(0, 40)}" for i in range(60)) for _ in range(200)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
-    words = vocabulary(word_counts(docs), Items({}, 1), 1).cache()
-    pairs = item_pairs(docs, words).cache()
+    items = Items({}, 1)
+    words = vocabulary(word_counts(docs), items, 1).cache()
+    pairs = item_pairs(docs, words, items).cache()
     start = spark.createDataFrame([
         (bytearray(w), 3 if not w else int(rng.integers(0, 3))) for w in sorted(bytes(r.item) for r in words.collect())],
         "item binary, class int")
