@@ -244,10 +244,11 @@ def word_pairs(training: DataFrame, items: Items) -> DataFrame:
 def item_pairs(training: DataFrame, words: DataFrame, items: Items) -> DataFrame:
     """``first, second, n`` over items: the words' pairs with each word replaced by its item.
 
-    Only words that are items of their own are joined; Spark sends them to all tasks where they are small enough.
+    Only words that are items of their own are joined; they are written first, so that Spark knows their size and sends
+    them to all tasks only where they are small enough.
     """
     out = word_pairs(training, items)
-    own = words.where(F.col("item") == F.col("word"))
+    own, _ = written(words.where(F.col("item") == F.col("word")).select("word", "item"), "word-own")
     for side in ("first", "second"):
         ending = F.concat(F.lit("\t"), F.col(f"{side}_ending").cast("string")).cast("binary")
         out = out.join(own.select(F.col("word").alias(side), F.col("item").alias("own")), side, "left").withColumn(
