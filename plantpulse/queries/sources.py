@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantpulse.plans.alarms import with_previous_state
-from plantpulse.plans.production import box_production
+from plantpulse.plans.production import box_production, merge_production_into
+from plantpulse.plans.tenants import production, update_production
 from plantpulse.queries.registry import query
 from plantpulse.session import shared_folder
-from plantpulse.sources import series, sinks, tables
+from plantpulse.sources import commits, series, sinks, tables
 
 _DAY = 86_400
 
@@ -130,6 +131,45 @@ def _(p):
     return sinks.merge_batches(stored, new, "first_uuid", "last_uuid", ["batch_end", "boxes", "last_uuid"])
 
 
+# As above, into a stored table in which only the days with a changed batch are written.
+@query("sink_merge_parts", f"""
+WITH old AS ({_BOXES} WHERE time < TIMESTAMP '2024-01-16' GROUP BY ALL),
+new AS ({_BOXES} GROUP BY ALL)
+SELECT new.line, new.machine, new.serial, new.recipe, new.batch, new.batch_start, new.batch_end, new.boxes, new.first_uuid, new.last_uuid
+FROM new
+UNION ALL
+SELECT * FROM old WHERE old.first_uuid NOT IN (SELECT first_uuid FROM new)""")
+def _(p):
+    columns = ["line", "machine", "serial", "recipe", "batch", "batch_start", "batch_end", "boxes",
+               "first_uuid", "last_uuid"]
+    folder = shared_folder(p.spark, "production")
+    early = p.general.where(F.col("time") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    for rows in (early, p.general):
+        new = box_production(rows)
+        merge_production_into(folder, new)
+    return commits.read(p.spark, folder, new.schema).select(*columns)
+
+
+# Two tenants; the second delivery of each brings its later rows and, half a day late, some of the earlier ones.
+@query("job_tenant_production", """
+SELECT 'plant' || (cast(serial AS BIGINT) % 2) AS tenant, line, serial, recipe, batch,
+  min(time) AS batch_start, max(time) AS batch_end, max(total_cases) - min(total_cases) + 1 AS boxes,
+  arg_min(uuid, (time, uuid)) AS first_uuid, arg_max(uuid, (time, uuid)) AS last_uuid
+FROM general GROUP BY ALL""")
+def _(p):
+    folder, target = shared_folder(p.spark, "deliveries"), shared_folder(p.spark, "tenant-production")
+    border, late = F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    first = (F.col("time") < late) | ((F.col("time") < border) & (F.col("uuid") % 3 != 0))
+    rows = p.general.select("uuid", "time", "line", "machine", "serial", "recipe", "batch", "total_cases")
+    sources = {f"plant{i}": f"{folder}/plant{i}" for i in range(2)}
+    for part in (first, ~first):
+        for i, (_, path) in enumerate(sources.items()):
+            rows.where(part & (F.col("serial").cast("bigint") % 2 == i)).write.mode("append").parquet(path)
+        update_production(p.spark, {"target": target, "tenants": sources, "overlap_hours": 24})
+    return production(p.spark, target).select(
+        "tenant", "line", "serial", "recipe", "batch", "batch_start", "batch_end", "boxes", "first_uuid", "last_uuid")
+
+
 @query("sink_backfill_column", """
 SELECT g.uuid, g.serial, coalesce(a.state, g.mode_state) AS mode_state
 FROM general g LEFT JOIN (SELECT uuid, nullif(state, 0) AS state FROM alarms) a ON a.uuid = g.uuid""")
