@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from plantpulse.operators.ordered import TimeOrder, carry
 from plantpulse.plans.alarms import BY_ALARM, COLUMNS, alarm_lines_strict, transitions
@@ -20,6 +20,8 @@ from plantpulse.session import discard, stored
 from plantpulse.sources.sinks import write_by
 
 _BY_MACHINE = TimeOrder(keys=["serial"])
+# Folders that each delivery of alarm rows is stored in.
+SLOTS = 64
 
 
 def read_stream(
@@ -90,12 +92,24 @@ def compact_updates(spark: SparkSession, folder: str, key: str) -> None:
     discard(spark, kept, *[f"{folder}/run={n}" for n in old])
 
 
+def _slot(keys: list[str]) -> Column:
+    return F.pmod(F.hash(*keys), F.lit(SLOTS))
+
+
+def delivered_rows(spark: SparkSession, folder: str, schema: StructType, number: int, slots: list[int]) -> DataFrame:
+    """Rows of some slots of alarms, of all deliveries up to one; the others' files are not read."""
+    whole = StructType([*schema.fields, StructField("run", IntegerType()), StructField("slot", IntegerType())])
+    rows = spark.read.schema(whole).parquet(folder).where((F.col("run") <= number) & F.col("slot").isin(slots))
+    return rows.select(*schema.names)
+
+
 def alarm_blocks(lines_folder: str, open_folder: str) -> Callable[[DataFrame, int], None]:
     """Emit alarm lines as their blocks close, and hold the rows of the open ones.
 
     Held are, per alarm, the changes from the last return to zero on, the row before that return, and the
     newest row. A row older than the newest one held of its alarm came too late for that: all lines of this alarm
-    are computed again from the rows that were ever delivered, and the alarm is noted as repaired. Read the
+    are computed again from the rows that were ever delivered, and the alarm is noted as repaired. Rows are stored in
+    slots of alarms for this, and of earlier deliveries only the slots of such alarms are read; without one nothing is. Read the
     lines with ``current_lines``.
     """
 
@@ -103,17 +117,23 @@ def alarm_blocks(lines_folder: str, open_folder: str) -> Callable[[DataFrame, in
         spark = batch.sparkSession
         keys = ["serial", "idx"]
         new, folder = stored(batch.select(*COLUMNS), "alarm-new")
-        new.write.mode("overwrite").parquet(f"{lines_folder}-rows/run={number}")
-        rows, late = new, None
+        history = f"{lines_folder}-rows"
+        write_by(new.withColumn("slot", _slot(keys)), f"{history}/run={number}", "slot", replace=True)
+        rows, late, made = new, None, [folder]
         if number > 0:
             held = spark.read.schema(new.schema).parquet(f"{open_folder}/run={number - 1}")
             newest = held.groupBy(*keys).agg(F.max(BY_ALARM.position()).alias("_newest"))
-            late = new.join(newest, keys).where(BY_ALARM.position() < F.col("_newest")).select(*keys).distinct()
-            every = spark.read.parquet(f"{lines_folder}-rows").where(F.col("run") <= number).select(*new.columns)
-            every = every.join(late, keys, "left_semi")
-            rows = new.unionByName(held).join(late, keys, "left_anti").unionByName(every)
+            came_late = new.join(newest, keys).where(BY_ALARM.position() < F.col("_newest")).select(*keys).distinct()
+            late, late_folder = stored(came_late, "alarm-late")
+            made.append(late_folder)
+            # At most one number for each slot.
+            slots = [r["slot"] for r in late.select(_slot(keys).alias("slot")).distinct().collect()]
+            rows = new.unionByName(held)
+            if slots:
+                every = delivered_rows(spark, history, new.schema, number, slots).join(late, keys, "left_semi")
+                rows = rows.join(late, keys, "left_anti").unionByName(every)
         rows, open_rows = stored(rows, "alarm-open")
-        made = [folder, open_rows]
+        made.append(open_rows)
         alarm_lines_strict(rows, made).write.mode("overwrite").parquet(f"{lines_folder}/run={number}")
         if late is not None:
             late.write.mode("overwrite").parquet(f"{lines_folder}-repaired/run={number}")

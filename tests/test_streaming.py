@@ -32,6 +32,28 @@ def test_alarm_blocks_over_batches(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
 
 
+def test_history_is_read_for_late_alarms_only(spark, tmp_path, monkeypatch):
+    whole = alarms(spark, [0, 10, 0, 20, 0, 10, 0, 0], "a").unionByName(
+        alarms(spark, [0, 10, 0, 20, 0, 10, 0, 0], "b", first=1000)).unionByName(
+        alarms(spark, [0, 10, 0, 20, 0, 10, 0, 0], "c", first=2000))
+    late = F.col("uuid") == 1003
+    half = F.col("uuid") % 1000 < 4
+    reads, plain = [], jobs.delivered_rows
+
+    def noted(spark, folder, schema, number, slots):
+        found = plain(spark, folder, schema, number, slots)
+        reads.append((number, len(slots), set(values(found, "serial")), found.count()))
+        return found
+
+    monkeypatch.setattr(jobs, "delivered_rows", noted)
+    step = jobs.alarm_blocks(str(tmp_path / "lines"), str(tmp_path / "open"))
+    run_steps(step, [whole.where(half & ~late), whole.where(~half), whole.where(late)])
+    # The three alarms lie in slots of their own.
+    assert reads == [(2, 1, {("b",)}, 8)]
+    got = jobs.current_lines(spark, str(tmp_path / "lines"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, alarm_lines_strict(whole).select(*got.columns).collect()))
+
+
 def test_late_rows_of_alarm_blocks(spark, tmp_path):
     rng = random.Random(6)
     whole = alarms(spark, [rng.choice([0, 0, 10, 20]) for _ in range(60)], "a", step=1800).unionByName(
