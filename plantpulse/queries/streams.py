@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantpulse.operators import digests
 from plantpulse.plans import weighing
 from plantpulse.plans.alarms import alarm_lines
 from plantpulse.queries.alarms import _LINE_COLUMNS, _LINES, _STEPS, _rounded
@@ -142,6 +143,26 @@ def _(p):
     return jobs.latest_updates(p.spark, folder, "serial")
 
 
+# Hourly digests of three deliveries, merged into whole batches.
+@query("stream_digests", """
+WITH c AS (SELECT line, batch, recipe, count(*) AS times FROM weights WHERE recipe IS NOT NULL GROUP BY ALL),
+m AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY line, batch ORDER BY times DESC, recipe) = 1)
+SELECT w.line, w.batch, count(*) AS n, count(DISTINCT w.setpoint) AS distinct_setpoint,
+  count(DISTINCT w.module_key) AS distinct_module_key, any_value(m.recipe) AS frequent_recipe, any_value(m.times) AS times_recipe
+FROM weights w LEFT JOIN m ON m.line = w.line AND m.batch = w.batch GROUP BY w.line, w.batch""")
+def _(p):
+    columns = ["line", "batch", "time", "setpoint", "module_key", "recipe"]
+    folder, state = shared_folder(p.spark, "digests"), shared_folder(p.spark, "digests-state")
+
+    def made(rows):
+        return digests.digest(rows, ["line", "batch"], weighing.HOUR, ["setpoint", "module_key"], ["recipe"])
+
+    step = digests.store_digests(folder, made)
+    _delivered(p, _by_time(p.weights.select(*columns)), lambda feed: jobs.each_batch(feed, step, state))
+    whole = digests.combine(p.spark.read.parquet(folder), ["line", "batch"])
+    return digests.answers(whole)
+
+
 @query("stream_realtime_union", _rollup_sql(weighing.HOURLY_KEYS, _HOUR))
 def _(p):
     w = p.weights
