@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.plans.alarms import alarm_lines_strict
 from plantpulse.plans.machines import BY_MACHINE
+from plantpulse.operators import ordered
 from plantpulse.operators.ordered import carry
 from plantpulse.streaming import jobs
 
@@ -54,6 +55,31 @@ def test_history_is_read_for_late_alarms_only(spark, tmp_path, monkeypatch):
     assert sorted(map(str, got.collect())) == sorted(map(str, alarm_lines_strict(whole).select(*got.columns).collect()))
 
 
+def test_rows_of_a_batch_are_put_in_order_once(spark, tmp_path, monkeypatch):
+    """The lines and the held rows start from one order over the rows, which are stored once."""
+    whole = alarms(spark, [0, 10, 0, 20, 0, 10, 0, 0], "a").unionByName(alarms(spark, [0, 10, 0, 20, 0, 10, 0, 0], "b", first=1000))
+    late = F.col("uuid") == 1003
+    orders, sizes, in_order, kept = [], [], ordered.with_neighbours, jobs.stored
+
+    def noted_order(df, *args, **kwargs):
+        orders.append(df.count())
+        return in_order(df, *args, **kwargs)
+
+    def noted_rows(df, purpose):
+        found = kept(df, purpose)
+        sizes.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(ordered, "with_neighbours", noted_order)
+    monkeypatch.setattr(jobs, "stored", noted_rows)
+    step = jobs.alarm_blocks(str(tmp_path / "lines"), str(tmp_path / "open"))
+    run_steps(step, [whole.where(~late), whole.where(late)])
+    # The second delivery has one late alarm of eight rows; of the other one five rows are held.
+    assert orders[0] == 15 and len(orders) == 2 and sizes == [15, 1, orders[1]]
+    got = jobs.current_lines(spark, str(tmp_path / "lines"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, alarm_lines_strict(whole).select(*got.columns).collect()))
+
+
 def test_late_rows_of_alarm_blocks(spark, tmp_path):
     rng = random.Random(6)
     whole = alarms(spark, [rng.choice([0, 0, 10, 20]) for _ in range(60)], "a", step=1800).unionByName(
