@@ -53,6 +53,8 @@ _POOL = 512
 #: Steps of a path whose branches are looked at together.
 _BLOCK = 256
 _GRAIN = float(1 << 28)
+#: Edges after the likeliest that a walk looks at one by one.
+_NEAR = 3
 #: No Gumbel noise is above this: -log(-log(u)) for the largest u.
 _HIGHEST = 20.2
 
@@ -90,7 +92,7 @@ class Vocabulary:
         self.is_byte = np.zeros(size, dtype=bool)
         self.longest = 1
         worst = -np.log(size + 1.0)
-        rows: list[tuple[int, int, float]] = []
+        rows: list[tuple] = []
         for i, piece in enumerate(self.pieces):
             if sp.is_byte(i):
                 self.byte[int(piece[3:5], 16)], self.is_byte[i] = i, True
@@ -99,9 +101,10 @@ class Vocabulary:
                 continue
             if BLANK in piece.lstrip(BLANK) or (len(piece) > 1 and "\n" in piece):
                 raise ValueError("pieces that go across words are not supported")
-            rows.append((self._hash(piece), i, max(worst, -np.log(1.0 - min(sp.get_score(i), 0.0)))))
+            rows.append((piece, i, max(worst, -np.log(1.0 - min(sp.get_score(i), 0.0)))))
             self.longest = max(self.longest, len(piece))
         self.worst = worst
+        rows = [(h, i, w) for h, (_, i, w) in zip(self._hashes([p for p, _, _ in rows]).tolist(), rows)]
         rows.sort()
         self.hashes = np.array([h for h, _, _ in rows], dtype=np.uint64)
         self.ids = np.array([i for _, i, _ in rows], dtype=np.int32)
@@ -111,7 +114,7 @@ class Vocabulary:
         self.filter = np.zeros(1 << 20, dtype=np.uint8)
         self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = 1
         named = [self.pieces[i] for i in self.ids]
-        starts = np.array([self._hash(x) for x in {p[:k] for p in named for k in range(1, len(p))}], dtype=np.uint64)
+        starts = self._hashes(list({p[:k] for p in named for k in range(1, len(p))}))
         self.filter[(starts >> np.uint64(44)).astype(np.int64)] |= 2
         # What each piece reads as, in bytes, one after another.
         reads = [p.replace(BLANK, " ").encode() for p in self.pieces]
@@ -122,11 +125,14 @@ class Vocabulary:
         self._bytes = np.frombuffer(b"".join(reads), dtype=np.uint8)
 
     @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = (h * int(_PRIME) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-        return int(_mix(np.array([h], dtype=np.uint64))[0])
+    def _hashes(pieces: list[str]) -> np.ndarray:
+        found = []
+        for piece in pieces:
+            h = 0
+            for c in piece:
+                h = (h * int(_PRIME) + ord(c) + 1) & _ALL
+            found.append(h)
+        return _mix(np.array(found, dtype=np.uint64))
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which of the hashes are of pieces, the rows of these, and which may begin longer pieces."""
@@ -215,27 +221,41 @@ class Lattices:
                 piece = np.where(code < 128, v.byte[np.minimum(code, 127)], -code).astype(np.int32)
                 edges.append((bare, np.ones(len(bare), dtype=np.int64), piece, v.worst * size))
             place, hashes = place[longer], hashes[longer]
-        source, step, piece, weight = (np.concatenate(c) for c in zip(*edges))
-        # From the ends of the words backwards: all positions with as many characters left at once.
-        left = end[source] - source
-        order = np.argsort(left * count + source, kind="stable")
-        source, step, piece, weight, left = (x[order] for x in (source, step, piece, weight, left))
+        # Edges of a node side by side, the shorter ones first: each goes to its node's next free place.
+        per_node = np.zeros(count, dtype=np.int64)
+        for at, *_ in edges:
+            per_node[at] += 1
+        heads = np.cumsum(per_node) - per_node
+        free = heads.copy()
+        step, piece = np.empty(int(per_node.sum()), dtype=np.int64), np.empty(int(per_node.sum()), dtype=np.int32)
+        weight = np.empty(len(step))
+        for at, steps, pieces, weights in edges:
+            to = free[at]
+            step[to], piece[to], weight[to] = steps, pieces, weights
+            free[at] += 1
+        source = np.repeat(np.arange(count), per_node)
         goal = source + step
         last = goal == end[source]
+        # From the ends of the words backwards: all positions with as many characters left at once.
+        left = end - np.arange(count)
+        longest = int(length.max())
+        by_left = np.argsort(left.astype(np.int16) if longest < 1 << 15 else left, kind="stable")
+        many = per_node[by_left]
+        new = np.cumsum(many) - many
+        order = np.arange(len(step)) + np.repeat(heads[by_left] - new, many)
+        levels = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=longest + 1))[1:]])
         mass = np.zeros(count)
-        cuts = np.flatnonzero(np.diff(left, prepend=-1, append=-1))
-        new = np.flatnonzero(np.diff(source, prepend=-1))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            onward = weight[a:b] + np.where(last[a:b], 0.0, mass[np.minimum(goal[a:b], count - 1)])
-            heads = new[np.searchsorted(new, a) : np.searchsorted(new, b)] - a
-            top = np.maximum.reduceat(onward, heads)
-            spread = np.exp(onward - np.repeat(top, np.diff(heads, append=b - a)))
-            mass[source[a:b][heads]] = top + np.log(np.add.reduceat(spread, heads))
-        share = np.exp(weight + np.where(last, 0.0, mass[np.minimum(goal, count - 1)]) - mass[source])
-        order = np.argsort(source, kind="stable")
-        source, goal, piece, share, last = (x[order] for x in (source, goal, piece, share, last))
-        per_node = np.bincount(source, minlength=count)
-        heads = np.cumsum(per_node) - per_node
+        ordered, onwards, ends = weight[order], np.minimum(goal[order], count - 1), last[order]
+        for i, j in zip(levels[:-1].tolist(), levels[1:].tolist()):
+            if i == j:
+                continue
+            a, b = int(new[i]), int(new[j - 1] + many[j - 1])
+            onward = ordered[a:b] + np.where(ends[a:b], 0.0, mass[onwards[a:b]])
+            starts = new[i:j] - a
+            top = np.maximum.reduceat(onward, starts)
+            spread = np.exp(onward - np.repeat(top, many[i:j]))
+            mass[by_left[i:j]] = top + np.log(np.add.reduceat(spread, starts))
+        share = np.exp(weight + np.where(last, 0.0, mass[np.minimum(goal, count - 1)]) - np.repeat(mass, per_node))
         # The likeliest edge of a node comes first, where a walk looks first.
         best = np.flatnonzero(share == np.repeat(np.maximum.reduceat(share, heads), per_node))
         best = best[np.flatnonzero(np.diff(source[best], prepend=-1))]
@@ -289,7 +309,14 @@ class Lattices:
             point = here + _uniform((noise ^ (noise >> np.uint64(32))) * _SPREAD)
             edge = self.first[here].astype(np.int64)
             other = np.flatnonzero(point >= reach[edge])
-            edge[other] = np.searchsorted(reach, point[other], side="right")
+            # The next edges of the node lie beside the first one; what is not among them is searched for.
+            for _ in range(_NEAR):
+                if not len(other):
+                    break
+                edge[other] += 1
+                other = other[point[other] >= reach[edge[other]]]
+            if len(other):
+                edge[other] = np.searchsorted(reach, point[other], side="right")
             steps.append((active, edge))
             length[active] += 1
             here = self.target[edge].astype(np.int64)

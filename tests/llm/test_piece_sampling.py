@@ -96,3 +96,20 @@ def test_awkward_rows(spark):
     texts = Counter(r.text for r in decoded(out.where("sample = 1"), PATH).collect())
     assert texts == Counter((r[1] or "").replace("▁", " ") for r in AWKWARD)
     assert segmentations(nothing(spark), PATH).count() == 0
+
+
+def test_edges_are_placed_without_sorting_them(model, monkeypatch):
+    """Only the characters are put in an order; every node's edges are still side by side, with shares that add up to one."""
+    sampler = Sampler(model, 2, 5)
+    words = [" international", " 日本語", "\n", " x" + "y" * 40, " of", " €uro"]
+    sizes, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *args, **kwargs: sizes.append(len(x)) or plain(x, *args, **kwargs))
+    sampler.lattices.add(words)
+    count = sum(map(len, words))
+    assert sampler.lattices.edges > count and max(sizes) <= count
+    for node in range(count):
+        a, b = sampler.lattices.first[node], sampler.lattices.first[node + 1]
+        shares = np.exp(sampler.lattices.logs[a:b])
+        assert b > a and shares.sum() == pytest.approx(1.0) and shares[0] == shares.max()
+        reach = sampler.lattices.reach[a:b]
+        assert (np.diff(reach) >= 0).all() and reach[-1] == node + 1
