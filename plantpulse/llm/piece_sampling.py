@@ -42,7 +42,9 @@ _WORD = re.compile(" *[^ \n]+| +|\n")
 #: Most edges that a Python worker keeps; bounds its memory only.
 EDGES = 4_000_000
 #: Characters of text whose paths are drawn at a time.
-AT_ONCE = 700_000
+AT_ONCE = 300_000
+#: Characters of new words whose lattices are made at a time; what that needs besides the edges kept is in proportion.
+_NEW = 40_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ALL = 0xFFFFFFFFFFFFFFFF
@@ -169,13 +171,16 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._capacity = EDGES
+        self._capacity = 0
         self.clear()
 
     def clear(self) -> None:
+        """Forget all words. The arrays stay, as new ones would lie beside them in the worker's memory."""
         self.root: dict[str, int] = {}
         self.nodes = self.edges = 0
-        n = self._capacity
+        if self._capacity == EDGES:
+            return
+        n = self._capacity = EDGES
         self.reach, self.logs = np.empty(n), np.empty(n)
         self.target, self.piece = np.empty(n, dtype=np.int32), np.empty(n, dtype=np.int32)
         self.first = np.zeros(n + 1, dtype=np.int32)
@@ -185,7 +190,7 @@ class Lattices:
         at = 0
         while at < len(words):
             stop, size = at + 1, len(words[at])
-            while stop < len(words) and size + len(words[stop]) <= 200_000:
+            while stop < len(words) and size + len(words[stop]) <= _NEW:
                 size += len(words[stop])
                 stop += 1
             self._add(words[at:stop])

@@ -5,7 +5,8 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from plantpulse.llm.piece_sampling import Sampler, decoded, normalised, segmentations
+from plantpulse.llm.common import ready
+from plantpulse.llm.piece_sampling import Lattices, Sampler, Vocabulary, decoded, normalised, segmentations
 from plantpulse.llm.queries import queries
 
 from .helpers import AWKWARD, FOLDER, clashing, nothing, table
@@ -113,3 +114,17 @@ def test_edges_are_placed_without_sorting_them(model, monkeypatch):
         assert b > a and shares.sum() == pytest.approx(1.0) and shares[0] == shares.max()
         reach = sampler.lattices.reach[a:b]
         assert (np.diff(reach) >= 0).all() and reach[-1] == node + 1
+
+
+def test_a_full_worker_starts_anew_in_the_same_arrays(spark, model):
+    """New arrays beside the old ones, and batches of 10,000 texts, took an executor beyond its memory."""
+    lattices = Lattices(Vocabulary(model))
+    arrays = [lattices.reach, lattices.logs, lattices.target, lattices.piece, lattices.first]
+    text = [" one", " two", " three"]
+    drawn = lattices.walk(lattices.roots([text])[0], np.arange(3, dtype=np.uint64))
+    lattices.clear()
+    assert lattices.root == {} and not lattices.edges
+    assert all(a is b for a, b in zip(arrays, [lattices.reach, lattices.logs, lattices.target, lattices.piece, lattices.first]))
+    again = lattices.walk(lattices.roots([text])[0], np.arange(3, dtype=np.uint64))
+    assert all((a == b).all() for a, b in zip(drawn, again))
+    assert int(ready(spark).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2_000
