@@ -21,6 +21,7 @@ without training words every word is unknown; repeated rows are scored each; tex
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantpulse.llm.common import Recent, discard, fold, written
@@ -43,10 +44,14 @@ REMEMBERED = 300_000
 FREQUENT = 50_000
 #: Texts handled at a time.
 _AT_ONCE = 500
+#: Items whose gains are worked out at a time; their arrays should fit a processor's cache.
+_MOVED = 50
 #: Tokens whose pairs a Python worker counts before it hands them on; bounds its memory only.
 _TOKENS = 2_000_000
 #: The smallest share of the items that moves at once is one in so many.
 _SHARES = 16
+#: Items in a block, on average.
+_ITEMS = 8_192
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -241,6 +246,154 @@ def word_pairs(training: DataFrame, items: Items) -> DataFrame:
         counted, "first binary, second binary, first_ending int, second_ending int, n long")
 
 
+def word_parts(training: DataFrame) -> DataFrame:
+    """All training texts in one scan, in parts of a bounded number of tokens and words.
+
+    A part has a row for each of its words (``part, at, word, n``), and one with its pairs of neighbours: the places of
+    both words and how often they meet. The end token also begins a text.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
+        number: dict[bytes, int] = {END: 0}
+        line = [0]
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                line.extend([number.setdefault(w, len(number)) for w in tokens(text)])
+                if len(line) > _TOKENS or len(number) > REMEMBERED:
+                    yield _rows(part, number, line)
+                    part, number, line = part + 1, {END: 0}, [0]
+        if len(line) > 1:
+            yield _rows(part, number, line)
+
+    def _rows(part: int, number: dict[bytes, int], line: list[int]) -> pa.RecordBatch:
+        codes, size = np.array(line, dtype=np.int64), len(number)
+        pairs, times = np.unique((codes[:-1] << 32) | codes[1:], return_counts=True)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(size + 1, part), pa.int64()), pa.array([*range(size), None], pa.int32()),
+            pa.array([*number, None], pa.binary()), pa.array([*np.bincount(codes[1:], minlength=size).tolist(), None], pa.int64()),
+            pa.array([*[None] * size, _packed(pairs >> 32, pairs & 0xFFFFFFFF, times)], pa.binary()),
+        ], names=["part", "at", "word", "n", "pairs"])
+
+    return training.select("text").mapInArrow(counted, "part long, at int, word binary, n long, pairs binary")
+
+
+def _packed(own: np.ndarray, other: np.ndarray, n: np.ndarray) -> bytes:
+    """Entries as compressed bytes: two numbers below 2^31 and a count of each."""
+    whole = own.astype("<i4").tobytes() + other.astype("<i4").tobytes() + n.astype("<i8").tobytes()
+    return len(own).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = int.from_bytes(data[:8], "little")
+    whole = pa.decompress(data[8:], decompressed_size=16 * size, codec="zstd", asbytes=True) if size else b""
+    return (np.frombuffer(whole, "<i4", size), np.frombuffer(whole, "<i4", size, 4 * size),
+            np.frombuffer(whole, "<i8", size, 8 * size))
+
+
+def numbered(items: DataFrame) -> tuple[DataFrame, int]:
+    """``items`` (one row for each ``item``) with its number ``id``, and the number of blocks: an item's block is the
+    number modulo that, and its place in the block the number divided by it."""
+    blocks = 1 + items.count() // _ITEMS
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    place = F.row_number().over(Window.partitionBy(block).orderBy("item")) - 1
+    return items.withColumn("id", (place * blocks + block).cast("int")), blocks
+
+
+_ENTRIES = "block int, side int, data binary"
+
+
+def _dealt(first: np.ndarray, second: np.ndarray, n: np.ndarray, blocks: int) -> pa.Table:
+    """Pairs of items by blocks: those of the first items (side 0), and those of the second ones (side 1)."""
+    rows = []
+    for side, own, other in ((0, first, second), (1, second, first)):
+        block = own % blocks
+        order = np.argsort(block, kind="stable")
+        ends = np.cumsum(np.bincount(block, minlength=blocks))
+        for b in np.unique(block).tolist():
+            at = order[ends[b - 1] if b else 0 : ends[b]]
+            rows.append((b, side, _packed(own[at] // blocks, other[at], n[at])))
+    block, side, data = zip(*rows) if rows else ((), (), ())
+    return pa.table([pa.array(block, pa.int32()), pa.array(side, pa.int32()), pa.array(data, pa.binary())],
+                    names=["block", "side", "data"])
+
+
+def part_entries(parts: DataFrame, ids: DataFrame, blocks: int) -> DataFrame:
+    """The pairs of all parts, dealt to the blocks of their items. ``ids``: the item's number ``id`` of each ``word``."""
+
+    def dealt(words: pa.Table, pairs: pa.Table) -> pa.Table:
+        at, own = words.column("at").to_numpy(), words.column("id").to_numpy()
+        number = np.empty(len(at), dtype=np.int64)
+        number[at] = own
+        entries = [_unpacked(d) for d in pairs.column("pairs").to_pylist()]
+        first, second, n = (np.concatenate(x) for x in zip(*entries))
+        keys, n = _added((number[first] << 32) | number[second], n)
+        return _dealt(keys >> 32, keys & 0xFFFFFFFF, n, blocks)
+
+    words = parts.where(F.col("word").isNotNull()).select("part", "at", "word").join(ids.select("word", "id"), "word")
+    pairs = parts.where(F.col("pairs").isNotNull()).select(F.col("part").alias("of"), "pairs")
+    return words.select("part", "at", "id").groupBy("part").cogroup(pairs.groupBy("of")).applyInArrow(dealt, _ENTRIES)
+
+
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with the sum of its counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(n[order], starts)
+
+
+def block_pairs(entries: DataFrame, items: DataFrame, blocks: int) -> DataFrame:
+    """One row for each block of items: pairs in which they come first, those in which they come second, and hashes."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, values = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            block = own % blocks
+            found = np.unique(block).tolist()
+            at = [np.flatnonzero(block == b) for b in found]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(found, pa.int32()), pa.array([2] * len(found), pa.int32()),
+                pa.array([_packed(own[i] // blocks, 0 * own[i], values[i]) for i in at], pa.binary())], names=["block", "side", "data"])
+
+    def merged(group: pa.Table) -> pa.Table:
+        side, data = group.column("side").to_pylist(), group.column("data").to_pylist()
+        columns = []
+        for k in range(3):
+            found = [_unpacked(d) for s, d in zip(side, data) if s == k]
+            own, other, n = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+            keys, n = _added((own.astype(np.int64) << 32) | other, n)
+            columns.append(pa.array([_packed(keys >> 32, keys & 0xFFFFFFFF, n)], pa.binary()))
+        return pa.table([group.column("block").combine_chunks()[:1], *columns], names=["block", "right", "left", "hashes"])
+
+    own = items.select("id", F.xxhash64("item")).mapInArrow(hashes, _ENTRIES)
+    return entries.unionByName(own).groupBy("block").applyInArrow(merged, "block int, right binary, left binary, hashes binary")
+
+
+def label_pairs(pairs: DataFrame, blocks: int, label: np.ndarray, size: int) -> np.ndarray:
+    """Counts of pairs of labels, given the label of each item's number: at most the square of the number of labels."""
+    sent = pairs.sparkSession.sparkContext.broadcast(label)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, dtype=np.int64)
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own, other, n = _unpacked(data.as_py())
+                cell = sent.value[own.astype(np.int64) * blocks + block].astype(np.int64) * size + sent.value[other]
+                cells, n = _added(cell, n)
+                total[cells] += n
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells])], names=["cell", "n"])
+
+    cells = pairs.select("block", "right").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size * size)
+    out[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    sent.destroy()
+    return out.reshape(size, size)
+
+
 def item_pairs(training: DataFrame, words: DataFrame, items: Items) -> DataFrame:
     """``first, second, n`` over items: the words' pairs with each word replaced by its item.
 
@@ -316,71 +469,136 @@ def class_pairs(pairs: DataFrame, labels: DataFrame, classes: int) -> np.ndarray
     return out
 
 
-def moved(pairs: DataFrame, labels: DataFrame, now: np.ndarray, turn: int = 0, shares: int = 1) -> DataFrame:
-    """``item, class`` after one pass: every item in the class where it adds most, given the class pairs ``now``.
+def _rounds_hash(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """``F.xxhash64("item", F.lit(turn))`` from the hashes of the items alone."""
+    p1, p2, p3, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    x = hashes.astype(np.int64).view(np.uint64) + p5 + np.uint64(4)
+    x = x ^ np.uint64(turn * int(p1) & 0xFFFFFFFFFFFFFFFF)
+    x = ((x << np.uint64(23)) | (x >> np.uint64(41))) * p2 + p3
+    x = (x ^ (x >> np.uint64(33))) * p2
+    x = (x ^ (x >> np.uint64(29))) * p3
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
 
-    One of ``shares`` equal shares of the items moves, another one each ``turn``.
+def moved(pairs: DataFrame, blocks: int, label: np.ndarray, now: np.ndarray, turn: int = 0, shares: int = 1) -> DataFrame:
+    """``id, class`` of the items that a pass moves, each to the class where it adds most, given the class pairs ``now``.
+
+    One of ``shares`` equal shares of the items may move, another one each ``turn``.
     """
     classes = len(now)
     least = 1e-6 + 1e-14 * abs(float(_f(now).sum()))
+    sent = pairs.sparkSession.sparkContext.broadcast(label)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, _AT_ONCE):
-                batch = whole.slice(at, _AT_ONCE)
-                here, lists = batch.column(1).to_numpy().astype(np.int64), batch.column(2)
-                row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-                entries = lists.flatten()
-                table = np.zeros((batch.num_rows, 2 * classes + 1))
-                table[row, entries.field("slot").to_numpy()] = entries.field("n").to_numpy()
-                right, left, self_ = table[:, :classes], table[:, classes:-1], table[:, -1]
-                rows = np.arange(batch.num_rows)
-                right[rows, here] -= self_
-                left[rows, here] -= self_
-                gain = gains(now, here, right, left, self_)
-                to = gain.argmax(axis=1)
-                stays = (gain[rows, to] <= gain[rows, here] + least) | (here == classes - 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.where(stays, here, to), pa.int32())], names=["item", "class"])
-
-    def entry(item: str, own: str, slot: Column) -> Column:
-        return F.struct(F.col(item).alias("item"), F.col(own).alias("here"), slot.cast("int").alias("slot"), "n")
-
-    both = F.array(entry("first", "first_class", F.col("second_class")), entry("second", "second_class", F.col("first_class") + classes))
-    itself = F.array(entry("first", "first_class", F.lit(2 * classes)))
-    moves = F.pmod(F.xxhash64("item", F.lit(turn // shares)) + turn, F.lit(shares)) == 0
-    beside = _classed(pairs, labels).select(
-        F.inline(F.when(F.col("first") == F.col("second"), F.concat(both, itself)).otherwise(both))).where(moves)
-    # An item has at most two entries for each class, and one for itself.
-    packed = (beside.groupBy("item", "here", "slot").agg(F.sum("n").alias("n"))
-              .groupBy("item", "here").agg(F.collect_list(F.struct("slot", "n")).alias("beside")))
-    return packed.mapInArrow(places, "item binary, class int").unionByName(labels.where(~moves))
+        for batch in batches:
+            for block, *data in zip(*(c for c in batch.columns)):
+                yield from placed(block.as_py(), *(_unpacked(d.as_py()) for d in data))
+
+    def placed(block: int, after: tuple, before: tuple, hashes: tuple) -> Iterator[pa.RecordBatch]:
+        place = hashes[0].astype(np.int64)
+        free = np.mod(_rounds_hash(hashes[2], turn // shares) + turn, shares) == 0
+        free &= sent.value[place * blocks + block] != classes - 1
+        which = place[free]
+        row = np.full(int(place.max(initial=-1)) + 1, -1)
+        row[which] = np.arange(len(which))
+        width = 2 * classes + 1
+        table = np.zeros(len(which) * width)
+        for shift, (own, other, n) in ((0, after), (classes, before)):
+            at = row[own]
+            on = at >= 0
+            own, other, n, at = own[on].astype(np.int64), other[on], n[on], at[on]
+            table += np.bincount(at * width + shift + sent.value[other], n, len(table))
+            if not shift:
+                same = own * blocks + block == other
+                table[at[same] * width + width - 1] = n[same]
+        table = table.reshape(-1, width)
+        for start in range(0, len(which), _MOVED):
+            some, ids = table[start : start + _MOVED], which[start : start + _MOVED] * blocks + block
+            here = sent.value[ids].astype(np.int64)
+            right, left, self_ = some[:, :classes], some[:, classes:-1], some[:, -1]
+            rows = np.arange(len(ids))
+            right[rows, here] -= self_
+            left[rows, here] -= self_
+            gain = gains(now, here, right, left, self_)
+            to = gain.argmax(axis=1)
+            goes = gain[rows, to] > gain[rows, here] + least
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[goes], pa.int32()), pa.array(to[goes], pa.int32())], names=["id", "class"])
 
+    return pairs.select("block", "right", "left", "hashes").mapInArrow(places, "id int, class int")
 
-def clustered(
-    pairs: DataFrame, labels: DataFrame, classes: int, least_gain: float, folder: str | None = None
-) -> tuple[DataFrame, str | None, np.ndarray]:
-    """Passes over the items until one adds less than ``least_gain`` for each token: classes, their folder, class pairs."""
-    spark = pairs.sparkSession
-    now = class_pairs(pairs, labels, classes)
+
+def exchanged(pairs: DataFrame, blocks: int, label: np.ndarray, classes: int, least_gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """Passes over the items until one adds less than ``least_gain`` for each token: classes by item number, class pairs.
+
+    The driver and each worker hold one small number for each item: its class.
+    """
+    now = label_pairs(pairs, blocks, label, classes)
     turn, shares = 0, 4
     while now.any():
-        after, at = written(moved(pairs, labels, now, turn, shares), "word-classes")
-        then = class_pairs(pairs, after, classes)
+        moves = moved(pairs, blocks, label, now, turn, shares).toArrow()
+        after = label.copy()
+        after[moves.column("id").to_numpy()] = moves.column("class").to_numpy()
+        then = label_pairs(pairs, blocks, after, classes)
         gain = worth(then) - worth(now)
-        old = at
         if gain > 0:
-            old, folder, labels, now = folder, at, after, then
-        if old is not None:
-            discard(spark, old)
+            label, now = after, then
         if gain * shares < least_gain * now.sum() and (gain > 0 or shares == _SHARES):
             break
         turn += 1
         if gain <= 0:
             turn, shares = 0, shares * 4
-        # Spark deletes the files of shuffles that the driver's collector finds out of use.
-        spark.sparkContext._jvm.System.gc()
-    return labels, folder, now
+    return label, now
+
+
+def _by_number(items: DataFrame, column: str, size: int) -> np.ndarray:
+    """A column of ``items`` as an array by number, in the smallest type for numbers below ``size``."""
+    found = items.select("id", column).toArrow()
+    ids = found.column("id").to_numpy()
+    out = np.zeros(int(ids.max(initial=-1)) + 1, dtype=np.min_scalar_type(size))
+    out[ids] = found.column(column).to_numpy()
+    return out
+
+
+def _looked_up(label: np.ndarray, of: DataFrame) -> DataFrame:
+    """``of`` with the ``class`` of each ``id``."""
+    sent = of.sparkSession.sparkContext.broadcast(label)
+
+    @F.pandas_udf("int")
+    def at(ids: pd.Series) -> pd.Series:
+        return pd.Series(sent.value[ids.to_numpy()].astype("int32"))
+
+    return of.withColumn("class", at("id"))
+
+
+def clustered(
+    pairs: DataFrame, labels: DataFrame, classes: int, least_gain: float, folder: str | None = None
+) -> tuple[DataFrame, str, np.ndarray]:
+    """Like :func:`exchanged`, from pairs and classes by item: classes by item, their folder, class pairs."""
+    spark = pairs.sparkSession
+    items, blocks = numbered(labels)
+    items, items_at = written(items, "word-items")
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _dealt(*(c.to_numpy().astype(np.int64) for c in batch.columns), blocks).to_batches()
+
+    first, second = (items.select(F.col("item").alias(c), F.col("id").alias(f"{c}_id")) for c in ("first", "second"))
+    entries = pairs.join(first, "first").join(second, "second").select("first_id", "second_id", "n").mapInArrow(dealt, _ENTRIES)
+    packed, packed_at = written(block_pairs(entries, items, blocks), "word-pairs")
+    label, now = exchanged(packed, blocks, _by_number(items, "class", classes), classes, least_gain)
+    out, at = written(_looked_up(label, items).select("item", "class"), "word-classes")
+    for old in (items_at, packed_at, folder):
+        if old is not None:
+            discard(spark, old)
+    return out, at, now
+
+
+def _let_go(spark: SparkSession) -> None:
+    """Spark deletes the files of shuffles that the driver's collector finds out of use."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 @dataclass(frozen=True)
@@ -410,7 +628,10 @@ def trained(
     """
     spark = docs.sparkSession
     training = docs.where(fold() != 1)
-    counts, counts_at = written(word_counts(training), "word-counts")
+    parts, parts_at = written(word_parts(training), "word-parts")
+    counts = parts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+    counts, counts_at = written(counts, "word-counts")
+    _let_go(spark)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # The least count that at most ``FREQUENT`` words reach, from the number of words of each count.
     words_of = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
@@ -420,32 +641,48 @@ def trained(
     top = counts.where(F.col("n") >= F.lit(least)).toPandas()
     top = top.assign(word=[bytes(w) for w in top["word"]]).sort_values(["n", "word"], ascending=[False, True])
     items = Items({w: i for i, w in enumerate([w for w in top["word"] if w != END][:words])}, groups)
-    first = exchange(item_bigrams(training, items), classes)
-    size = int(first.max()) + 1
-
-    sent = spark.sparkContext.broadcast((items, first))
+    sent = spark.sparkContext.broadcast(items)
 
     @F.pandas_udf("int")
     def start(keys: pd.Series) -> pd.Series:
-        known, label = sent.value
-        return keys.map(bytes).map(
-            lambda k: label[len(known.own) + int(k[1:]) if k[:1] == b"\t" else known.of(k)]).astype("int32")
+        known = sent.value
+        return keys.map(bytes).map(lambda k: len(known.own) + int(k[1:]) if k[:1] == b"\t" else known.of(k)).astype("int32")
 
     every, every_at = written(vocabulary(counts, items, least_count), "word-items")
-    pairs, pairs_at = written(item_pairs(training, every, items), "word-pairs")
-    begin, begin_at = written(every.select("item").distinct().withColumn("class", start("item")), "word-classes")
-    labels, labels_at, between = clustered(pairs, begin, size, least_gain, begin_at)
-    known, _ = written(every.join(labels, "item").select("word", "n", "class"), "word-table")
+    own = every.where(F.col("item") == F.col("word")).select("item")
+    rare = F.substring("item", 1, 1) == F.lit(b"\t")
+    names, names_at = written(own.unionByName(every.where(rare).select("item").distinct()), "word-names")
+    named, blocks = numbered(names)
+    named, named_at = written(named.withColumn("first", start("item")), "word-numbers")
+    ending = {int(bytes(r["item"])[1:]): r["id"] for r in named.where(rare).toLocalIterator()}  # one for each ending
+    # Words of their own are joined by word; no word but an ending's rare ones shares an item.
+    of_ending = F.get(F.array(*[F.lit(ending.get(g, -1)) for g in range(groups)]), F.expr("substring(item, 2)").cast("string").cast("int"))
+    ids = every.join(named.where(~rare).select(F.col("item").alias("word"), "id"), "word", "left").select(
+        "word", "n", F.coalesce("id", of_ending).alias("id"))
+    ids, ids_at = written(ids, "word-ids")
+    _let_go(spark)
+    pairs, pairs_at = written(block_pairs(part_entries(parts, ids, blocks), named, blocks), "word-pairs")
+    for folder in (parts_at, counts_at, every_at, names_at):
+        discard(spark, folder)
+    _let_go(spark)
+
+    at_first = _by_number(named, "first", len(items))
+    first = exchange(label_pairs(pairs, blocks, at_first, len(items)), classes)
+    size = int(first.max()) + 1
+    begin = first[at_first].astype(np.min_scalar_type(size))
+    labels, between = exchanged(pairs, blocks, begin, size, least_gain)
+    known, _ = written(_looked_up(labels, ids).select("word", "n", "class"), "word-table")
 
     label = first[len(items.own):-1].copy()
-    for row in labels.where(F.substring("item", 1, 1) == F.lit(b"\t")).toLocalIterator():  # one for each ending
-        label[int(bytes(row["item"])[1:])] = row["class"]
+    for group, at in ending.items():
+        label[group] = labels[at]
     types = np.zeros(size)
     for row in known.groupBy("class").agg(F.count(F.lit(1)).alias("types")).collect():
         types[row["class"]] = row["types"]
     top = known.where(F.col("n") >= F.lit(least)).toPandas()
-    for folder in (counts_at, every_at, pairs_at, labels_at):
+    for folder in (named_at, ids_at, pairs_at):
         discard(spark, folder)
+    _let_go(spark)
 
     sizes = between.sum(axis=0)
     # Only a class that holds an ending can meet a word it has not seen; it keeps one place for it.

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 
 from plantpulse.llm.class_lm import (
-    Items, class_pairs, clustered, exchange, gains, item_bigrams, item_pairs, key_of_group, perplexity, scored, tokens, trained,
-    vocabulary, word_counts, word_pairs, worth)
+    Items, _by_number, block_pairs, class_pairs, clustered, exchange, gains, item_bigrams, item_pairs, key_of_group, label_pairs,
+    moved, numbered, part_entries, perplexity, scored, tokens, trained, vocabulary, word_counts, word_pairs, word_parts, worth)
 from plantpulse.llm.queries import queries
 
 from .helpers import AWKWARD, FOLDER, clashing, nothing, table
@@ -180,3 +180,45 @@ def test_awkward_rows(spark):
     assert scored(nothing(spark), *trained(nothing(spark))).count() == 0
     unseen = docs.where("crc32(cast(doc_id AS string)) % 5 = 1")
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in scored(unseen, *trained(unseen)).collect())
+
+
+def test_blocks_hold_all_pairs_and_a_pass_moves_the_items_to_their_best_classes(spark, monkeypatch):
+    """In several parts and blocks; words are joined once for each part, and no longer for each pair."""
+    monkeypatch.setattr("plantpulse.llm.class_lm._ITEMS", 7)
+    monkeypatch.setattr("plantpulse.llm.class_lm._TOKENS", 300)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(rng.integers(0, 6)) ** 2 + rng.integers(0, 3)}" for _ in range(40)) for _ in range(60)] + ["w1 w1 w1", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3).cache()
+    parts = word_parts(docs).cache()
+    words = {bytes(r.word): r.n for r in parts.groupBy("word").agg({"n": "sum"}).toDF("word", "n").collect() if r.word is not None}
+    assert words == {bytes(r.word): r.n for r in word_counts(docs).collect()}
+    assert parts.where("word IS NOT NULL").count() < item_pairs(
+        docs, vocabulary(word_counts(docs), Items({}, 1), 1), Items({}, 1)).count()
+    items, blocks = numbered(word_counts(docs).selectExpr("word AS item", "cast(if(word = X'', 3, crc32(word) % 3) AS int) AS class"))
+    items = items.cache()
+    assert blocks > 2
+    pairs = block_pairs(part_entries(parts, items.selectExpr("item AS word", "id"), blocks), items, blocks).cache()
+    rows = {r.id: (bytes(r["item"]), r["class"]) for r in items.collect()}
+    size = max(rows) + 1
+    place = {w: i for i, (w, _) in rows.items()}
+    want = np.zeros((size, size))
+    for t in texts:
+        line = [place[w] for w in tokens(t)]
+        for a, b in zip([place[b""], *line], line):
+            want[a, b] += 1
+    assert (label_pairs(pairs, blocks, np.arange(size), size) == want).all()
+    label = _by_number(items, "class", 4)
+    one = np.eye(4)[label]
+    now = label_pairs(pairs, blocks, label, 4)
+    assert (now == one.T @ want @ one).all()
+    self_, every = np.diag(want).copy(), np.arange(size)
+    right, left = want @ one, want.T @ one
+    right[every, label] -= self_
+    left[every, label] -= self_
+    gain = gains(now, label, right, left, self_)
+    best = gain.argmax(axis=1)
+    for turn, shares in ((0, 4), (3, 4), (6, 4), (17, 16), (0, 1)):
+        free = items.where(f"pmod(xxhash64(item, {turn // shares}) + {turn}, {shares}) = 0").collect()
+        want_moves = {r.id: int(best[r.id]) for r in free if rows[r.id][0] and gain[r.id].max() > gain[r.id, label[r.id]] + 1e-6}
+        assert {r.id: r["class"] for r in moved(pairs, blocks, label, now, turn, shares).collect()} == want_moves
+    assert want_moves
