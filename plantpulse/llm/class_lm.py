@@ -3,8 +3,9 @@
 Every word seen ``least_count`` times or more is an item of its own; rarer words, and words never seen, are grouped by
 their ending. Exchange clustering puts the items into classes. A first exchange on the driver places a fixed number of
 items, one by one: the most frequent words, and the endings. Its classes are where all items start. From there the
-exchange goes on over all items in Spark: the word pairs of the corpus, with the classes joined by word, give each item its
-counts beside every class, and each item moves to the class that gives the class pairs the highest likelihood. The items of
+exchange goes on over all items in Spark: the pairs of the corpus, kept as numbers in blocks of items, give each item its
+counts beside every class, and each item moves to the class that gives the class pairs the highest likelihood. The class of
+each item, one small number, is sent to the tasks, so a pass reads the blocks without a shuffle. The items of
 a pass move at once, so it counts only if the likelihood has risen. A pass moves a quarter of the items, by a hash, and the
 next ones a smaller share where the likelihood fell. Passes end when a round over all items would add less, at
 the rate of the last pass, than ``least_gain`` for each token. A word's probability after another is the transition of their classes times the word's share of its class;
@@ -377,15 +378,14 @@ def label_pairs(pairs: DataFrame, blocks: int, label: np.ndarray, size: int) ->
     sent = pairs.sparkSession.sparkContext.broadcast(label)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, dtype=np.int64)
+        total = np.zeros(size * size)  # whole numbers are exact in it up to 2^53
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own, other, n = _unpacked(data.as_py())
                 cell = sent.value[own.astype(np.int64) * blocks + block].astype(np.int64) * size + sent.value[other]
-                cells, n = _added(cell, n)
-                total[cells] += n
+                total += np.bincount(cell, n, size * size)
         cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[cells].astype(np.int64))], names=["cell", "n"])
 
     cells = pairs.select("block", "right").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size)
