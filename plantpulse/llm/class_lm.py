@@ -11,10 +11,11 @@ next ones a smaller share where the likelihood fell. Passes end when a round ove
 the rate of the last pass, than ``least_gain`` for each token. A word's probability after another is the transition of their classes times the word's share of its class;
 transitions are mixed with the classes' own shares, and each class keeps half a count for a word it has not seen.
 
-All training documents are counted: words, and pairs of words. A text's score needs the count and the class of each of its
-words. The most frequent ones (a bounded list) are sent to the scan; all other words, and pairs of two such words, are
-joined with the table of counts and classes. As a word outside the list is in few documents, no key of that join is large,
-however often a document is copied.
+All training documents are counted: words, and pairs of words. Texts are taken in parts of a bounded number of words, and a
+part numbers its distinct words once: only these are joined with a table of all words, never its tokens. A text's score needs
+the count and the class of each of its words. The most frequent ones (a bounded list) are sent to the scan; the others of a
+part are looked up by the join, and the part's texts, kept as numbers, are then scored as arrays. As a part asks for a word
+once, no key of that join is large, however often a document is copied.
 
 Cases: a NULL or empty text is the end token alone; a NULL id counts as empty text for the folds;
 without training words every word is unknown; repeated rows are scored each; texts are read whole.
@@ -32,8 +33,9 @@ from itertools import count
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantpulse.llm.common import Recent, discard, fold, written
@@ -43,11 +45,11 @@ END = b""  # no word is empty
 REMEMBERED = 300_000
 #: Words that are sent to the scan with their counts.
 FREQUENT = 50_000
-#: Texts handled at a time.
+#: Texts handled at a time by the first exchange.
 _AT_ONCE = 500
 #: Items whose gains are worked out at a time; their arrays should fit a processor's cache.
 _MOVED = 50
-#: Tokens whose pairs a Python worker counts before it hands them on; bounds its memory only.
+#: Tokens that a Python worker numbers, or counts the pairs of, before it hands them on; bounds its memory only.
 _TOKENS = 2_000_000
 #: The smallest share of the items that moves at once is one in so many.
 _SHARES = 16
@@ -247,36 +249,84 @@ def word_pairs(training: DataFrame, items: Items) -> DataFrame:
         counted, "first binary, second binary, first_ending int, second_ending int, n long")
 
 
-def word_parts(training: DataFrame) -> DataFrame:
-    """All training texts in one scan, in parts of a bounded number of tokens and words.
-
-    A part has a row for each of its words (``part, at, word, n``), and one with its pairs of neighbours: the places of
-    both words and how often they meet. The end token also begins a text.
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """What :func:`tokens` finds in all texts, without the end tokens, and the number of words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    some = pc.binary_length(words).to_numpy() > 0
+    ends = np.concatenate([[0], np.cumsum(some)])[lists.offsets.to_numpy()]
+    return words.filter(pa.array(some)).cast(pa.binary()), np.diff(ends)
+
+
+def _numbered_texts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[pa.Array], pa.Array, np.ndarray]]:
+    """Rows in parts of some ``most`` words and a bounded size, one longer text aside: the first columns, the part's distinct
+    words (the end token is the first) and all texts (the last column) in order, as the numbers of their words."""
+    rows, found, tokens_, bytes_ = [], [], 0, 0
+
+    def part() -> tuple[list[pa.Array], pa.Array, np.ndarray]:
+        number = pa.concat_arrays([pa.array([END], pa.binary()), *(f.dictionary for f, _ in found)]).dictionary_encode()
+        place, at, line, end = number.indices.to_numpy()[1:], 0, np.zeros(tokens_, dtype=np.int32), 0
+        for codes, size in found:
+            to = np.arange(len(codes)) + np.repeat(np.arange(len(size)), size)
+            line[end + to] = place[at + codes.indices.to_numpy()]
+            at, end = at + len(codes.dictionary), end + len(codes) + len(size)
+        return [pa.concat_arrays(c) for c in zip(*rows)], number.dictionary, line
+
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1)
+        total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            # A text has at most one word in two bytes.
+            before = int(total[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(total, before + 2 * most, "right")))
+            size = int(total[to - 1]) - before
+            if found and (tokens_ > most or bytes_ + size > 16 * most):
+                yield part()
+                rows, found, tokens_, bytes_ = [], [], 0, 0
+                pa.default_memory_pool().release_unused()  # other tasks of the executor need it
+            words, each = _split(texts.slice(at, to - at))
+            rows.append([c.slice(at, to - at) for c in batch.columns[:-1]])
+            found.append((words.dictionary_encode(), each))
+            tokens_, bytes_, at = tokens_ + len(words) + len(each), bytes_ + size, to
+    if found:
+        yield part()
+    rows, found = [], []
+    pa.default_memory_pool().release_unused()
+
+
+def _endings(items: Items, words: pa.Array) -> np.ndarray:
+    """The group of each word; it goes by the last bytes, so it is worked out once for each ending."""
+    tails = pc.binary_slice(words, -6).dictionary_encode()
+    groups = np.array([items.group(t) for t in tails.dictionary.to_pylist()], dtype=np.int32)
+    return groups[tails.indices.to_numpy()]
+
+
+def word_parts(training: DataFrame, items: Items = Items({}, 1)) -> DataFrame:
+    """All training texts in one scan, in parts of a bounded number of tokens.
+
+    A part has a row for each of its words (``part, at, word, n``), and one with its pairs of neighbours (the places of
+    both words and how often they meet) and with the ending of each word. The end token also begins a text.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        number: dict[bytes, int] = {END: 0}
-        line = [0]
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                line.extend([number.setdefault(w, len(number)) for w in tokens(text)])
-                if len(line) > _TOKENS or len(number) > REMEMBERED:
-                    yield _rows(part, number, line)
-                    part, number, line = part + 1, {END: 0}, [0]
-        if len(line) > 1:
-            yield _rows(part, number, line)
-
-    def _rows(part: int, number: dict[bytes, int], line: list[int]) -> pa.RecordBatch:
-        codes, size = np.array(line, dtype=np.int64), len(number)
-        pairs, times = np.unique((codes[:-1] << 32) | codes[1:], return_counts=True)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.full(size + 1, part), pa.int64()), pa.array([*range(size), None], pa.int32()),
-            pa.array([*number, None], pa.binary()), pa.array([*np.bincount(codes[1:], minlength=size).tolist(), None], pa.int64()),
-            pa.array([*[None] * size, _packed(pairs >> 32, pairs & 0xFFFFFFFF, times)], pa.binary()),
-        ], names=["part", "at", "word", "n", "pairs"])
+        for _, words, line in _numbered_texts(batches, _TOKENS):
+            size = len(words)
+            before = np.concatenate([[0], line[:-1]]).astype(np.int64)
+            keys, times = np.unique(before << 32 | line, return_counts=True)
+            n = np.bincount(line, minlength=size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, part)), pa.array(np.arange(size, dtype=np.int32)), words, pa.array(n),
+                 *[pa.nulls(size, pa.binary())] * 2], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
+                 pa.array([_packed(keys >> 32, keys & 0xFFFFFFFF, times)], pa.binary()),
+                 pa.array([_planes(_endings(items, words))], pa.binary())], names=names)
+            part += 1
 
-    return training.select("text").mapInArrow(counted, "part long, at int, word binary, n long, pairs binary")
+    names = ["part", "at", "word", "n", "pairs", "endings"]
+    return training.select("text").mapInArrow(counted, "part long, at int, word binary, n long, pairs binary, endings binary")
 
 
 def _packed(own: np.ndarray, other: np.ndarray, n: np.ndarray) -> bytes:
@@ -292,6 +342,17 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.frombuffer(whole, "<i8", size, 8 * size))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^31 as compressed bytes, the lowest byte of all of them first."""
+    whole = x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    whole = pa.decompress(data[8:], decompressed_size=4 * int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(whole, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def numbered(items: DataFrame) -> tuple[DataFrame, int]:
     """``items`` (one row for each ``item``) with its number ``id``, and the number of blocks: an item's block is the
     number modulo that, and its place in the block the number divided by it."""
@@ -307,8 +368,9 @@ _ENTRIES = "block int, side int, data binary"
 def _dealt(first: np.ndarray, second: np.ndarray, n: np.ndarray, blocks: int) -> pa.Table:
     """Pairs of items by blocks: those of the first items (side 0), and those of the second ones (side 1)."""
     rows = []
+    first, second = first.astype(np.int32), second.astype(np.int32)
     for side, own, other in ((0, first, second), (1, second, first)):
-        block = own % blocks
+        block = (own % blocks).astype(np.min_scalar_type(blocks))  # small numbers are sorted by counting
         order = np.argsort(block, kind="stable")
         ends = np.cumsum(np.bincount(block, minlength=blocks))
         for b in np.unique(block).tolist():
@@ -319,20 +381,19 @@ def _dealt(first: np.ndarray, second: np.ndarray, n: np.ndarray, blocks: int) ->
                     names=["block", "side", "data"])
 
 
-def part_entries(parts: DataFrame, ids: DataFrame, blocks: int) -> DataFrame:
-    """The pairs of all parts, dealt to the blocks of their items. ``ids``: the item's number ``id`` of each ``word``."""
+def part_entries(parts: DataFrame, ids: DataFrame, blocks: int, of_ending: np.ndarray = np.zeros(1, np.int32)) -> DataFrame:
+    """The pairs of all parts, dealt to the blocks of their items. ``ids``: the item's number ``id`` of each ``word`` that is
+    an item of its own; ``of_ending``: the number of each ending, for the other words."""
 
     def dealt(words: pa.Table, pairs: pa.Table) -> pa.Table:
-        at, own = words.column("at").to_numpy(), words.column("id").to_numpy()
-        number = np.empty(len(at), dtype=np.int64)
-        number[at] = own
-        entries = [_unpacked(d) for d in pairs.column("pairs").to_pylist()]
-        first, second, n = (np.concatenate(x) for x in zip(*entries))
+        number = of_ending[_from_planes(pairs.column("endings")[0].as_py())].astype(np.int64)
+        number[words.column("at").to_numpy()] = words.column("id").to_numpy()
+        first, second, n = _unpacked(pairs.column("pairs")[0].as_py())
         keys, n = _added((number[first] << 32) | number[second], n)
         return _dealt(keys >> 32, keys & 0xFFFFFFFF, n, blocks)
 
     words = parts.where(F.col("word").isNotNull()).select("part", "at", "word").join(ids.select("word", "id"), "word")
-    pairs = parts.where(F.col("pairs").isNotNull()).select(F.col("part").alias("of"), "pairs")
+    pairs = parts.where(F.col("pairs").isNotNull()).select(F.col("part").alias("of"), "pairs", "endings")
     return words.select("part", "at", "id").groupBy("part").cogroup(pairs.groupBy("of")).applyInArrow(dealt, _ENTRIES)
 
 
@@ -628,7 +689,7 @@ def trained(
     """
     spark = docs.sparkSession
     training = docs.where(fold() != 1)
-    parts, parts_at = written(word_parts(training), "word-parts")
+    parts, parts_at = written(word_parts(training, Items({}, groups)), "word-parts")
     counts = parts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
     counts, counts_at = written(counts, "word-counts")
     _let_go(spark)
@@ -648,22 +709,22 @@ def trained(
         known = sent.value
         return keys.map(bytes).map(lambda k: len(known.own) + int(k[1:]) if k[:1] == b"\t" else known.of(k)).astype("int32")
 
-    every, every_at = written(vocabulary(counts, items, least_count), "word-items")
-    own = every.where(F.col("item") == F.col("word")).select("item")
-    rare = F.substring("item", 1, 1) == F.lit(b"\t")
-    names, names_at = written(own.unionByName(every.where(rare).select("item").distinct()), "word-names")
-    named, blocks = numbered(names)
+    often = (F.col("n") >= least_count) | (F.col("word") == F.lit(END))
+    endings = spark.range(groups).select(F.concat(F.lit("\t"), F.col("id").cast("string")).cast("binary"), F.lit(0).cast("long"))
+    named, blocks = numbered(counts.where(often).select(F.col("word").alias("item"), "n").union(endings))
     named, named_at = written(named.withColumn("first", start("item")), "word-numbers")
-    ending = {int(bytes(r["item"])[1:]): r["id"] for r in named.where(rare).toLocalIterator()}  # one for each ending
-    # Words of their own are joined by word; no word but an ending's rare ones shares an item.
-    of_ending = F.get(F.array(*[F.lit(ending.get(g, -1)) for g in range(groups)]), F.expr("substring(item, 2)").cast("string").cast("int"))
-    ids = every.join(named.where(~rare).select(F.col("item").alias("word"), "id"), "word", "left").select(
-        "word", "n", F.coalesce("id", of_ending).alias("id"))
-    ids, ids_at = written(ids, "word-ids")
+    ending = F.substring("item", 1, 1) == F.lit(b"\t")
+    of_ending = np.zeros(groups, dtype=np.int32)
+    for row in named.where(ending).select("item", "id").collect():  # their number is a parameter
+        of_ending[int(bytes(row["item"])[1:])] = row["id"]
+    # Words of their own are joined by word; a part knows the endings of the others. The entries are written before they
+    # are dealt, so that what led to them is off the disk by then.
+    entries, entries_at = written(
+        part_entries(parts, named.where(~ending).select(F.col("item").alias("word"), "id"), blocks, of_ending), "word-entries")
+    discard(spark, parts_at)
     _let_go(spark)
-    pairs, pairs_at = written(block_pairs(part_entries(parts, ids, blocks), named, blocks), "word-pairs")
-    for folder in (parts_at, counts_at, every_at, names_at):
-        discard(spark, folder)
+    pairs, pairs_at = written(block_pairs(entries, named, blocks), "word-pairs")
+    discard(spark, entries_at)
     _let_go(spark)
 
     at_first = _by_number(named, "first", len(items))
@@ -671,16 +732,22 @@ def trained(
     size = int(first.max()) + 1
     begin = first[at_first].astype(np.min_scalar_type(size))
     labels, between = exchanged(pairs, blocks, begin, size, least_gain)
-    known, _ = written(_looked_up(labels, ids).select("word", "n", "class"), "word-table")
+    label = labels[of_ending].astype(np.int64)
+
+    def by_ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes_ = label[_endings(Items({}, groups), batch.column(0))].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes_)], names=["word", "n", "class"])
+
+    own = _looked_up(labels, named.where(~ending)).select(F.col("item").alias("word"), "n", "class")
+    rare = counts.where(~often).select("word", "n").mapInArrow(by_ending, "word binary, n long, class int")
+    known, _ = written(own.unionByName(rare), "word-table")
 
-    label = first[len(items.own):-1].copy()
-    for group, at in ending.items():
-        label[group] = labels[at]
     types = np.zeros(size)
     for row in known.groupBy("class").agg(F.count(F.lit(1)).alias("types")).collect():
         types[row["class"]] = row["types"]
     top = known.where(F.col("n") >= F.lit(least)).toPandas()
-    for folder in (named_at, ids_at, pairs_at):
+    for folder in (counts_at, named_at, pairs_at):
         discard(spark, folder)
     _let_go(spark)
 
@@ -699,93 +766,61 @@ def trained(
 def scored(docs: DataFrame, model: Model, known: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
-    The scan writes what it can't answer: words outside the frequent ones with the classes around them, and pairs of two
-    such words. These are joined by word, the pairs once for each of their words.
+    The scan numbers the words of each part of the texts, and knows the frequent ones. The others are joined by word, once
+    for each part; a part's words and texts then meet in one task, which works out the scores as arrays.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     size = len(model.step)
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = sent.value
-        place, end = len(m.frequent), size - 1
-        # The frequent words by their place, the others by their ending's class after them.
-        label = np.concatenate([m.frequent_class, np.arange(size)]).astype(np.int64)
-        numerator = np.concatenate([m.numerator, np.zeros(size)])
-
-        def coded(word: bytes) -> int:
-            at = m.frequent.get(word)
-            if at is None:
-                at = place + (end if word == END else int(m.ending_class[m.items.group(word)]))
-            return at
-
-        code = Recent(coded, REMEMBERED)
-        number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                ids = batch.column(0).slice(at, 200)
-                own, rows = [], []
-                for text in batch.column(1).slice(at, 200).to_pylist():
-                    number += 1
-                    line = tokens(text)
-                    codes = np.fromiter(map(code.__getitem__, line), dtype=np.int64, count=len(line))
-                    kinds = label[codes]
-                    rare = codes >= place
-                    before, unsure = np.concatenate([[end], kinds[:-1]]), np.concatenate([[False], rare[:-1]])
-                    sure = ~rare & ~unsure
-                    own.append((number, len(line), len(line) - int(rare.sum()), float(numerator[codes].sum()),
-                                float(m.step[before[sure], kinds[sure]].sum())))
-                    if rare.any():
-                        # Class before and class after, or -1 where that word is to be looked up too (or there is none).
-                        lefts = np.where(unsure, -1, before)
-                        rights = np.concatenate([np.where(rare[1:], -1, kinds[1:]), [-1]])
-                        places = np.flatnonzero(rare).tolist()
-                        found = Counter((line[i], None, int(kinds[i]), None, int(lefts[i]), int(rights[i])) for i in places)
-                        found.update(
-                            (line[i - 1], line[i], int(kinds[i - 1]), int(kinds[i]), -1, -1)
-                            for i in np.flatnonzero(rare & unsure).tolist())
-                        rows += [(number, times, *what) for what, times in found.items()]
-                # The row of a text itself has a word that there is not (with a tab), another one for each text.
-                n, extra = len(own), len(rows)
-                columns, asked = list(zip(*own)), list(zip(*rows)) or [[]] * 8
-                none = [None] * n
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([*columns[0], *asked[0]], pa.int64()),
-                    pa.array([*none, *asked[1]], pa.int64()),
-                    pa.array([*[b"\t%d" % x for x in columns[0]], *asked[2]], pa.binary()),
-                    pa.array([*none, *asked[3]], pa.binary()),
-                    *[pa.array([*none, *asked[i]], pa.int32()) for i in range(4, 8)],
-                    pa.concat_arrays([ids, pa.nulls(extra, pa.int64())]),
-                    *[pa.array([*columns[i], *[None] * extra], kind) for i, kind in (
-                        (1, pa.int64()), (2, pa.int64()), (3, pa.float64()), (4, pa.float64()))],
-                ], names=["row", "times", "word", "next", "kind", "next_kind", "left", "right", "doc_id", "n_tokens", "known",
-                          "found", "steps"])
+        frequent = pa.array(list(m.frequent), pa.binary())
+        part = TaskContext.get().partitionId() << 32
+        for (ids,), words, line in _numbered_texts(batches, _TOKENS):
+            place = pc.fill_null(pc.index_in(words, frequent), -1).to_numpy()
+            rare = place < 0
+            kind = m.ending_class[_endings(m.items, words)]
+            kind[0] = size - 1
+            kind[~rare] = m.frequent_class[place[~rare]]
+            asked = np.flatnonzero(rare).astype(np.int32)
+            n = len(asked)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, part)), pa.array(asked), words.take(pa.array(asked)), pa.nulls(n, pa.list_(pa.int64())),
+                 *[pa.nulls(n, pa.binary())] * 3], names=names)
+            ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), ids,
+                 *[pa.array([_planes(x)], pa.binary()) for x in (line, place + 1, kind)]], names=names)
+            part += 1
 
+    names = ["part", "at", "word", "ids", "line", "place", "kind"]
     asked, _ = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        first, "row long, times long, word binary, next binary, kind int, next_kind int, left int, right int, doc_id long, "
-               "n_tokens long, known long, found double, steps double"), "word-requests")
-    table = F.expr("cast(split('" + ",".join(map(repr, model.step.ravel().tolist())) + "', ',') AS array<double>)")
-
-    def step(before: Column, after: Column) -> Column:
-        return F.get(table, before * size + after)
-
-    single = asked.where(F.col("next").isNull()).join(known, "word", "left")
-    own = F.coalesce("class", "kind")
-    beside = F.when(F.col("left") >= 0, step(F.col("left"), own)).otherwise(0.0) + F.when(
-        F.col("right") >= 0, step(own, F.col("right"))).otherwise(0.0)
-    single = single.select(
-        "row", "doc_id", "n_tokens",
-        F.coalesce("known", F.when(F.col("n").isNotNull(), F.col("times")), F.lit(0)).alias("known"),
-        F.coalesce("found", F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("found"),
-        F.coalesce("steps", F.col("times") * beside).alias("steps"))
-    classes = known.select("word", "class")
-    after = known.select(F.col("word").alias("next"), F.col("class").alias("next_class"))
-    double = asked.where(F.col("next").isNotNull()).select("row", "times", "word", "next", "kind", "next_kind")
-    double = double.join(classes, "word", "left").join(after, "next", "left").select(
-        "row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("known"),
-        F.lit(0.0).alias("found"), (F.col("times") * step(own, F.coalesce("next_class", "next_kind"))).alias("steps"))
-    by_row = single.unionByName(double).groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
-        F.sum("found").alias("numerators"), F.sum("steps").alias("steps"))
+        coded, "part long, at int, word binary, ids array<long>, line binary, place binary, kind binary"), "word-requests")
+
+    def summed(words: pa.Table, texts: pa.Table) -> pa.Table:
+        m: Model = sent.value
+        ids = texts.column("ids")[0].values
+        line, place, kind = (_from_planes(texts.column(c)[0].as_py()) for c in ("line", "place", "kind"))
+        numerator = np.concatenate([[np.log10(0.5)], m.numerator])[place]
+        seen = place > 0
+        if words.num_rows:
+            at = words.column("at").to_numpy()
+            seen[at] = True
+            kind[at] = words.column("class").to_numpy()
+            numerator[at] = np.log10(words.column("n").to_numpy() + 0.5)
+        ends = np.flatnonzero(line == 0) + 1
+        starts = np.concatenate([[0], ends[:-1]])
+        kinds = kind[line]
+        steps = m.step[np.concatenate([[size - 1], kinds[:-1]]), kinds]
+        return pa.table([
+            ids, pa.array(ends - starts), pa.array(np.add.reduceat(seen[line].astype(np.int64), starts)),
+            pa.array(np.add.reduceat(numerator[line], starts)), pa.array(np.add.reduceat(steps, starts)),
+        ], names=["doc_id", "n_tokens", "n_known", "numerators", "steps"])
+
+    words = asked.where(F.col("word").isNotNull()).select("part", "at", "word").join(known, "word").select("part", "at", "n", "class")
+    texts = asked.where(F.col("line").isNotNull()).select(F.col("part").alias("of"), "ids", "line", "place", "kind")
+    by_row = words.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(
+        summed, "doc_id long, n_tokens long, n_known long, numerators double, steps double")
     below = F.lit(float(model.train_tokens) + 0.5 * (model.types + 1))
     return by_row.select(
         "doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.train_tokens).cast("long").alias("train_tokens"),
