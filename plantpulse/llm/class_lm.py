@@ -331,26 +331,34 @@ def word_parts(training: DataFrame, items: Items = Items({}, 1)) -> DataFrame:
 
 def _packed(own: np.ndarray, other: np.ndarray, n: np.ndarray) -> bytes:
     """Entries as compressed bytes: two numbers below 2^31 and a count of each."""
-    whole = own.astype("<i4").tobytes() + other.astype("<i4").tobytes() + n.astype("<i8").tobytes()
-    return len(own).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+    return b"".join(len(x).to_bytes(8, "little") + x for x in map(_planes, (own, other, n)))
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = int.from_bytes(data[:8], "little")
-    whole = pa.decompress(data[8:], decompressed_size=16 * size, codec="zstd", asbytes=True) if size else b""
-    return (np.frombuffer(whole, "<i4", size), np.frombuffer(whole, "<i4", size, 4 * size),
-            np.frombuffer(whole, "<i8", size, 8 * size))
+    out, at = [], 0
+    for kind in ("<i4", "<i4", "<i8"):
+        end = at + 8 + int.from_bytes(data[at : at + 8], "little")
+        out.append(_from_planes(data[at + 8 : end]).astype(kind))
+        at = end
+    return tuple(out)
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Numbers below 2^31 as compressed bytes, the lowest byte of all of them first."""
-    whole = x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return len(x).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+    """Whole numbers as compressed bytes, in the smallest type and the lowest byte of all of them first."""
+    low, high = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    small = np.min_scalar_type(min(low, -high - 1) if low < 0 else high)
+    planes = x.astype(small.newbyteorder("<")).view(np.uint8).reshape(len(x), small.itemsize)
+    whole = b"".join(planes[:, k].tobytes() for k in range(small.itemsize))
+    return small.char.encode() + len(x).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    whole = pa.decompress(data[8:], decompressed_size=4 * int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(whole, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    small, size = np.dtype(data[:1].decode()).newbyteorder("<"), int.from_bytes(data[1:9], "little")
+    whole = pa.decompress(data[9:], decompressed_size=small.itemsize * size, codec="zstd", asbytes=True) if size else b""
+    planes = np.empty((size, small.itemsize), dtype=np.uint8)
+    for k in range(small.itemsize):
+        planes[:, k] = np.frombuffer(whole, np.uint8, size, k * size)
+    return planes.view(small).ravel()
 
 
 def numbered(items: DataFrame) -> tuple[DataFrame, int]:
@@ -381,9 +389,24 @@ def _dealt(first: np.ndarray, second: np.ndarray, n: np.ndarray, blocks: int) ->
                     names=["block", "side", "data"])
 
 
+def looked_up(parts: DataFrame, table: DataFrame) -> tuple[DataFrame, str]:
+    """``part, at`` of each word of the parts that ``table`` has, and what that says of it. Written, so that the join is off
+    the disk before the texts or pairs of the parts are moved."""
+    words = parts.where(F.col("word").isNotNull()).select("part", "at", "word").join(table, "word").drop("word")
+    out = written(words, "word-places", "zstd")
+    del words
+    _let_go(parts.sparkSession)
+    return out
+
+
 def part_entries(parts: DataFrame, ids: DataFrame, blocks: int, of_ending: np.ndarray = np.zeros(1, np.int32)) -> DataFrame:
     """The pairs of all parts, dealt to the blocks of their items. ``ids``: the item's number ``id`` of each ``word`` that is
     an item of its own; ``of_ending``: the number of each ending, for the other words."""
+    return placed_entries(parts, looked_up(parts, ids.select("word", "id"))[0], blocks, of_ending)
+
+
+def placed_entries(parts: DataFrame, words: DataFrame, blocks: int, of_ending: np.ndarray) -> DataFrame:
+    """Like :func:`part_entries`, from the words of the parts with their numbers: ``part, at, id``."""
 
     def dealt(words: pa.Table, pairs: pa.Table) -> pa.Table:
         number = of_ending[_from_planes(pairs.column("endings")[0].as_py())].astype(np.int64)
@@ -392,9 +415,8 @@ def part_entries(parts: DataFrame, ids: DataFrame, blocks: int, of_ending: np.nd
         keys, n = _added((number[first] << 32) | number[second], n)
         return _dealt(keys >> 32, keys & 0xFFFFFFFF, n, blocks)
 
-    words = parts.where(F.col("word").isNotNull()).select("part", "at", "word").join(ids.select("word", "id"), "word")
     pairs = parts.where(F.col("pairs").isNotNull()).select(F.col("part").alias("of"), "pairs", "endings")
-    return words.select("part", "at", "id").groupBy("part").cogroup(pairs.groupBy("of")).applyInArrow(dealt, _ENTRIES)
+    return words.groupBy("part").cogroup(pairs.groupBy("of")).applyInArrow(dealt, _ENTRIES)
 
 
 def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -689,7 +711,7 @@ def trained(
     """
     spark = docs.sparkSession
     training = docs.where(fold() != 1)
-    parts, parts_at = written(word_parts(training, Items({}, groups)), "word-parts")
+    parts, parts_at = written(word_parts(training, Items({}, groups)), "word-parts", "zstd")
     counts = parts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
     counts, counts_at = written(counts, "word-counts")
     _let_go(spark)
@@ -719,9 +741,10 @@ def trained(
         of_ending[int(bytes(row["item"])[1:])] = row["id"]
     # Words of their own are joined by word; a part knows the endings of the others. The entries are written before they
     # are dealt, so that what led to them is off the disk by then.
-    entries, entries_at = written(
-        part_entries(parts, named.where(~ending).select(F.col("item").alias("word"), "id"), blocks, of_ending), "word-entries")
-    discard(spark, parts_at)
+    places, places_at = looked_up(parts, named.where(~ending).select(F.col("item").alias("word"), "id"))
+    entries, entries_at = written(placed_entries(parts, places, blocks, of_ending), "word-entries")
+    for folder in (parts_at, places_at):
+        discard(spark, folder)
     _let_go(spark)
     pairs, pairs_at = written(block_pairs(entries, named, blocks), "word-pairs")
     discard(spark, entries_at)
@@ -795,12 +818,12 @@ def scored(docs: DataFrame, model: Model, known: DataFrame) -> DataFrame:
 
     names = ["part", "at", "word", "ids", "line", "place", "kind"]
     asked, _ = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        coded, "part long, at int, word binary, ids array<long>, line binary, place binary, kind binary"), "word-requests")
+        coded, "part long, at int, word binary, ids array<long>, line binary, place binary, kind binary"), "word-requests", "zstd")
 
     def summed(words: pa.Table, texts: pa.Table) -> pa.Table:
         m: Model = sent.value
         ids = texts.column("ids")[0].values
-        line, place, kind = (_from_planes(texts.column(c)[0].as_py()) for c in ("line", "place", "kind"))
+        line, place, kind = (_from_planes(texts.column(c)[0].as_py()).astype(np.int32) for c in ("line", "place", "kind"))
         numerator = np.concatenate([[np.log10(0.5)], m.numerator])[place]
         seen = place > 0
         if words.num_rows:
@@ -817,7 +840,7 @@ def scored(docs: DataFrame, model: Model, known: DataFrame) -> DataFrame:
             pa.array(np.add.reduceat(numerator[line], starts)), pa.array(np.add.reduceat(steps, starts)),
         ], names=["doc_id", "n_tokens", "n_known", "numerators", "steps"])
 
-    words = asked.where(F.col("word").isNotNull()).select("part", "at", "word").join(known, "word").select("part", "at", "n", "class")
+    words, _ = looked_up(asked, known)
     texts = asked.where(F.col("line").isNotNull()).select(F.col("part").alias("of"), "ids", "line", "place", "kind")
     by_row = words.groupBy("part").cogroup(texts.groupBy("of")).applyInArrow(
         summed, "doc_id long, n_tokens long, n_known long, numerators double, steps double")

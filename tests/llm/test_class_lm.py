@@ -3,11 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plantpulse.llm.class_lm import (
-    Items, _by_number, block_pairs, class_pairs, clustered, exchange, gains, item_bigrams, item_pairs, key_of_group, label_pairs,
-    moved, numbered, part_entries, perplexity, scored, tokens, trained, vocabulary, word_counts, word_pairs, word_parts, worth)
+    Items, _by_number, _from_planes, _numbered_texts, _packed, _planes, _unpacked, block_pairs, class_pairs, clustered, exchange,
+    gains, item_bigrams, item_pairs, key_of_group, label_pairs, looked_up, moved, numbered, part_entries, perplexity, scored,
+    tokens, trained, vocabulary, word_counts, word_pairs, word_parts, worth)
 from plantpulse.llm.queries import queries
 
 from .helpers import AWKWARD, FOLDER, clashing, nothing, table
@@ -222,3 +224,46 @@ def test_blocks_hold_all_pairs_and_a_pass_moves_the_items_to_their_best_classes(
         want_moves = {r.id: int(best[r.id]) for r in free if rows[r.id][0] and gain[r.id].max() > gain[r.id, label[r.id]] + 1e-6}
         assert {r.id: r["class"] for r in moved(pairs, blocks, label, now, turn, shares).collect()} == want_moves
     assert want_moves
+
+
+def test_numbers_are_packed_and_read_again():
+    rng = np.random.default_rng(2)
+    for x in ([], [0], [-1, 255], [2**31 - 1, 0], [70_000, -5], [-2**63, 2**63 - 1], rng.integers(-2**62, 2**62, 500).tolist()):
+        assert _from_planes(_planes(np.array(x, dtype=np.int64))).tolist() == x
+    own, other, n = np.sort(rng.integers(0, 9_000, 5_000)), rng.integers(0, 2**31, 5_000), rng.zipf(2.0, 5_000) % 70_000
+    data = _packed(own, other, n)
+    assert all((a == b).all() for a, b in zip(_unpacked(data), (own, other, n)))
+    # Two bytes, four and a few of a count; the least that 16 bytes of each entry were packed to was more.
+    assert len(data) < 7.5 * len(own)
+
+
+def test_texts_are_numbered_as_tokens_has_them():
+    """In one part or many: all words, also between odd spaces, and an end token after each text."""
+    texts = ["  AÉb\x0b\x0cc \x1c\x85 d\x00e\r\n", None, "", " \t ", "Z z", "z" * 100, "x y " * 50, "É  İ"]
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(7), None], pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    for most in (2_000_000, 20, 1):
+        ids, got, parts = [], [], 0
+        for (own,), words, line in _numbered_texts(iter([batch, batch.slice(2, 3)]), most):
+            names = words.to_pylist()
+            assert names[0] == b"" and len(set(names)) == len(names)
+            ids, got, parts = ids + own.to_pylist(), got + [names[i] for i in line], parts + 1
+        assert ids == [*range(7), None, 2, 3, 4]
+        assert got == [w for t in [*texts, *texts[2:5]] for w in tokens(t)]
+        assert (parts == 1) == (most > 1_000)
+
+
+def test_words_are_joined_once_for_each_part_and_not_for_each_text(spark, monkeypatch):
+    """What the scan asks the table for does not grow with how often a part's texts hold a word."""
+    monkeypatch.setattr("plantpulse.llm.class_lm.FREQUENT", 0)
+    asked = []
+
+    def kept(parts, table):
+        asked.append(parts.where("word IS NOT NULL").count())
+        return looked_up(parts, table)
+
+    docs = spark.createDataFrame([(i, "one two three four two one") for i in range(50)], "doc_id long, text string").coalesce(1).cache()
+    model, known = trained(docs)
+    monkeypatch.setattr("plantpulse.llm.class_lm.looked_up", kept)
+    rows = scored(docs, model, known).collect()
+    assert len(rows) == 50 and all((r.n_tokens, r.n_known) == (7, 7) for r in rows) and len({r.score for r in rows}) == 1
+    assert asked == [5]
